@@ -10,7 +10,7 @@ LOG_TIME_FORMAT = "M/d/yyyy H:mm:ss"
 
 def log_timestamp(text: Column) -> Column:
     """Time stamp of a log line; one- and two-digit months, days and hours."""
-    return F.to_timestamp(text, F.lit(LOG_TIME_FORMAT))
+    return F.to_timestamp(text, LOG_TIME_FORMAT)
 
 
 def clock_seconds(text: Column) -> Column:

@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Executors get the functions of this module with the plan, not by import.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -82,7 +83,7 @@ def _length(left: str, right: str) -> int:
     return len(right) - row.bit_count()
 
 
-@F.pandas_udf("int")
+@F.pandas_udf(T.IntegerType())
 def _lcs_length(left: pd.Series, right: pd.Series) -> pd.Series:
     pairs = zip(left, right, strict=True)
     return pd.Series(
@@ -90,7 +91,7 @@ def _lcs_length(left: pd.Series, right: pd.Series) -> pd.Series:
     )
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _lcs_text(left: pd.Series, right: pd.Series) -> pd.Series:
     pairs = zip(left, right, strict=True)
     return pd.Series(
