@@ -12,18 +12,30 @@ SCHD = ["SP1"]
 FLEX = ["P1J", "P1S", "P2J", "P2S", "MSA", "P6S", "P6J", "P7S", "P7J", "P8S", "P8J", "A1S"]
 ESTI = ["EIS", "EIJ"]
 
-# Code by plan family and one more condition, first match counts.
+# Codes of each plan family by what decides them.
 TLIC_CODES = [
-    (MIPS_BY_STATUS, "{lapse_status} = 'regular'", "58 CSO 4.5% MOD CRVM CNF (81-88)"),
-    (MIPS_BY_STATUS, "{lapse_status} = 'eti'", "58 CET 4.5% CNF (81-88)"),
-    (MIPS_BY_STATUS, "{lapse_status} = 'rpu'", "58 CSO 4.5% CNF (81-88)"),
-    (MIPS_PAID, "true", "58 CSO 4.5% CNF (81-88)"),
-    (SCHD, "{lapse_status} IN ('regular', 'rpu')", "80 CSO 4% MOD CRVM CNF (88-91)"),
-    (SCHD, "{lapse_status} = 'eti'", "80 CET 4% NLP CNF (86-89)"),
-    (FLEX, "{basis} = 'CSO80'", "80 CSO 4% CNF (86-03)"),
-    (FLEX, "{basis} = 'CET80'", "80 CET 4% NLP CNF (86-89)"),
-    (ESTI, "{issue_year} < 1995", "80 CSO 5% CNF (93-94)"),
-    (ESTI, "{issue_year} >= 1995", "80 CSO 4.5% CNF (95-01)"),
+    (
+        MIPS_BY_STATUS,
+        {
+            "regular": "58 CSO 4.5% MOD CRVM CNF (81-88)",
+            "eti": "58 CET 4.5% CNF (81-88)",
+            "rpu": "58 CSO 4.5% CNF (81-88)",
+        },
+    ),
+    (MIPS_PAID, {"any": "58 CSO 4.5% CNF (81-88)"}),
+    (
+        SCHD,
+        {
+            "regular": "80 CSO 4% MOD CRVM CNF (88-91)",
+            "eti": "80 CET 4% NLP CNF (86-89)",
+            "rpu": "80 CSO 4% MOD CRVM CNF (88-91)",
+        },
+    ),
+    (FLEX, {"CSO80": "80 CSO 4% CNF (86-03)", "CET80": "80 CET 4% NLP CNF (86-89)"}),
+    (
+        ESTI,
+        {"before 1995": "80 CSO 5% CNF (93-94)", "from 1995": "80 CSO 4.5% CNF (95-01)"},
+    ),
 ]
 
 # Name of the same code in the second legal entity.
@@ -66,19 +78,38 @@ def mortality_basis_sql(args: dict[str, str]) -> str:
         ELSE 'CSO80' END"""
 
 
+def _map_sql(entries: dict[str, str]) -> str:
+    return "map(" + ", ".join(f"'{k}', '{v}'" for k, v in entries.items()) + ")"
+
+
 def stat_code_sql(args: dict[str, str]) -> str:
-    """SQL expression for the code; ``args`` maps each parameter to SQL text."""
-    names = {**args, "basis": mortality_basis_sql(args)}
-    company = f"CAST({args['company_code']} AS STRING)"
-    branches = []
-    for companies, rename in ((TLIC_COMPANIES, {}), (TFLIC_COMPANIES, TFLIC_NAMES)):
-        in_company = _one_of(company, companies)
-        for plans, condition, code in TLIC_CODES:
-            value = rename.get(code) if rename else code
-            result = f"'{value}'" if value else "NULL"
-            test = f"{_one_of(args['plan_code'], plans)} AND ({condition.format(**names)})"
-            branches.append(f"WHEN {in_company} AND {test} THEN {result}")
-    return "CASE " + "\n".join(branches) + " END"
+    """SQL expression for the code; ``args`` maps each parameter to SQL text.
+
+    Two lookups in constant maps: they generate little code, where nested
+    branches over all plans would make a method too long to be compiled.
+    """
+    plan, year = args["plan_code"], args["issue_year"]
+    decider = f"""CASE
+        WHEN {_one_of(plan, FLEX)} THEN {mortality_basis_sql(args)}
+        WHEN {_one_of(plan, ESTI)} THEN
+            if({year} IS NULL, NULL, if({year} < 1995, 'before 1995', 'from 1995'))
+        WHEN {_one_of(plan, MIPS_PAID)} THEN 'any'
+        ELSE {args['lapse_status']} END"""
+    codes = {
+        f"{plan_code}:{decided}": code
+        for plans, by_decider in TLIC_CODES
+        for plan_code in plans
+        for decided, code in by_decider.items()
+    }
+    first_entity = {code: code for code in codes.values()}
+    names = {
+        f"{company}:{code}": name
+        for companies, renamed in ((TLIC_COMPANIES, first_entity), (TFLIC_COMPANIES, TFLIC_NAMES))
+        for company in companies
+        for code, name in renamed.items()
+    }
+    code = f"try_element_at({_map_sql(codes)}, concat({plan}, ':', {decider}))"
+    return f"try_element_at({_map_sql(names)}, concat({args['company_code']}, ':', {code}))"
 
 
 def stat_code(columns: dict[str, str]) -> Column:

@@ -6,28 +6,29 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerleaf.functions.names import quoted
+from ledgerleaf.scratch import settle
 
 BLOCK_WIDTH = 4096
 COPIES_PER_TASK = 100_000
 
 
-def repeat_rows(df: DataFrame, copies: str, index: str) -> DataFrame:
+def repeat_rows(df: DataFrame, copies: str, index: str, most: int) -> DataFrame:
     """Each row ``copies`` times, numbered from 0 in ``index``.
 
-    A row with very many copies is first cut into runs of ``COPIES_PER_TASK``
-    that are spread over all tasks.
+    ``most`` is the largest number of copies. A row with very many is first cut
+    into runs of ``COPIES_PER_TASK`` that are spread over all tasks.
     """
     amount = quoted(copies)
-    few = df.where(amount.between(1, COPIES_PER_TASK)).withColumn(
-        index, F.explode(F.sequence(F.lit(0).cast("bigint"), amount - 1))
-    )
+    zero = F.lit(0).cast("bigint")
+    if most <= COPIES_PER_TASK:
+        wanted = df if most == 1 else df.where(amount > 0)
+        return wanted.withColumn(index, F.explode(F.sequence(zero, amount - 1)))
+    few = repeat_rows(df.where(amount <= COPIES_PER_TASK), copies, index, COPIES_PER_TASK)
+    run_length = F.lit(COPIES_PER_TASK).cast("bigint")
     runs = df.where(amount > COPIES_PER_TASK).withColumn(
-        "_from",
-        F.explode(
-            F.sequence(F.lit(0).cast("bigint"), amount - 1, F.lit(COPIES_PER_TASK).cast("bigint"))
-        ),
+        "_from", F.explode(F.sequence(zero, amount - 1, run_length))
     )
-    last = F.least(F.col("_from") + (COPIES_PER_TASK - 1), amount - 1)
+    last = F.least(F.col("_from") + run_length, amount) - 1
     many = (
         runs.repartition(*[quoted(c) for c in df.columns], F.col("_from"))
         .withColumn(index, F.explode(F.sequence(F.col("_from"), last)))
@@ -36,6 +37,11 @@ def repeat_rows(df: DataFrame, copies: str, index: str) -> DataFrame:
     return few.unionByName(many)
 
 
+def largest(df: DataFrame, column: str) -> int:
+    """Largest value of a whole-number column of a stored table; 0 without rows."""
+    return df.agg(F.max(quoted(column))).first()[0] or 0
+
+
 def running_total_before(
     df: DataFrame,
     keys: list[str],
@@ -50,23 +56,26 @@ def running_total_before(
     other columns. A group may be of any size: equal rows are counted
     before the first shuffle, each group is cut into blocks of ``block_width``
     order values, only the block totals of a group meet in one task, and rows
-    are added up inside their block.
+    are added up inside their block. The counted rows are stored in the shared
+    folder, as all these steps read them.
     """
     columns = df.columns
+    group = [quoted(k) for k in keys]
     ties = [quoted(c) for c in columns if c != order and c not in keys]
-    ordering = [quoted(order).asc_nulls_last(), *ties]
-    amount = F.col("_value") * F.col("_copies")
-    past_all = F.lit((1 << 62)).cast("bigint")
-    counted = (
+    past_all = F.lit(1 << 62).cast("bigint")
+    block = F.coalesce(F.floor(quoted(order) / block_width), past_all)
+    counted = settle(
         df.withColumn("_value", F.coalesce(value, F.lit(0)))
         .groupBy(*[quoted(c) for c in columns], F.col("_value"))
         .agg(F.count(F.lit(1)).alias("_copies"))
-        .withColumn("_block", F.coalesce(F.floor(quoted(order) / block_width), past_all))
+        .withColumn("_block", block),
+        "counted",
     )
-    group = [quoted(k) for k in keys]
+    amount = F.col("_value") * F.col("_copies")
+    zero = F.lit(0)
     earlier_rows = (
         Window.partitionBy(*group, "_block")
-        .orderBy(*ordering)
+        .orderBy(quoted(order).asc_nulls_last(), *ties)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     earlier_blocks = (
@@ -74,7 +83,6 @@ def running_total_before(
         .orderBy("_block")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    zero = F.lit(0)
     inside = counted.withColumn("_inside", F.coalesce(F.sum(amount).over(earlier_rows), zero))
     blocks = (
         counted.groupBy(*group, "_block")
@@ -83,9 +91,8 @@ def running_total_before(
         .drop("_total")
     )
     right = {k: f"_right_{k}" for k in [*keys, "_block"]}
-    blocks = blocks.withColumnsRenamed(right)
     same_block = [quoted(k).eqNullSafe(quoted(r)) for k, r in right.items()]
-    placed = inside.join(blocks, same_block, "inner")
-    repeated = repeat_rows(placed, "_copies", "_copy")
+    placed = inside.join(blocks.withColumnsRenamed(right), same_block)
+    repeated = repeat_rows(placed, "_copies", "_copy", largest(counted, "_copies"))
     total = F.col("_before") + F.col("_inside") + F.col("_copy") * F.col("_value")
     return repeated.select(*[quoted(c) for c in columns], total.alias(out))

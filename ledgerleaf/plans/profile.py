@@ -15,7 +15,8 @@ from ledgerleaf.functions.durations import (
 from ledgerleaf.functions.names import quoted
 from ledgerleaf.operators.filters import differs_or_missing
 from ledgerleaf.operators.mapping import exists_flag, literal_map
-from ledgerleaf.operators.running import repeat_rows, running_total_before
+from ledgerleaf.operators.running import largest, repeat_rows, running_total_before
+from ledgerleaf.scratch import settle
 from ledgerleaf.sources.csv import write_csv
 
 # Event numbers of the log.
@@ -124,7 +125,7 @@ def step_offsets(steps: DataFrame) -> DataFrame:
 
 def _batch_events(batch: DataFrame, spans: DataFrame) -> DataFrame:
     started = batch.select("Id", "Name").join(spans, "Id")
-    return repeat_rows(started, "n_starts", "_copy").select(
+    return repeat_rows(started, "n_starts", "_copy", largest(spans, "n_starts")).select(
         F.col("Id").alias("batch_id"),
         F.lit(None).cast("int").alias("step_ref"),
         F.col("Id").cast("double").alias("event_id"),
@@ -162,7 +163,7 @@ def batch_profile(log: DataFrame, batch: DataFrame, steps: DataFrame) -> DataFra
     apart what it cannot.
     """
     lines = clean_log(log)
-    spans = batch_spans(lines)
+    spans = settle(batch_spans(lines), "spans")
     known = batch_steps(steps, started_batches(batch, lines))
     events = _batch_events(batch, spans).unionByName(_step_events(known, spans))
     length = F.col("event_finish") - F.col("event_start")

@@ -224,9 +224,8 @@ def policies(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     flag = F.col("l_returnflag")
     prefix = F.when(flag == "A", "I_").when(flag == "R", "U_").otherwise("")
-    price, quantity = money("l_extendedprice"), money("l_quantity")
-    discount = F.col("l_discount").cast("decimal(4,2)")
-    tax = F.col("l_tax").cast("decimal(4,2)")
+    price, quantity = F.col("l_extendedprice"), F.col("l_quantity")
+    discount, tax = F.col("l_discount"), F.col("l_tax")
     return joined.select(
         "l_orderkey",
         "l_linenumber",
@@ -237,20 +236,18 @@ def policies(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_linestatus") == "F", "0").otherwise("_").alias("era"),
         (F.pmod("l_suppkey", F.lit(5)) + 1).cast("int").alias("Statutory Company"),
         F.year("o_orderdate").alias("Iss Year"),
-        money(price, 4).alias("UL Seg Fund/ Sep Acct Balance"),
-        money(price * discount, 4).alias("UDV31_GID"),
-        money(price * tax, 4).alias("Accrued Admin Charge"),
-        money(quantity * discount, 4).alias("Accrued Asset Credit"),
-        money(quantity * tax, 4).alias("Accrued Net Loan Cost"),
-        money(quantity, 4).alias("Accrued COI"),
-        F.when(F.col("l_linenumber") != 7, money(discount, 4)).alias("Accrued Load"),
-        F.when(flag != "N", money(price * tax, 4)).alias("Reserve details - AG37 AALR"),
-        money(price * discount, 4).alias("Reserve details - AG37 OYT Res"),
-        money("p_retailprice", 4).alias("Stat Res - Gross reserve"),
-        money(tax, 4).alias("Stat Res - Gross deficiency reserve"),
-        money(F.col("p_retailprice").cast("decimal(12,2)") * discount, 4).alias(
-            "Tax Res - Gross reserve"
-        ),
+        price.alias("UL Seg Fund/ Sep Acct Balance"),
+        (price * discount).alias("UDV31_GID"),
+        (price * tax).alias("Accrued Admin Charge"),
+        (quantity * discount).alias("Accrued Asset Credit"),
+        (quantity * tax).alias("Accrued Net Loan Cost"),
+        quantity.alias("Accrued COI"),
+        F.when(F.col("l_linenumber") != 7, discount).alias("Accrued Load"),
+        F.when(flag != "N", price * tax).alias("Reserve details - AG37 AALR"),
+        (price * discount).alias("Reserve details - AG37 OYT Res"),
+        F.col("p_retailprice").alias("Stat Res - Gross reserve"),
+        tax.alias("Stat Res - Gross deficiency reserve"),
+        (F.col("p_retailprice") * discount).alias("Tax Res - Gross reserve"),
     )
 
 

@@ -63,7 +63,7 @@ ALL_FLOWS = [*FLOWS, *GROUPS]
 
 ALL_CASH_FLOWS = """all_cash_flows AS (
     SELECT l_linenumber - 1 AS scenario_no,
-        (year(l_shipdate) - 1992) * 12 + month(l_shipdate) - 1 AS t,
+        CAST((year(l_shipdate) - 1992) * 12 + month(l_shipdate) - 1 AS INTEGER) AS t,
         l_linestatus AS line_status,
         CASE WHEN l_returnflag = 'N' THEN CAST(l_extendedprice AS DECIMAL(14,2)) ELSE 0 END
             AS premiums_first_year,
@@ -566,3 +566,16 @@ ORACLE["snapshot_merge"] = f"""WITH {MODULES}
 SELECT name, digest FROM compared
 UNION ALL
 SELECT name, md5(text) FROM old_modules WHERE name NOT IN (SELECT name FROM compared)"""
+
+ORACLE["lcs_match"] = """
+WITH RECURSIVE steps AS (
+    SELECT p_partkey, p_name AS a, lower(p_type) AS b, 0 AS i,
+        list_transform(range(0, length(p_type)), lambda x: 0) AS best
+    FROM part
+    UNION ALL
+    SELECT p_partkey, a, b, i + 1, list_transform(range(1, length(b) + 1), lambda j:
+        list_max(list_transform(range(1, j + 1), lambda k:
+            CASE WHEN b[k] = a[i + 1] THEN 1 + CASE WHEN k > 1 THEN best[k - 1] ELSE 0 END
+                ELSE best[k] END)))
+    FROM steps WHERE i < length(a))
+SELECT p_partkey, best[length(b)] AS lcs_length FROM steps WHERE i = length(a)"""
