@@ -25,17 +25,21 @@ def covers_all(used: DataFrame, defined: DataFrame) -> DataFrame:
     return missing_combos(used, defined).agg((F.count(F.lit(1)) == 0).alias("covered"))
 
 
-def check_coverage(used: DataFrame, defined: DataFrame, groups: dict[str, list[str]]) -> DataFrame:
-    """Missing combinations per assumption group; no rows when all are covered."""
-    results = [
-        missing_combos(combos(used, tags), combos(defined, tags)).select(
-            F.lit(group).alias("assumption_group"), "combo"
-        )
+def _group_combos(df: DataFrame, groups: dict[str, list[str]]) -> DataFrame:
+    """Distinct combinations of all groups, from one pass over the rows."""
+    for tags in groups.values():
+        require_columns(df, tags)
+    entries = [
+        F.struct(F.lit(group).alias("assumption_group"), combo_key(tags).alias("combo"))
         for group, tags in groups.items()
     ]
-    if not results:
+    return df.select(F.inline(F.array(*entries))).distinct()
+
+
+def check_coverage(used: DataFrame, defined: DataFrame, groups: dict[str, list[str]]) -> DataFrame:
+    """Missing combinations per assumption group; no rows when all are covered."""
+    if not groups:
         raise ValueError("no assumption groups given")
-    result = results[0]
-    for more in results[1:]:
-        result = result.unionByName(more)
-    return result
+    return _group_combos(used, groups).join(
+        _group_combos(defined, groups), ["assumption_group", "combo"], "left_anti"
+    )

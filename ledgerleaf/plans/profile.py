@@ -12,7 +12,6 @@ from ledgerleaf.functions.durations import (
     log_timestamp,
     microseconds_between,
 )
-from ledgerleaf.functions.names import quoted
 from ledgerleaf.operators.filters import differs_or_missing
 from ledgerleaf.operators.mapping import exists_flag, literal_map
 from ledgerleaf.operators.running import largest, repeat_rows, running_total_before
@@ -123,9 +122,9 @@ def step_offsets(steps: DataFrame) -> DataFrame:
     )
 
 
-def _batch_events(batch: DataFrame, spans: DataFrame) -> DataFrame:
-    started = batch.select("Id", "Name").join(spans, "Id")
-    return repeat_rows(started, "n_starts", "_copy", largest(spans, "n_starts")).select(
+def _batch_events(started: DataFrame) -> DataFrame:
+    repeated = repeat_rows(started, "n_starts", "_copy", largest(started, "n_starts"))
+    return repeated.select(
         F.col("Id").alias("batch_id"),
         F.lit(None).cast("int").alias("step_ref"),
         F.col("Id").cast("double").alias("event_id"),
@@ -135,13 +134,17 @@ def _batch_events(batch: DataFrame, spans: DataFrame) -> DataFrame:
     )
 
 
-def _step_events(steps: DataFrame, spans: DataFrame) -> DataFrame:
+def _step_events(steps: DataFrame, started: DataFrame) -> DataFrame:
+    spans = started.select("Id", "batch_start", "batch_finish").distinct()
     finish = F.col("batch_finish")
     latest_start = add_seconds(finish, F.lit(-1))
-    timed = step_offsets(steps).join(spans.drop("n_starts"), "Id")
-    placed = timed.withColumn(
-        "event_start",
-        F.least(add_seconds(F.col("batch_start"), F.col("offset_seconds")), latest_start),
+    placed = (
+        step_offsets(batch_steps(steps, started))
+        .join(spans, "Id")
+        .withColumn(
+            "event_start",
+            F.least(add_seconds(F.col("batch_start"), F.col("offset_seconds")), latest_start),
+        )
     )
     end = F.least(add_seconds(F.col("event_start"), F.col("step_seconds")), finish)
     return placed.select(
@@ -154,31 +157,37 @@ def _step_events(steps: DataFrame, spans: DataFrame) -> DataFrame:
     )
 
 
-def batch_profile(log: DataFrame, batch: DataFrame, steps: DataFrame) -> DataFrame:
-    """One event per batch start and per step, by start time.
+def batch_events(log: DataFrame, batch: DataFrame, steps: DataFrame) -> DataFrame:
+    """One event per batch start and per step, in no order.
 
     Steps follow each other from the start of their batch and end with it. A
     batch without a finish line keeps a null finish. ``event_id`` is the batch
     id plus a hundredth of the step number, ``batch_id`` and ``step_ref`` tell
     apart what it cannot.
     """
-    lines = clean_log(log)
-    spans = settle(batch_spans(lines), "spans")
-    known = batch_steps(steps, started_batches(batch, lines))
-    events = _batch_events(batch, spans).unionByName(_step_events(known, spans))
-    length = F.col("event_finish") - F.col("event_start")
+    spans = batch_spans(clean_log(log))
+    started = settle(batch.select("Id", "Name").join(spans, "Id"), "started")
+    events = _batch_events(started).unionByName(_step_events(steps, started))
     seconds = microseconds_between(F.col("event_start"), F.col("event_finish")) / 1_000_000
     return (
         events.withColumn("event_name", F.coalesce("event_name", F.lit(UNKNOWN)))
-        .withColumn("duration", length)
+        .withColumn("duration", F.col("event_finish") - F.col("event_start"))
         .withColumn("duration_in_seconds", seconds)
         .select(*EVENT_COLUMNS)
-        .orderBy("event_start", "event_id", "step_ref", "event_name")
     )
 
 
+def batch_profile(log: DataFrame, batch: DataFrame, steps: DataFrame) -> DataFrame:
+    """:func:`batch_events` by start time."""
+    events = batch_events(log, batch, steps)
+    return events.orderBy("event_start", "event_id", "step_ref", "event_name")
+
+
 def to_trace(events: DataFrame, pid: int = 0, tid: int = 0) -> DataFrame:
-    """Trace rows: microseconds since the earliest start, at least one long."""
+    """Trace rows: microseconds since the earliest start, at least one long.
+
+    ``events`` is read twice, so pass stored events.
+    """
     origin = events.select(F.min("event_start")).scalar()
     length = microseconds_between(F.col("event_start"), F.col("event_finish"))
     return events.select(
@@ -198,6 +207,5 @@ def write_events(events: DataFrame, path: str) -> None:
 
 
 def write_trace(trace: DataFrame, path: str) -> None:
-    """Trace rows as JSON lines."""
-    columns = [quoted(c) for c in ("pid", "tid", "ph", "name", "ts", "dur")]
-    trace.select(*columns).write.mode("overwrite").json(path)
+    """Trace rows as JSON lines, earliest first."""
+    trace.orderBy("ts", "name").write.mode("overwrite").json(path)

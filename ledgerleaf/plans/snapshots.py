@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerleaf.operators.filters import has_content, name_excluded
+from ledgerleaf.scratch import settle
 
 
 def read_modules(spark: SparkSession, path: str, names: str = "*.{vb,bas,cls}") -> DataFrame:
@@ -55,7 +56,7 @@ def snapshot_diff(
 
 def merge_snapshot(old: DataFrame, new: DataFrame, diff: DataFrame) -> DataFrame:
     """The stored modules after the export: New and Changed ones are replaced."""
-    written = diff.where(F.col("status").isin("New", "Changed")).select("name")
+    written = settle(diff.where(F.col("status").isin("New", "Changed")).select("name"), "written")
     fresh = new.select("name", "text").join(written, "name", "left_semi")
     kept = old.select("name", "text").join(written, "name", "left_anti")
     return kept.unionByName(fresh)

@@ -173,13 +173,24 @@ def flow_grid(detail: DataFrame, flows: list[str]) -> DataFrame:
     )
 
 
-def _discount_totals(grid: DataFrame, last_scenario: int) -> DataFrame:
-    """Per month: sum of the stochastic discount factors over all detail rows."""
-    rows = F.col(N_ROWS)
-    return (
+def discounted_grid(detail: DataFrame, flows: list[str]) -> DataFrame:
+    """:func:`flow_grid` of rows that have their discount factor, stored."""
+    totals = [_total(quoted(c)).alias(c) for c in flows]
+    grid = detail.groupBy(SCENARIO, T, DISCOUNT).agg(F.count(F.lit(1)).alias(N_ROWS), *totals)
+    return settle(grid, "flow-grid")
+
+
+def _add_weights(detail: DataFrame, grid: DataFrame, last_scenario: int) -> DataFrame:
+    totals = (
         grid.where(is_stochastic(F.col(SCENARIO), last_scenario))
         .groupBy(T)
-        .agg(F.sum(F.col(DISCOUNT) * rows).alias("_total"))
+        .agg(F.sum(F.col(DISCOUNT) * F.col(N_ROWS)).alias("_total"))
+    )
+    weight = F.try_divide(_as_double(F.col(DISCOUNT)), _as_double(F.col("_total")))
+    return (
+        detail.join(totals, T, "left")
+        .withColumn(WEIGHT, F.when(is_stochastic(F.col(SCENARIO), last_scenario), weight))
+        .select(*[quoted(c) for c in detail.columns], WEIGHT)
     )
 
 
@@ -190,15 +201,7 @@ def ess_weights(detail: DataFrame, last_scenario: int = 1000) -> DataFrame:
     month, joined back by month, so a month with most of the rows is never
     gathered in one task.
     """
-    grid = detail.groupBy(SCENARIO, T, DISCOUNT).agg(F.count(F.lit(1)).alias(N_ROWS))
-    totals = settle(_discount_totals(grid, last_scenario), "discount-totals")
-    weight = F.try_divide(_as_double(F.col(DISCOUNT)), _as_double(F.col("_total")))
-    return (
-        detail.join(totals, T, "left")
-        .withColumn(WEIGHT, F.when(is_stochastic(F.col(SCENARIO), last_scenario), weight))
-        .drop("_total")
-        .select(*[quoted(c) for c in detail.columns], WEIGHT)
-    )
+    return _add_weights(detail, discounted_grid(detail, []), last_scenario)
 
 
 def ess_flows(grid: DataFrame, flows: list[str], last_scenario: int = 1000) -> DataFrame:
@@ -235,10 +238,8 @@ def ess_flows(grid: DataFrame, flows: list[str], last_scenario: int = 1000) -> D
 def with_ess(detail: DataFrame, flows: list[str], last_scenario: int = 1000) -> DataFrame:
     """Detail rows with their weights, and the rows of scenario -1 below them."""
     require_columns(detail, [SCENARIO, T, DISCOUNT, *flows])
-    grid = detail.groupBy(SCENARIO, T, DISCOUNT).agg(
-        F.count(F.lit(1)).alias(N_ROWS), *[_total(quoted(c)).alias(c) for c in flows]
-    )
-    return ess_weights(detail, last_scenario).unionByName(
+    grid = discounted_grid(detail, flows)
+    return _add_weights(detail, grid, last_scenario).unionByName(
         ess_flows(grid, flows, last_scenario), allowMissingColumns=True
     )
 
@@ -269,12 +270,15 @@ def valuation_grid(
     config: ValuationConfig,
     groupings: list[str] | None = None,
 ) -> tuple[DataFrame, list[str]]:
-    """Discounted (scenario, month) grid and the names of its flow columns."""
+    """Discounted (scenario, month) grid and the names of its flow columns.
+
+    The grid is stored: the cash flows are read once, whatever is computed from it.
+    """
     chosen = config.chosen_groupings(groupings)
     flows = [*config.flows, *_group_columns(chosen)]
     detail = group_flows(load_cash_flows(cash_flows, config), chosen)
     grid = join_scenarios(flow_grid(detail, flows), load_scenarios(scenarios, config))
-    return grid, flows
+    return settle(grid, "flow-grid"), flows
 
 
 def cash_flow_valuation(

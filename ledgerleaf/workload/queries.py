@@ -19,7 +19,7 @@ from ledgerleaf.operators import coverage, mapping
 from ledgerleaf.operators.filters import slice_filter
 from ledgerleaf.plans import notes, policies, profile, reserves, scenario_pack, slicing, snapshots
 from ledgerleaf.plans import valuation as val
-from ledgerleaf.scratch import scratch_path
+from ledgerleaf.scratch import scratch_path, settle
 from ledgerleaf.sources import csv, dbf, tables
 from ledgerleaf.workload import frames
 
@@ -280,17 +280,17 @@ def step_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.step_offsets(steps)
 
 
-def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.batch_profile(
+def _profile_inputs(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    return [
         frames.batch_log(spark, sf_dir),
         frames.batches(spark, sf_dir),
         frames.batch_step_rows(spark, sf_dir),
-    )
+    ]
 
 
 @query
 def batch_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _events(spark, sf_dir).select(
+    return profile.batch_profile(*_profile_inputs(spark, sf_dir)).select(
         "batch_id",
         "step_ref",
         _rounded("event_id", 4),
@@ -303,7 +303,7 @@ def batch_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def trace_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.to_trace(_events(spark, sf_dir))
+    return profile.to_trace(settle(profile.batch_events(*_profile_inputs(spark, sf_dir))))
 
 
 # --- reserves ----------------------------------------------------------------
