@@ -1,11 +1,8 @@
-import sys
-from pathlib import Path
-
 import pytest
 
-sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+from ledgerleaf.session import local_session
 
-from ledgerleaf.session import local_session  # noqa: E402
+SMALL_TABLES = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
@@ -17,4 +14,4 @@ def spark(tmp_path_factory):
 
 @pytest.fixture(scope="session")
 def sf_dir():
-    return "/root/testdata/sf0.001"
+    return SMALL_TABLES
