@@ -15,6 +15,15 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
+_local_roots: dict[str, str] = {}
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with the scheme of the default file system, unless that is local."""
+    if "://" in path or path.startswith("file:"):
+        return path
+    default = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS") or "file:///"
+    return path if default.startswith("file:") else default.rstrip("/") + path
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -25,12 +34,13 @@ def shared_root(spark: SparkSession) -> str:
     """
     root = spark.conf.get(_CHECKPOINT_DIR, None)
     if root:
-        return root.rstrip("/")
+        return qualified(spark, root.rstrip("/"))
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {_CHECKPOINT_DIR} to a folder every executor can reach")
-    root = tempfile.mkdtemp(prefix="ledgerleaf-")
-    spark.conf.set(_CHECKPOINT_DIR, root)
-    return root
+    application = spark.sparkContext.applicationId
+    if application not in _local_roots:
+        _local_roots[application] = tempfile.mkdtemp(prefix="ledgerleaf-")
+    return _local_roots[application]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

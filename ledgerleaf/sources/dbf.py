@@ -34,6 +34,7 @@ from pyspark.sql.datasource import (
 )
 
 from ledgerleaf.functions.names import check_unique, quoted
+from ledgerleaf.scratch import qualified
 from ledgerleaf.sources.dbf_layout import (
     DELETED_FLAG,
     END_OF_FILE,
@@ -266,6 +267,7 @@ def read_dbf(
     """
     if mode not in (FAILFAST, PERMISSIVE):
         raise ValueError(f"mode must be {FAILFAST} or {PERMISSIVE}")
+    path = qualified(spark, path)
     files = list_dbf(path)
     if not files:
         raise FileNotFoundError(f"no DBF files below {path}")
@@ -383,10 +385,11 @@ def write_records(records: DataFrame, fields: list[DbfField], path: str) -> None
     """Replace the DBF files below ``path`` by the given records."""
     short = [replace(f, name=f.name[:NAME_LENGTH]) for f in fields]
     check_unique([f.name for f in short])
-    records.sparkSession.dataSource.register(DbfRecords)
+    spark = records.sparkSession
+    spark.dataSource.register(DbfRecords)
     records.write.format(DbfRecords.name()).mode("overwrite").options(
         fields=_fields_json(short)
-    ).save(path)
+    ).save(qualified(spark, path))
 
 
 def write_dbf(df: DataFrame, path: str, specs: dict[str, dict] | None = None) -> None:

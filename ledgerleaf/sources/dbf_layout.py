@@ -55,6 +55,8 @@ class DbfHeader:
 
 def open_path(path: str) -> tuple[fs.FileSystem, str]:
     """File system and inner path, for plain paths and URIs such as ``hdfs://``."""
+    if path.startswith("s3a://"):
+        path = "s3://" + path.removeprefix("s3a://")
     if "://" in path or path.startswith("file:"):
         return fs.FileSystem.from_uri(path)
     return fs.LocalFileSystem(), path
