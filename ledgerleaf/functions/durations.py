@@ -9,8 +9,11 @@ LOG_TIME_FORMAT = "M/d/yyyy H:mm:ss"
 
 
 def log_timestamp(text: Column) -> Column:
-    """Time stamp of a log line; one- and two-digit months, days and hours."""
-    return F.to_timestamp(text, LOG_TIME_FORMAT)
+    """Time stamp of a log line; one- and two-digit months, days and hours.
+
+    Log times name no zone, so they are kept without one.
+    """
+    return F.to_timestamp_ntz(text, F.lit(LOG_TIME_FORMAT))
 
 
 def clock_seconds(text: Column) -> Column:
@@ -25,7 +28,8 @@ def add_seconds(moment: Column, seconds: Column) -> Column:
 
 
 def microseconds_between(start: Column, end: Column) -> Column:
-    return F.timestamp_diff("MICROSECOND", start, end)
+    seconds = (end - start).cast("interval second").cast("decimal(18,6)")
+    return (seconds * 1_000_000).cast("bigint")
 
 
 def duration_text(seconds: Column) -> Column:

@@ -34,17 +34,54 @@ def _pairs(keys: DataFrame, patterns: DataFrame) -> DataFrame:
     return keys.join(patterns, matches_from_start(F.col("_key"), F.col("_pattern")))
 
 
+def _literal_start(pattern: Column) -> Column:
+    """Plain text every match of the pattern begins with; empty when unknown."""
+    core = F.regexp_replace(pattern, r"^\^", "")
+    plain = F.regexp_extract(core, r"^([^.^$*+?{}\[\]\\|()\n]*)", 1)
+    following = F.substr(core, F.length(plain) + 1, F.lit(1))
+    certain = F.when(
+        following.isin("*", "+", "?", "{"), F.left(plain, F.length(plain) - 1)
+    ).otherwise(plain)
+    return F.when(F.contains(pattern, F.lit("|")), F.lit("")).otherwise(certain)
+
+
+def pattern_pairs(keys: DataFrame, patterns: DataFrame) -> DataFrame:
+    """Pairs of distinct ``_key`` and ``_pattern`` where the pattern matches from the start.
+
+    Patterns that begin with plain text only meet keys that begin with it, found
+    by equality; the others are tested against every key.
+    """
+    started = settle(
+        patterns.withColumn("_start", _literal_start(F.col("_pattern"))).withColumn(
+            "_length", F.length("_start")
+        ),
+        "patterns",
+    )
+    lengths = [r["_length"] for r in started.select("_length").distinct().collect()]
+    found = _pairs(keys, started.where("_length = 0").select("_pattern"))
+    if any(lengths):
+        options = F.array(*[F.lit(n) for n in sorted(lengths) if n])
+        cut = keys.withColumn("_length", F.explode(options)).withColumn(
+            "_start", F.left("_key", F.col("_length"))
+        )
+        tested = cut.join(started, ["_length", "_start"]).where(
+            matches_from_start(F.col("_key"), F.col("_pattern"))
+        )
+        found = found.unionByName(tested.select("_key", "_pattern"))
+    return found.select("_key", "_pattern")
+
+
 def regex_join(main: DataFrame, patterns: DataFrame, key: str, pattern: str) -> DataFrame:
     """Every (row, pattern row) pair whose pattern matches the start of the key.
 
-    Each distinct key meets each distinct pattern once; rows are brought back by
-    equality joins. A row without a match is left out, a row with several
-    matches appears several times.
+    Only distinct keys are tested; rows are brought back by equality joins. A row
+    without a match is left out, a row with several matches appears several
+    times.
     """
     check_unique([*main.columns, *patterns.columns])
-    keys = main.select(quoted(key).alias("_key")).distinct()
+    keys = settle(main.select(quoted(key).alias("_key")).distinct(), "keys")
     rows = settle(patterns.withColumn("_pattern", quoted(pattern)), "patterns")
-    found = _pairs(keys, rows.select("_pattern").distinct())
+    found = pattern_pairs(keys, rows.select("_pattern").distinct())
     lookup = settle(found.join(rows, "_pattern").drop("_pattern"), "matches")
     return main.join(lookup, quoted(key) == F.col("_key")).drop("_key")
 

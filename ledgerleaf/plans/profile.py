@@ -52,7 +52,8 @@ EVENT_COLUMNS = [
 
 
 def clean_log(log: DataFrame) -> DataFrame:
-    """Log lines with time stamps; texts are parsed, real time stamps are kept."""
+    """Start and finish lines with time stamps; texts are parsed, time stamps are kept."""
+    log = log.where(F.col("No").isin(START_CODE, FINISH_CODE))
     if dict(log.dtypes)["Timestamp"] == "string":
         log = log.withColumn("Timestamp", log_timestamp(F.col("Timestamp")))
     return log
@@ -79,12 +80,11 @@ def batch_starts(batch: DataFrame, log: DataFrame) -> DataFrame:
 
 
 def batch_spans(log: DataFrame) -> DataFrame:
-    """Per batch: first start and first finish in log order, and number of starts."""
+    """Per started batch: first start and finish in log order, and number of starts."""
     is_start = F.col("No") == START_CODE
     is_finish = F.col("No") == FINISH_CODE
     return (
-        log.where(is_start | is_finish)
-        .groupBy(F.col("BatchId").alias("Id"))
+        log.groupBy(F.col("BatchId").alias("Id"))
         .agg(
             F.min_by("Timestamp", F.when(is_start, F.col("Id"))).alias("batch_start"),
             F.min_by("Timestamp", F.when(is_finish, F.col("Id"))).alias("batch_finish"),

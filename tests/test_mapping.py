@@ -75,7 +75,10 @@ def test_mapping_needs_its_tags(spark):
 
 def test_regex_join_like_python(spark):
     keys = ["abc", "xabc", "ab\n", "b|c", "a", ""]
-    patterns = ["abc", "^ab$", "a|x", "[ab].*", "b\\|c", "z", ".*c$"]
+    patterns = [
+        "abc", "^ab$", "a|x", "[ab].*", "b\\|c", "z", ".*c$",
+        "abcd?", "abx*", "a{0}b", "a+b", "^a$", "", "xab", "(?i)ABC", "abc$", "^^ab", "a\\.",
+    ]
     main = spark.createDataFrame([(i, k) for i, k in enumerate(keys)], "id int, key string")
     table = spark.createDataFrame([(p, f"n{i}") for i, p in enumerate(patterns)], "pattern string, name string")
     result = mapping.regex_join(main, table, "key", "pattern")
