@@ -53,7 +53,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 FAILFAST = "FAILFAST"
 PERMISSIVE = "PERMISSIVE"
 
-RANGE_BYTES = 64 << 20
+SMALLEST_RANGE = 4 << 20
+LARGEST_RANGE = 128 << 20
 BATCH_BYTES = 4 << 20
 FILE_BYTES = 128 << 20
 LONGEST_TEXT = 254
@@ -89,7 +90,7 @@ class _RecordReader(DataSourceReader):
         self.path = options["path"]
         self.permissive = options.get("mode", FAILFAST).upper() == PERMISSIVE
         self.fields = options["fields"]
-        self.range_bytes = int(options.get("rangebytes", RANGE_BYTES))
+        self.range_bytes = int(options["rangebytes"])
 
     def partitions(self) -> list[InputPartition]:
         """Large files are cut into ranges, small ones share a range."""
@@ -231,7 +232,8 @@ def spark_type(field: DbfField) -> T.DataType:
 def _text(field: DbfField, start: int) -> Column:
     """Trimmed text of a field, null when blank."""
     data = F.substring(F.col("record"), start, field.length)
-    return F.nullif(F.btrim(F.decode(data, "ISO-8859-1"), F.lit(WHITE_SPACE)), F.lit(""))
+    unpadded = F.trim(F.decode(data, "ISO-8859-1"))
+    return F.nullif(F.btrim(unpadded, F.lit(WHITE_SPACE)), F.lit(""))
 
 
 def _value(field: DbfField, mode: str) -> Column:
@@ -256,14 +258,15 @@ def read_dbf(
     path: str,
     mode: str = FAILFAST,
     limit: int | None = None,
-    range_bytes: int = RANGE_BYTES,
+    range_bytes: int | None = None,
 ) -> DataFrame:
     """A DBF file, or all files below a folder, which must have the same fields.
 
     Deleted records are left out and blank fields are null. ``mode`` says what
     a value or file that cannot be read does: FAILFAST stops, PERMISSIVE
     gives null for a value, ends the fields at a bad descriptor, and ends a
-    short file early.
+    short file early. A task reads ``range_bytes``, by default as many as spread
+    the files over all cores within sensible limits.
     """
     if mode not in (FAILFAST, PERMISSIVE):
         raise ValueError(f"mode must be {FAILFAST} or {PERMISSIVE}")
@@ -275,6 +278,9 @@ def read_dbf(
     with system.open_input_stream(files[0][0]) as stream:
         header = read_header(stream, mode == PERMISSIVE)
     check_unique([f.name for f in header.fields])
+    if range_bytes is None:
+        share = sum(size for _, size in files) // spark.sparkContext.defaultParallelism
+        range_bytes = min(LARGEST_RANGE, max(SMALLEST_RANGE, share))
     spark.dataSource.register(DbfRecords)
     records = (
         spark.read.format(DbfRecords.name())
@@ -353,7 +359,8 @@ def _encoded(value: Column, kind: T.DataType, field: DbfField) -> Column:
             .when(number == float("inf"), "inf")
             .when(number == float("-inf"), "-inf")
         )
-        plain = F.format_string(f"%.{field.decimals}f", number)
+        digits = number.try_cast(f"decimal(38,{field.decimals})").cast("string")
+        plain = F.coalesce(digits, F.format_string(f"%.{field.decimals}f", number))
         text = F.when(number.isNull(), None).otherwise(F.coalesce(special, plain))
         return _fitting(text, field)
     if field.type == "L":
@@ -363,7 +370,10 @@ def _encoded(value: Column, kind: T.DataType, field: DbfField) -> Column:
         if not isinstance(kind, T.DateType):
             return blank
         return F.rpad(F.coalesce(F.date_format(value, "yyyyMMdd"), blank), field.length, " ")
-    ascii_text = F.regexp_replace(value.cast("string"), r"[^\x00-\x7F]", "?")
+    text = value.cast("string")
+    ascii_text = F.when(F.octet_length(text) == F.length(text), text).otherwise(
+        F.regexp_replace(text, r"[^\x00-\x7F]", "?")
+    )
     return F.rpad(F.coalesce(ascii_text, blank), field.length, " ")
 
 
