@@ -6,6 +6,8 @@ task and one small shuffle.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,7 +20,7 @@ from ledgerleaf.functions.stat_code import (
 )
 
 # Share of the statutory death-benefit reserve allowed for tax.
-TAX_GMDB_FACTOR = 0.9281
+TAX_GMDB_FACTOR = Decimal("0.9281")
 
 # Cost centre of the journal entries.
 CENTER = "101M0000"

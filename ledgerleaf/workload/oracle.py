@@ -339,14 +339,14 @@ charged AS (
         CASE WHEN plan_code IN ('EIS', 'EIJ') THEN fees ELSE fees + coi_load END AS accrued_charges,
         CASE WHEN plan_code IN ('EIS', 'EIJ') THEN -coi_load ELSE 0 END AS unearned_coi,
         CASE WHEN aalr > oyt THEN aalr ELSE oyt END AS stat_gmdb,
-        CASE WHEN aalr > oyt THEN CAST(aalr AS DOUBLE) ELSE CAST(oyt AS DOUBLE) END * 0.9281e0 AS tax_gmdb
+        CASE WHEN aalr > oyt THEN aalr ELSE oyt END * CAST(0.9281 AS DECIMAL(4,4)) AS tax_gmdb
     FROM measured),
 reserved AS (
     SELECT *, base - accrued_charges AS sa,
         gross + gid + unearned_coi - accrued_charges AS stat_liability,
         tax_gross + gid + unearned_coi - accrued_charges AS tax_liability,
         gross - base - stat_gmdb - tax + unearned_coi + gid AS stat_ga,
-        CAST(tax_gross - base + unearned_coi + gid AS DOUBLE) - tax_gmdb AS tax_ga,
+        tax_gross - base + unearned_coi + gid - tax_gmdb AS tax_ga,
         CASE WHEN moses = 'PRM5' AND med_flag = 'P' THEN 'CET80'
             WHEN moses = 'PRM6' AND med_flag = 'P' AND era = '0' THEN 'CET80'
             WHEN moses IN ('PRM3', 'PRM4') AND plan_code <> 'SCHD' THEN

@@ -365,7 +365,7 @@ def extended_reserves(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def reserve_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _amounts(
-        reserves.reserve_summary(frames.policies(spark, sf_dir)), reserves.SUMMED_FIELDS, 4
+        reserves.reserve_summary(frames.exact_policies(spark, sf_dir)), reserves.SUMMED_FIELDS, 4
     )
 
 
