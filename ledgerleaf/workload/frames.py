@@ -251,13 +251,6 @@ def policies(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def exact_policies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """:func:`policies` with decimals for doubles, so that sums are exact."""
-    rows = policies(spark, sf_dir)
-    doubles = [name for name, kind in rows.dtypes if kind == "double"]
-    return rows.withColumns({name: money(F.col(f"`{name}`"), 4) for name in doubles})
-
-
 def policy_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers as policies: the key repeats the first letter of the segment."""
     key = F.lower(F.repeat(F.substring("c_mktsegment", 1, 1), 3))

@@ -454,7 +454,7 @@ SELECT l_orderkey, l_linenumber, lapse_status, legal_entity, '101M0000' AS "JE_c
 FROM coded"""
 
 ORACLE["reserve_summary"] = f"""WITH {POLICIES}
-SELECT legal_entity, {_field_list("sum({})", 4)} FROM reserved
+SELECT legal_entity, {_field_list("sum({})", 1)} FROM reserved
 GROUP BY legal_entity ORDER BY legal_entity DESC"""
 
 # --- scenario pack and tables ------------------------------------------------
