@@ -214,6 +214,11 @@ def _pick(options: list[str], number: Column) -> Column:
     )
 
 
+def ten_thousandths(amount: Column) -> Column:
+    """Amount in units of 0.0001, a whole number, so that sums of doubles are exact."""
+    return F.rint(amount * 10_000)
+
+
 def policies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items with their order and part as policies under valuation."""
     item = table(spark, sf_dir, "lineitem")
@@ -226,6 +231,20 @@ def policies(spark: SparkSession, sf_dir: str) -> DataFrame:
     prefix = F.when(flag == "A", "I_").when(flag == "R", "U_").otherwise("")
     price, quantity = F.col("l_extendedprice"), F.col("l_quantity")
     discount, tax = F.col("l_discount"), F.col("l_tax")
+    amounts = {
+        "UL Seg Fund/ Sep Acct Balance": price,
+        "UDV31_GID": price * discount,
+        "Accrued Admin Charge": price * tax,
+        "Accrued Asset Credit": quantity * discount,
+        "Accrued Net Loan Cost": quantity * tax,
+        "Accrued COI": quantity,
+        "Accrued Load": F.when(F.col("l_linenumber") != 7, discount),
+        "Reserve details - AG37 AALR": F.when(flag != "N", price * tax),
+        "Reserve details - AG37 OYT Res": price * discount,
+        "Stat Res - Gross reserve": F.col("p_retailprice"),
+        "Stat Res - Gross deficiency reserve": tax,
+        "Tax Res - Gross reserve": F.col("p_retailprice") * discount,
+    }
     return joined.select(
         "l_orderkey",
         "l_linenumber",
@@ -236,18 +255,7 @@ def policies(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_linestatus") == "F", "0").otherwise("_").alias("era"),
         (F.pmod("l_suppkey", F.lit(5)) + 1).cast("int").alias("Statutory Company"),
         F.year("o_orderdate").alias("Iss Year"),
-        price.alias("UL Seg Fund/ Sep Acct Balance"),
-        (price * discount).alias("UDV31_GID"),
-        (price * tax).alias("Accrued Admin Charge"),
-        (quantity * discount).alias("Accrued Asset Credit"),
-        (quantity * tax).alias("Accrued Net Loan Cost"),
-        quantity.alias("Accrued COI"),
-        F.when(F.col("l_linenumber") != 7, discount).alias("Accrued Load"),
-        F.when(flag != "N", price * tax).alias("Reserve details - AG37 AALR"),
-        (price * discount).alias("Reserve details - AG37 OYT Res"),
-        F.col("p_retailprice").alias("Stat Res - Gross reserve"),
-        tax.alias("Stat Res - Gross deficiency reserve"),
-        (F.col("p_retailprice") * discount).alias("Tax Res - Gross reserve"),
+        *[ten_thousandths(amount).alias(name) for name, amount in amounts.items()],
     )
 
 

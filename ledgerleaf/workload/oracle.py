@@ -310,6 +310,23 @@ FROM events"""
 
 # --- reserves ----------------------------------------------------------------
 
+# Amounts in units of 0.0001.
+_UNITS = {
+    "base": "price",
+    "gid": "price * discount",
+    "fees": "price * tax + quantity * discount + quantity * tax",
+    "coi_load": "quantity + CASE WHEN l_linenumber <> 7 THEN discount END",
+    "aalr": "CASE WHEN l_returnflag <> 'N' THEN price * tax END",
+    "oyt": "price * discount",
+    "gross": "retail",
+    "def": "tax",
+    "tax_gross": "retail * discount",
+}
+_UNIT_SQL = ", ".join(
+    f"CAST(10000 * CAST({sql} AS DECIMAL(14,4)) AS DECIMAL(18,0)) AS {name}"
+    for name, sql in _UNITS.items()
+)
+
 POLICIES = f"""policies AS (
     SELECT l_orderkey, l_linenumber,
         {_text_list(PLAN_CODES)}[p_size % {len(PLAN_CODES)} + 1] AS plan_code,
@@ -327,12 +344,7 @@ measured AS (
     SELECT *,
         CASE WHEN company IN (2, 3) THEN 'TLIC' WHEN company IN (4, 5) THEN 'TFLIC'
             ELSE 'undefined' END AS legal_entity,
-        CAST(price AS DECIMAL(18,4)) AS base, CAST(price * discount AS DECIMAL(18,4)) AS gid,
-        CAST(price * tax + quantity * discount + quantity * tax AS DECIMAL(18,4)) AS fees,
-        CAST(quantity + CASE WHEN l_linenumber <> 7 THEN discount END AS DECIMAL(18,4)) AS coi_load,
-        CAST(CASE WHEN l_returnflag <> 'N' THEN price * tax END AS DECIMAL(18,4)) AS aalr,
-        CAST(price * discount AS DECIMAL(18,4)) AS oyt,
-        CAST(retail AS DECIMAL(18,4)) AS gross, CAST(retail * discount AS DECIMAL(18,4)) AS tax_gross
+        {_UNIT_SQL}
     FROM policies),
 charged AS (
     SELECT *, plan_code IN ('EIS', 'EIJ') AS esti,
@@ -345,7 +357,7 @@ reserved AS (
     SELECT *, base - accrued_charges AS sa,
         gross + gid + unearned_coi - accrued_charges AS stat_liability,
         tax_gross + gid + unearned_coi - accrued_charges AS tax_liability,
-        gross - base - stat_gmdb - tax + unearned_coi + gid AS stat_ga,
+        gross - base - stat_gmdb - def + unearned_coi + gid AS stat_ga,
         tax_gross - base + unearned_coi + gid - tax_gmdb AS tax_ga,
         CASE WHEN moses = 'PRM5' AND med_flag = 'P' THEN 'CET80'
             WHEN moses = 'PRM6' AND med_flag = 'P' AND era = '0' THEN 'CET80'
@@ -386,7 +398,7 @@ FIELDS = {
     "JE_2001D1R": "stat_ga",
     "JE_2001C1R": "0",
     "JE_200DD1R": "stat_gmdb",
-    "JE_200AD1R": "tax",
+    "JE_200AD1R": "def",
     "JE_2008D1R": "0",
     "JE_150211R": "0",
     "JE_151211R": "0",
@@ -394,7 +406,7 @@ FIELDS = {
     "ex5_A_direct": "stat_ga",
     "ex5_A_ceded": "0",
     "ex5_G_gmdb": "stat_gmdb",
-    "ex5_G_def": "tax",
+    "ex5_G_def": "def",
     "ex5_G_ceded": "0",
     "ex5_E_alr": "0",
     "ex5_F_dlr": "0",
@@ -414,7 +426,7 @@ FIELDS = {
     "KC4_tax_ga": "tax_ga",
     "KC4_stat_gmdb_reserve": "stat_gmdb",
     "KC4_tax_gmdb_reserve": "tax_gmdb",
-    "KC4_stat_def_reserve": "tax",
+    "KC4_stat_def_reserve": "def",
     "KC4_tax_def_reserve": "0",
     "KC4_stat_ceded_reserve": "0",
     "KC4_tax_ceded_reserve": "0",
@@ -422,9 +434,11 @@ FIELDS = {
 
 
 def _field_list(wrap: str, digits: int) -> str:
+    """The fields as doubles; those that hold a multiple of the tax factor are rounded."""
+    amounts = {name: f"CAST({wrap.format(sql)} AS DOUBLE)" for name, sql in FIELDS.items()}
     return ", ".join(
-        f"round(CAST({wrap.format(sql)} AS DOUBLE), {digits}) AS {name}"
-        for name, sql in FIELDS.items()
+        f"round({sql}, {digits}) AS {name}" if FIELDS[name] in ("tax_ga", "tax_gmdb") else f"{sql} AS {name}"
+        for name, sql in amounts.items()
     )
 
 
@@ -446,15 +460,15 @@ FROM policies AS p LEFT JOIN (VALUES {_BASIS_VALUES})
 ORACLE["extended_reserves"] = f"""WITH {POLICIES}, {CODES}
 SELECT l_orderkey, l_linenumber, lapse_status, legal_entity, '101M0000' AS "JE_center",
     '101M0000' AS "Tax_center", stat_code AS ex5_stat_code,
-    {_rounded(["accrued_charges", "unearned_coi"], 8)},
-    round(CAST(CASE WHEN lapse_status = 'eti' THEN gross ELSE 0 END AS DOUBLE), 8) AS stat_eti_reserve,
+    CAST(accrued_charges AS DOUBLE) AS accrued_charges, CAST(unearned_coi AS DOUBLE) AS unearned_coi,
+    CAST(CASE WHEN lapse_status = 'eti' THEN gross ELSE 0 END AS DOUBLE) AS stat_eti_reserve,
     0.0e0 AS tax_eti_reserve,
-    round(CAST(CASE WHEN lapse_status = 'rpu' THEN gross ELSE 0 END AS DOUBLE), 8) AS stat_rpu_reserve,
-    0.0e0 AS tax_rpu_reserve, {_field_list("{}", 8)}
+    CAST(CASE WHEN lapse_status = 'rpu' THEN gross ELSE 0 END AS DOUBLE) AS stat_rpu_reserve,
+    0.0e0 AS tax_rpu_reserve, {_field_list("{}", 4)}
 FROM coded"""
 
 ORACLE["reserve_summary"] = f"""WITH {POLICIES}
-SELECT legal_entity, {_field_list("sum({})", 1)} FROM reserved
+SELECT legal_entity, {_field_list("sum({})", -3)} FROM reserved
 GROUP BY legal_entity ORDER BY legal_entity DESC"""
 
 # --- scenario pack and tables ------------------------------------------------

@@ -345,6 +345,18 @@ def mortality_map_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Fields that hold a multiple of the tax factor.
+FACTORED = ["Tax_2001D1R", "Tax_200DD1R", "KC4_tax_ga", "KC4_tax_gmdb_reserve"]
+
+
+def _published_amounts(digits: int) -> list[Column]:
+    """All published fields as doubles, the factored ones rounded."""
+    return [
+        _rounded(c, digits) if c in FACTORED else F.col(c).cast("double").alias(c)
+        for c in reserves.SUMMED_FIELDS
+    ]
+
+
 @query
 def extended_reserves(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = reserves.extended_reserves(frames.policies(spark, sf_dir))
@@ -358,15 +370,18 @@ def extended_reserves(spark: SparkSession, sf_dir: str) -> DataFrame:
         "tax_rpu_reserve",
     ]
     return rows.select(
-        *POLICY_COLUMNS, *labels, *[_rounded(c, 8) for c in [*own, *reserves.SUMMED_FIELDS]]
+        *POLICY_COLUMNS,
+        *labels,
+        *[F.col(c).cast("double").alias(c) for c in own],
+        *_published_amounts(digits=4),
     )
 
 
 @query
 def reserve_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sums of doubles, which differ in their last digits with the order of the rows."""
+    """Sums of whole numbers are exact; those of the tax factor depend on the order of rows."""
     summary = reserves.reserve_summary(frames.policies(spark, sf_dir))
-    return _amounts(summary, reserves.SUMMED_FIELDS, 1)
+    return summary.select("legal_entity", *_published_amounts(digits=-3))
 
 
 # --- scenario pack and tables ------------------------------------------------
