@@ -202,7 +202,7 @@ def batch_step_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy(F.col("l_orderkey").alias("Id"), F.col("l_suppkey").alias("Reference"))
         .agg(
             F.max("l_linenumber").alias("Act"),
-            F.nullif(F.max("l_returnflag"), F.lit("N")).alias("ArgumentNameTmp"),
+            F.nullif(F.char(F.max(F.ascii("l_returnflag"))), F.lit("N")).alias("ArgumentNameTmp"),
             F.when(seconds != 13, clock).alias("Time"),
         )
     )

@@ -83,6 +83,12 @@ def test_latest_lien(spark, lines, amount):
     assert notes.latest_lien_of_lines(split).first().lien_amount == amount
 
 
+def test_lines_are_aggregated_by_hashing(spark):
+    df = spark.createDataFrame([("p", 1, LIEN)], "policy_id string, line_no int, line string")
+    plan = notes.latest_lien_of_lines(df)._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
 def test_null_note(spark):
     df = spark.createDataFrame([("p", None)], "policy_id string, text string")
     assert notes.latest_lien(df).first().lien_amount == 0
