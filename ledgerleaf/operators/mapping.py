@@ -119,12 +119,13 @@ def wildcard_pairs(keys: DataFrame, patterns: DataFrame) -> DataFrame:
         "patterns",
     )
     simple = keys.where("_simple").select("_key", "_tags")
-    odd = keys.where(~F.col("_simple")).select("_key")
+    odd = keys.where(~F.col("_simple")).select("_key").distinct()
 
     by_tag = patterns.where("_by_tag").withColumn("_masked", _masked_tags(F.col("_tags"), F.col("_plain")))
     masks = [row["_plain"] for row in by_tag.select("_plain").distinct().collect()]
-    found = _pairs(odd, patterns.select("_pattern")).unionByName(
-        _pairs(simple.select("_key"), patterns.where(~F.col("_by_tag")).select("_pattern"))
+    others = patterns.where(~F.col("_by_tag")).select("_pattern").distinct()
+    found = _pairs(odd, patterns.select("_pattern").distinct()).unionByName(
+        _pairs(simple.select("_key"), others)
     )
     if masks:
         all_masks = F.array(*[F.array(*[F.lit(keep) for keep in mask]) for mask in masks])

@@ -41,8 +41,8 @@ def test_map_of_many_cells(spark):
 
 
 def test_wildcards_like_python(spark):
-    values = ["A", "AB", "a~b", "", "x\n", "1.5", None]
-    cells = [(i * 7 + j, a, b) for i, a in enumerate(values) for j, b in enumerate(values)]
+    values = ["A", "AB", "a", "a~b", "b~c", "c", "", "x\n", "1.5", None]
+    cells = [(i * 10 + j, a, b) for i, a in enumerate(values) for j, b in enumerate(values)]
     rows = [
         ("A", "AB", "plain"),
         ("A", ".*", "one wildcard"),
@@ -52,6 +52,8 @@ def test_wildcards_like_python(spark):
         ("(A", "B?)", "group over both tags"),
         ("[A-Z]+", "", "class"),
         ("a", "b", "separator in the value"),
+        ("a~b", "c", "same text from other tags"),
+        ("a", "b~c", "same text again"),
         ("", "~?A", "separator in the pattern"),
         (None, "A", "missing tag"),
         ("AB", "x", "line feed at the end"),
