@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerleaf.llm import bpe, quality
+from ledgerleaf.llm import bpe, license_scan, quality, secret_scan, url_filter, warc
 from ledgerleaf.llm.common import read
+from ledgerleaf.scratch import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -45,3 +46,53 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "kept",
         "host_verdict",
     )
+
+
+@query
+def op5_license(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.label_documents(read(spark, sf_dir, "documents"))
+
+
+@query
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.find_secrets(read(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["kind"] != "entropy")
+
+    def count(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+    return found.select(
+        "doc_id",
+        count("assign").alias("n_assign"),
+        count("access").alias("n_access"),
+        count("hex").alias("n_hex"),
+        F.sha2(secret_scan.joined_spans(base), 256).alias("base_sha256"),
+        secret_scan.joined_spans(F.col("spans")).alias("spans"),
+    )
+
+
+URL_RULES = (
+    url_filter.Rule("org", "/", url_filter.ALLOW),
+    url_filter.Rule("example.org", "/es/", url_filter.BLOCK),
+    url_filter.Rule("example.org", "/en/1", url_filter.BLOCK),
+    url_filter.Rule("com", "/fr/", url_filter.ALLOW),
+    url_filter.Rule("com", "/de/", url_filter.BLOCK),
+)
+
+
+@query
+def op4_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.filter_urls(read(spark, sf_dir, "pages"), URL_RULES)
+
+
+@query
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    warc.write_warc(read(spark, sf_dir, "pages"), path)
+    return warc.read_warc(spark, path).select(
+        warc.page_id_of("record_id").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        warc.page_id_of("refers_to").alias("refers_to"),
+    )
