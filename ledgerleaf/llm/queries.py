@@ -8,7 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerleaf.llm import bpe, license_scan, quality, secret_scan, url_filter, warc
+from ledgerleaf.llm import (
+    bpe,
+    license_scan,
+    quality,
+    secret_scan,
+    substring_dedup,
+    url_filter,
+    warc,
+)
 from ledgerleaf.llm.common import read
 from ledgerleaf.scratch import scratch_path
 
@@ -96,3 +104,9 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "record_type",
         warc.page_id_of("refers_to").alias("refers_to"),
     )
+
+
+@query
+def op9_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = substring_dedup.remove_repeats(read(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
