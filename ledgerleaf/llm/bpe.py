@@ -25,13 +25,15 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from ledgerleaf.llm.common import by_size
 
 NO_RANK = np.int64(1 << 40)
-POOL_WORDS = 200_000
-ROUND_BYTES = 1 << 20
+POOL_WORDS = 100_000
+ROUND_BYTES = 1 << 19
+BATCH_BYTES = 1 << 20
 # White space as the vocabulary's own splitting rule knows it.
 SPACE = r"\t-\r \u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 PIECES = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}]+|[\p{{N}}]|[^{SPACE}\p{{L}}\p{{N}}]+")
@@ -50,20 +52,16 @@ class Vocabulary:
     """Tokens, merge rules and special tokens of a tokenizer file with word ends."""
 
     def __init__(self, path: str) -> None:
-        with open(path, encoding="utf-8") as file:
-            data = json.load(file)
+        data = _read(path)
         ids: dict[str, int] = data["model"]["vocab"]
         suffix = data["model"]["end_of_word_suffix"]
         self.special = {t["content"]: t["id"] for t in data["added_tokens"]}
-        self.tokens = [""] * (max([*ids.values(), *self.special.values()]) + 1)
-        for token, i in [*ids.items(), *self.special.items()]:
-            self.tokens[i] = token
         names = _byte_names()
         self.byte_of = {name: b for b, name in enumerate(names)}
-        self.rules = Tokenizer.from_file(path)
+        self.path = path
         self.inner = np.array([ids[n] for n in names], np.int64)
         self.last = np.array([ids[n + suffix] for n in names], np.int64)
-        self.base = np.int64(len(self.tokens))
+        self.base = np.int64(max(ids.values()) + 1)
         pairs = [m if isinstance(m, list) else m.split(" ") for m in data["model"]["merges"]]
         keys = np.array([ids[a] * int(self.base) + ids[b] for a, b in pairs], np.int64)
         order = np.argsort(keys, kind="stable")
@@ -78,9 +76,8 @@ class Vocabulary:
                 return [chunk.lower().encode()]
         elif any(unicodedata.category(c) in ("Cn", "Mn", "Mc", "Me") for c in chunk):
             # Unicode versions differ in these: the tokenizer's own rules say what they are.
-            parts = self.rules.pre_tokenizer.pre_tokenize_str(
-                self.rules.normalizer.normalize_str(chunk)
-            )
+            rules = load_rules(self.path)
+            parts = rules.pre_tokenizer.pre_tokenize_str(rules.normalizer.normalize_str(chunk))
             return [bytes(map(self.byte_of.__getitem__, part)) for part, _ in parts]
         own = PIECES.findall(_lower(unicodedata.normalize("NFC", chunk)))
         return [p.encode("utf-8") for p in own]
@@ -235,7 +232,28 @@ class Encoder:
         return ids, np.r_[0, np.r_[0, ends][words_end]] if coded else np.zeros(1, np.int64)
 
 
-@lru_cache(maxsize=4)
+def _read(path: str) -> dict:
+    with open(path, encoding="utf-8") as file:
+        return json.load(file)
+
+
+@lru_cache(maxsize=1)
+def load_rules(path: str) -> Tokenizer:
+    return Tokenizer.from_file(path)
+
+
+@lru_cache(maxsize=1)
+def load_tokens(path: str) -> np.ndarray:
+    """The text of each token, by id."""
+    data = _read(path)
+    ids = [*data["model"]["vocab"].items(), *((t["content"], t["id"]) for t in data["added_tokens"])]
+    tokens = np.full(max(i for _, i in ids) + 1, "", object)
+    for token, i in ids:
+        tokens[i] = token
+    return tokens
+
+
+@lru_cache(maxsize=1)
 def load_vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
@@ -251,7 +269,7 @@ def bpe_encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "tex
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(load_vocabulary(path))
-        for batch in by_size(batches, "text"):
+        for batch in by_size(batches, "text", BATCH_BYTES):
             ids, offsets = encoder.encode(batch.column(1).to_pylist())
             lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32()))
             yield pa.RecordBatch.from_arrays([batch.column(0), lists], ["key", "ids"])
@@ -267,15 +285,18 @@ def bpe_decode(rows: DataFrame, path: str, ids: str = "ids") -> DataFrame:
     own. Null ids decode to an empty text. A column named ``decoded`` is replaced.
     """
 
-    def decode(column: pa.Array) -> pa.Array:
-        tokens = np.array(load_vocabulary(path).tokens, object)
-        texts = []
-        for i in range(len(column)):
-            own = column[i].values
-            texts.append(" ".join(tokens[own.to_numpy()]) if own is not None else "")
-        return pa.array(texts, pa.string())
+    rows = rows.drop("decoded")
+
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens = load_tokens(path)
+        for batch in by_size(batches, ids, BATCH_BYTES):
+            texts = []
+            for own in batch.column(batch.schema.get_field_index(ids)):
+                texts.append(" ".join(tokens[own.values.to_numpy()]) if own.is_valid else "")
+            yield batch.append_column("decoded", pa.array(texts, pa.string()))
 
-    return rows.withColumn("decoded", F.arrow_udf(decode, "string")(F.col(ids)))
+    schema = T.StructType([*rows.schema.fields, T.StructField("decoded", T.StringType())])
+    return rows.mapInArrow(decode, schema)
 
 
 def joined_ids(ids: Column) -> Column:

@@ -60,10 +60,13 @@ def sha256_hex(text: str) -> str:
 def by_size(
     batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 4 << 20
 ) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of about ``most_bytes`` of text, one row at least."""
+    """The same rows in batches of about ``most_bytes`` of text or numbers, one row at least."""
     for batch in batches:
-        texts = batch.column(batch.schema.get_field_index(column))
-        lengths = pc.binary_length(texts).to_pylist()
+        values = batch.column(batch.schema.get_field_index(column))
+        if pa.types.is_list(values.type):
+            lengths = pc.multiply(pc.list_value_length(values), 4).to_pylist()
+        else:
+            lengths = pc.binary_length(values).to_pylist()
         start = held = 0
         for i, n in enumerate(lengths):
             if held and held + (n or 0) > most_bytes:
