@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ledgerleaf.llm import (
     bpe,
     license_scan,
+    near_dedup,
     quality,
     secret_scan,
     substring_dedup,
@@ -110,3 +111,16 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = substring_dedup.remove_repeats(read(spark, sf_dir, "documents"))
     return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    join = near_dedup.SimilarityJoin(percent=85)
+    found = near_dedup.near_duplicates(read(spark, sf_dir, "documents"), join)
+    return found.select(
+        "doc_id",
+        "n_shingles",
+        "component_id",
+        (F.col("doc_id") == F.col("component_id")).alias("kept"),
+        "n_links",
+    )
