@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerleaf.llm import (
     bpe,
+    decontaminate,
     license_scan,
     near_dedup,
     quality,
@@ -124,3 +125,9 @@ def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("doc_id") == F.col("component_id")).alias("kept"),
         "n_links",
     )
+
+
+@query
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")
+    return decontaminate.contaminated(docs, items)
