@@ -1,23 +1,65 @@
-"""Stages that turn raw documents into training data, each over all rows of the one before."""
+"""Stages that turn raw documents into training data, each over all rows of the one before.
+
+Each stage takes the session, the documents that the stage before kept and the
+folder of the tables. All but the last return the columns of the documents.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerleaf.llm import quality
+from ledgerleaf.llm import bpe, decontaminate, line_dedup, near_dedup, quality
 from ledgerleaf.scratch import settle
 
+TOKENIZER = "word_bpe_49k.json"
+
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
     return quality.keep_good(docs)
 
 
+def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without lines that repeat an earlier one; ``n_chars`` follows the text."""
+    cut = line_dedup.dedup_lines(docs)
+    if "n_chars" not in cut.columns:
+        return cut
+    length = F.length("text").cast(docs.schema["n_chars"].dataType)
+    return cut.withColumn("n_chars", F.coalesce(length, F.col("n_chars")))
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates."""
+    return near_dedup.keep_one(docs)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without passages of the benchmark."""
+    return decontaminate.keep_clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, ids, n_tokens, and the digest of what the ids decode to."""
+    path = public_tokenizers.path(TOKENIZER)
+    return bpe.bpe_decode(bpe.bpe_encode(docs, path), path).select(
+        "doc_id",
+        "ids",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 STAGES = [
     ("quality_rules", quality_stage),
+    ("line_dedup", line_stage),
+    ("near_duplicates", near_duplicate_stage),
+    ("decontamination", decontamination_stage),
+    ("bpe", token_stage),
 ]
 
-# The stages hold joins on similarity, alignments and encoding, which SQL cannot express.
+# Similarity joins, alignments and encoding cannot be expressed in SQL over all rows.
 ORACLE_SQL = None
 
 

@@ -12,6 +12,7 @@ from ledgerleaf.llm import (
     bpe,
     decontaminate,
     license_scan,
+    line_dedup,
     near_dedup,
     quality,
     secret_scan,
@@ -131,3 +132,14 @@ def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")
     return decontaminate.contaminated(docs, items)
+
+
+@query
+def op2_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    gone = line_dedup.repeated_lines(read(spark, sf_dir, "documents"))
+    return gone.select(
+        F.col("doc").alias("doc_id"),
+        F.col("line").cast("long").alias("line_no"),
+        F.col("first_doc").alias("first_doc_id"),
+        F.col("first_line").cast("long").alias("first_line_no"),
+    )
