@@ -1,5 +1,218 @@
-"""The queries of the corpus operators as plain SQL, where SQL can express them."""
+"""The queries of the corpus operators as plain SQL, where SQL can express them.
+
+There is none for encoding (1), alignments (3), diagonal votes (5) and sliding
+entropy (10); tests compare these with brute force.
+"""
 
 from __future__ import annotations
 
 ORACLE: dict[str, str] = {}
+
+ORACLE["op2_lines"] = r"""
+WITH lines AS (
+  SELECT doc_id, generate_subscripts(parts, 1) - 1 AS line_no, unnest(parts) AS line
+  FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents)),
+sets AS (
+  SELECT doc_id, line_no,
+         list_distinct(regexp_extract_all(lower(line), '[^\x20\x09-\x0D]+')) AS words
+  FROM lines),
+judged AS (
+  SELECT row_number() OVER (ORDER BY doc_id, line_no) AS id, *, len(words) AS n
+  FROM sets WHERE len(words) >= 5),
+tokens AS (SELECT id, n, unnest(words) AS word FROM judged),
+counted AS (SELECT *, count(*) OVER (PARTITION BY word) AS c FROM tokens),
+placed AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY c, word) AS place FROM counted),
+prefix AS (SELECT id, word FROM placed WHERE place <= n - (80 * n + 99) // 100 + 1),
+pairs AS (
+  SELECT DISTINCT a.id AS x, b.id AS y
+  FROM prefix a JOIN prefix b ON a.word = b.word AND a.id < b.id),
+matched AS (
+  SELECT y, len(list_intersect(a.words, b.words)) AS shared, a.n + b.n AS total
+  FROM pairs JOIN judged a ON a.id = x JOIN judged b ON b.id = y)
+SELECT doc_id, line_no FROM judged
+WHERE id IN (SELECT y FROM matched WHERE 100 * shared >= 80 * (total - shared))
+"""
+
+ORACLE["op4_urls"] = r"""
+WITH rules(host, path, verdict) AS (VALUES
+  ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
+  ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
+parsed AS (
+  SELECT page_id,
+    coalesce(translate(regexp_extract(url, '://([^/?#]*)', 1),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+    coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path
+  FROM pages),
+fits AS (
+  SELECT page_id, r.host || r.path AS rule, r.verdict,
+    row_number() OVER (PARTITION BY page_id ORDER BY length(r.host || r.path) DESC) AS rank
+  FROM parsed p JOIN rules r
+    ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path)),
+judged AS (
+  SELECT p.page_id, p.host, p.path, f.rule, f.verdict
+  FROM parsed p LEFT JOIN fits f ON f.page_id = p.page_id AND f.rank = 1),
+parts AS (
+  SELECT *, string_split(host, '.') AS names FROM (SELECT DISTINCT host FROM judged)),
+suffixed AS (
+  SELECT host, names, CASE WHEN array_to_string(names[-2:], '.') IN (
+      'co.uk', 'org.uk', 'ac.uk', 'gov.uk', 'com.au', 'net.au', 'org.au', 'co.nz', 'co.jp',
+      'or.jp', 'ac.jp', 'com.br', 'com.cn', 'com.mx', 'com.ar', 'co.in', 'co.kr', 'co.za')
+    THEN 2 ELSE 1 END AS size FROM parts),
+hosts AS (
+  SELECT h.host, array_to_string(h.names[-h.size:], '.') AS suffix,
+    array_to_string(h.names[-(h.size + 1):], '.') AS domain,
+    count(j.verdict)::DOUBLE AS n,
+    coalesce(sum((j.verdict = 'block')::INT), 0)::DOUBLE AS bad
+  FROM suffixed h JOIN judged j ON j.host = h.host GROUP BY ALL),
+everything AS (SELECT (sum(bad) + 1) / (sum(n) + 2) AS mean FROM hosts),
+suffix_units AS (
+  SELECT suffix, sum(n) AS n, sum(bad) AS bad, (SELECT mean FROM everything) AS prior
+  FROM hosts GROUP BY suffix),
+suffix_share AS (
+  SELECT sum((bad - n * prior) * (bad - n * prior) / n - prior * (1 - prior)) AS above,
+         sum(prior * (1 - prior) * (n - 1)) AS room FROM suffix_units WHERE n > 0),
+suffix_strength AS (
+  SELECT CASE WHEN room > 0 AND above / room > 0
+    THEN least(greatest(1 / (above / room) - 1, 1.0), 10000.0) ELSE 10000.0 END AS s
+  FROM suffix_share),
+suffix_mean AS (SELECT suffix, (bad + s * prior) / (n + s) AS mean FROM suffix_units, suffix_strength),
+domain_units AS (
+  SELECT h.domain, h.suffix, sum(h.n) AS n, sum(h.bad) AS bad, any_value(m.mean) AS prior
+  FROM hosts h JOIN suffix_mean m USING (suffix) GROUP BY h.domain, h.suffix),
+domain_share AS (
+  SELECT sum((bad - n * prior) * (bad - n * prior) / n - prior * (1 - prior)) AS above,
+         sum(prior * (1 - prior) * (n - 1)) AS room FROM domain_units WHERE n > 0),
+domain_strength AS (
+  SELECT CASE WHEN room > 0 AND above / room > 0
+    THEN least(greatest(1 / (above / room) - 1, 1.0), 10000.0) ELSE 10000.0 END AS s
+  FROM domain_share),
+domain_mean AS (
+  SELECT domain, suffix, (bad + s * prior) / (n + s) AS mean FROM domain_units, domain_strength),
+host_units AS (
+  SELECT h.host, h.n, h.bad, m.mean AS prior FROM hosts h JOIN domain_mean m USING (domain, suffix)),
+host_share AS (
+  SELECT sum((bad - n * prior) * (bad - n * prior) / n - prior * (1 - prior)) AS above,
+         sum(prior * (1 - prior) * (n - 1)) AS room FROM host_units WHERE n > 0),
+host_strength AS (
+  SELECT CASE WHEN room > 0 AND above / room > 0
+    THEN least(greatest(1 / (above / room) - 1, 1.0), 10000.0) ELSE 10000.0 END AS s
+  FROM host_share),
+host_mean AS (SELECT host, n + s AS weight, (bad + s * prior) / (n + s) AS mean FROM host_units, host_strength),
+low AS (SELECT host, mean - 1.645 * sqrt(mean * (1 - mean) / (weight + 1)) AS low FROM host_mean)
+SELECT j.page_id, j.host, j.path, j.rule,
+  coalesce(j.verdict, CASE WHEN l.low > 0.5 THEN 'block' ELSE 'allow' END) AS verdict
+FROM judged j JOIN low l ON l.host = j.host
+"""
+
+ORACLE["op6_warc"] = r"""
+WITH payloads AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+firsts AS (SELECT *, min(page_id) OVER (PARTITION BY html) AS first FROM payloads),
+bits AS (SELECT *, from_hex(sha1(html))::BIT::VARCHAR AS bits FROM firsts)
+SELECT page_id, octet_length(encode(html)) AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda i:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1
+      + 16 * substr(bits, 5 * i::INT + 1, 1)::INT + 8 * substr(bits, 5 * i::INT + 2, 1)::INT
+      + 4 * substr(bits, 5 * i::INT + 3, 1)::INT + 2 * substr(bits, 5 * i::INT + 4, 1)::INT
+      + substr(bits, 5 * i::INT + 5, 1)::INT, 1)), '') AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
+FROM bits
+"""
+
+ORACLE["op7_quality"] = r"""
+WITH docs AS (SELECT doc_id, source, coalesce(text, '') AS text FROM documents),
+split AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words FROM docs),
+grams AS (
+  SELECT doc_id, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS gram
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 1)) AS i FROM split)),
+twins AS (
+  SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, gram) AS c FROM grams)
+  WHERE c > 1),
+covered AS (
+  SELECT doc_id, count(DISTINCT p) AS n
+  FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM twins) GROUP BY doc_id),
+lines AS (
+  SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM docs)
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+counts AS (
+  SELECT s.doc_id, s.source, len(s.words) AS n_words,
+    length(array_to_string(s.words, '')) AS word_chars,
+    length(s.text) - length(regexp_replace(s.text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+    coalesce(l.n_dup, 0) AS n_dup_lines, coalesce(l.n_lines, 0) AS n_lines,
+    coalesce(c.n, 0) AS n_repeat_words
+  FROM split s LEFT JOIN lines l USING (doc_id) LEFT JOIN covered c USING (doc_id)),
+based AS (
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counts),
+failed AS (
+  SELECT *, base_failed OR 100 * n_symbols > 10 * n_words OR 100 * n_dup_lines > 30 * n_lines
+    OR word_chars < 2 * n_words OR word_chars > 15 * n_words AS any_failed FROM based),
+hosts AS (
+  SELECT source, count(*)::DOUBLE AS n, sum(any_failed::INT)::DOUBLE AS f FROM failed GROUP BY source),
+total AS (
+  SELECT sum(f) / sum(n) AS mean, sum(n) AS docs, count(*)::DOUBLE AS hosts, sum(f * f / n) AS squares
+  FROM hosts),
+spread AS (
+  SELECT mean, mean * (1 - mean) AS chance,
+    (squares - docs * mean * mean - (hosts - 1) * mean * (1 - mean))
+      / greatest(docs - (hosts - 1), 1.0) AS variance FROM total),
+prior AS (
+  SELECT mean, CASE WHEN variance > 0
+    THEN least(greatest(chance / variance - 1, 1.0), 10000.0) ELSE 10000.0 END AS strength FROM spread),
+rates AS (
+  SELECT source, n + strength AS size, (f + mean * strength) / (n + strength) AS rate FROM hosts, prior),
+verdicts AS (
+  SELECT source, CASE
+    WHEN rate - 2.0 * sqrt(rate * (1 - rate) / (size + 1)) > 0.5 THEN 'rejected'
+    WHEN rate + 2.0 * sqrt(rate * (1 - rate) / (size + 1)) <= 0.01 THEN 'trusted'
+    ELSE 'watched' END AS host_verdict FROM rates)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT (base_failed OR host_verdict = 'rejected' OR (host_verdict = 'watched' AND any_failed)) AS kept,
+  host_verdict
+FROM failed f JOIN verdicts v ON f.source IS NOT DISTINCT FROM v.source
+"""
+
+ORACLE["op8_near_duplicates"] = r"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(words[i:i + 4], ' ') AS shingle
+  FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 3, 2))) AS i
+        FROM split WHERE len(words) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+  FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+  SELECT x, y FROM shared JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+  WHERE 100 * c >= 85 * (p.n + q.n - c)),
+edges AS (SELECT x, y FROM links UNION SELECT y, x FROM links),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION SELECT r.doc_id, e.y FROM reach r JOIN edges e ON e.x = r.other),
+named AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT n.doc_id, coalesce(s.n, 0) AS n_shingles, n.component_id, n.doc_id = n.component_id AS kept
+FROM named n LEFT JOIN sizes s USING (doc_id)
+"""
+
+ORACLE["op9_substrings"] = r"""
+WITH split AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+windows AS (
+  SELECT doc_id, i, array_to_string(words[i:i + 19], ' ') AS w
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS i FROM split)),
+later AS (
+  SELECT doc_id, i FROM (
+    SELECT *, row_number() OVER (PARTITION BY w ORDER BY doc_id, i) AS rank FROM windows)
+  WHERE rank > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS p FROM later),
+words AS (SELECT doc_id, generate_subscripts(words, 1) AS p, unnest(words) AS word FROM split),
+kept AS (
+  SELECT w.doc_id, string_agg(w.word, ' ' ORDER BY w.p) AS text, count(*) AS n
+  FROM words w ANTI JOIN gone g ON w.doc_id = g.doc_id AND w.p = g.p GROUP BY w.doc_id)
+SELECT s.doc_id, len(s.words) AS n_words, len(s.words) - coalesce(k.n, 0) AS n_removed,
+  sha256(coalesce(k.text, '')) AS kept_sha256
+FROM split s LEFT JOIN kept k USING (doc_id)
+"""

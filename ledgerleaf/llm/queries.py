@@ -123,8 +123,7 @@ def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id",
         "n_shingles",
         "component_id",
-        (F.col("doc_id") == F.col("component_id")).alias("kept"),
-        "n_links",
+        F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"),
     )
 
 
@@ -137,9 +136,4 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     gone = line_dedup.repeated_lines(read(spark, sf_dir, "documents"))
-    return gone.select(
-        F.col("doc").alias("doc_id"),
-        F.col("line").cast("long").alias("line_no"),
-        F.col("first_doc").alias("first_doc_id"),
-        F.col("first_line").cast("long").alias("first_line_no"),
-    )
+    return gone.select(F.col("doc").alias("doc_id"), F.col("line").cast("long").alias("line_no"))
