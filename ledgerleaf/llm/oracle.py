@@ -70,10 +70,12 @@ suffix_units AS (
   FROM hosts GROUP BY suffix),
 suffix_share AS (
   SELECT sum((bad - n * prior) * (bad - n * prior) / n - prior * (1 - prior)) AS above,
-         sum(prior * (1 - prior) * (n - 1)) AS room FROM suffix_units WHERE n > 0),
+         sum(prior * (1 - prior) * (n - 1)) AS room,
+         greatest(1.0, least(10000.0, sum(n))) AS most FROM suffix_units WHERE n > 0),
 suffix_strength AS (
   SELECT CASE WHEN room > 0 AND above / room > 0
-    THEN least(greatest(1 / (above / room) - 1, 1.0), 10000.0) ELSE 10000.0 END AS s
+    THEN least(greatest(1 / (above / room) - 1, 1.0), most)
+    WHEN room > 0 THEN most ELSE 1.0 END AS s
   FROM suffix_share),
 suffix_mean AS (SELECT suffix, (bad + s * prior) / (n + s) AS mean FROM suffix_units, suffix_strength),
 domain_units AS (
@@ -81,10 +83,12 @@ domain_units AS (
   FROM hosts h JOIN suffix_mean m USING (suffix) GROUP BY h.domain, h.suffix),
 domain_share AS (
   SELECT sum((bad - n * prior) * (bad - n * prior) / n - prior * (1 - prior)) AS above,
-         sum(prior * (1 - prior) * (n - 1)) AS room FROM domain_units WHERE n > 0),
+         sum(prior * (1 - prior) * (n - 1)) AS room,
+         greatest(1.0, least(10000.0, sum(n))) AS most FROM domain_units WHERE n > 0),
 domain_strength AS (
   SELECT CASE WHEN room > 0 AND above / room > 0
-    THEN least(greatest(1 / (above / room) - 1, 1.0), 10000.0) ELSE 10000.0 END AS s
+    THEN least(greatest(1 / (above / room) - 1, 1.0), most)
+    WHEN room > 0 THEN most ELSE 1.0 END AS s
   FROM domain_share),
 domain_mean AS (
   SELECT domain, suffix, (bad + s * prior) / (n + s) AS mean FROM domain_units, domain_strength),
@@ -92,10 +96,12 @@ host_units AS (
   SELECT h.host, h.n, h.bad, m.mean AS prior FROM hosts h JOIN domain_mean m USING (domain, suffix)),
 host_share AS (
   SELECT sum((bad - n * prior) * (bad - n * prior) / n - prior * (1 - prior)) AS above,
-         sum(prior * (1 - prior) * (n - 1)) AS room FROM host_units WHERE n > 0),
+         sum(prior * (1 - prior) * (n - 1)) AS room,
+         greatest(1.0, least(10000.0, sum(n))) AS most FROM host_units WHERE n > 0),
 host_strength AS (
   SELECT CASE WHEN room > 0 AND above / room > 0
-    THEN least(greatest(1 / (above / room) - 1, 1.0), 10000.0) ELSE 10000.0 END AS s
+    THEN least(greatest(1 / (above / room) - 1, 1.0), most)
+    WHEN room > 0 THEN most ELSE 1.0 END AS s
   FROM host_share),
 host_mean AS (SELECT host, n + s AS weight, (bad + s * prior) / (n + s) AS mean FROM host_units, host_strength),
 low AS (SELECT host, mean - 1.645 * sqrt(mean * (1 - mean) / (weight + 1)) AS low FROM host_mean)

@@ -90,21 +90,25 @@ def _posterior(units: DataFrame, settings: Reputation) -> DataFrame:
     """``units`` (n, bad, prior: the parent's mean) with ``strength`` and ``mean``.
 
     The strength is fitted by moments: deviations from the parents' means beyond
-    those that chance makes are the spread of the beta distribution.
+    those that chance makes are the spread of the beta distribution. Without any
+    deviation it is as large as the number of known pages, without repeated
+    observations it is the weakest.
     """
     n, bad, prior = F.col("n"), F.col("bad"), F.col("prior")
     chance = prior * (1 - prior)
     seen = units.where("n > 0").agg(
         F.sum((bad - n * prior) * (bad - n * prior) / n - chance).alias("above"),
         F.sum(chance * (n - 1)).alias("room"),
+        F.sum(n).alias("pages"),
     )
     share = F.col("above") / F.col("room")
-    fitted = F.when(
-        (F.col("room") > 0) & (share > 0),
-        F.least(
-            F.greatest(1 / share - 1, F.lit(settings.weakest)), F.lit(settings.strongest)
-        ),
-    ).otherwise(F.lit(settings.strongest))
+    weakest = F.lit(settings.weakest)
+    strongest = F.greatest(weakest, F.least(F.lit(settings.strongest), F.col("pages")))
+    fitted = (
+        F.when((F.col("room") > 0) & (share > 0), F.least(F.greatest(1 / share - 1, weakest), strongest))
+        .when(F.col("room") > 0, strongest)
+        .otherwise(weakest)
+    )
     return units.withColumn("strength", seen.select(fitted).scalar()).withColumn(
         "mean", (bad + F.col("strength") * prior) / (n + F.col("strength"))
     )
