@@ -64,10 +64,10 @@ hosts AS (
     count(j.verdict)::DOUBLE AS n,
     coalesce(sum((j.verdict = 'block')::INT), 0)::DOUBLE AS bad
   FROM suffixed h JOIN judged j ON j.host = h.host GROUP BY ALL),
-everything AS (SELECT (sum(bad) + 1) / (sum(n) + 2) AS mean FROM hosts),
+everything AS (SELECT sum(bad) AS bad, sum(n) AS n FROM hosts),
 suffix_units AS (
-  SELECT suffix, sum(n) AS n, sum(bad) AS bad, (SELECT mean FROM everything) AS prior
-  FROM hosts GROUP BY suffix),
+  SELECT s.*, (e.bad - s.bad + 1) / (e.n - s.n + 2) AS prior
+  FROM (SELECT suffix, sum(n) AS n, sum(bad) AS bad FROM hosts GROUP BY suffix) s, everything e),
 suffix_share AS (
   SELECT sum((bad - n * prior) * (bad - n * prior) / n - prior * (1 - prior)) AS above,
          sum(prior * (1 - prior) * (n - 1)) AS room,
@@ -77,10 +77,10 @@ suffix_strength AS (
     THEN least(greatest(1 / (above / room) - 1, 1.0), most)
     WHEN room > 0 THEN most ELSE 1.0 END AS s
   FROM suffix_share),
-suffix_mean AS (SELECT suffix, (bad + s * prior) / (n + s) AS mean FROM suffix_units, suffix_strength),
 domain_units AS (
-  SELECT h.domain, h.suffix, sum(h.n) AS n, sum(h.bad) AS bad, any_value(m.mean) AS prior
-  FROM hosts h JOIN suffix_mean m USING (suffix) GROUP BY h.domain, h.suffix),
+  SELECT d.*, (m.bad - d.bad + s * m.prior) / (m.n - d.n + s) AS prior
+  FROM (SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad FROM hosts GROUP BY domain, suffix) d
+  JOIN suffix_units m ON m.suffix = d.suffix, suffix_strength),
 domain_share AS (
   SELECT sum((bad - n * prior) * (bad - n * prior) / n - prior * (1 - prior)) AS above,
          sum(prior * (1 - prior) * (n - 1)) AS room,
@@ -90,10 +90,9 @@ domain_strength AS (
     THEN least(greatest(1 / (above / room) - 1, 1.0), most)
     WHEN room > 0 THEN most ELSE 1.0 END AS s
   FROM domain_share),
-domain_mean AS (
-  SELECT domain, suffix, (bad + s * prior) / (n + s) AS mean FROM domain_units, domain_strength),
 host_units AS (
-  SELECT h.host, h.n, h.bad, m.mean AS prior FROM hosts h JOIN domain_mean m USING (domain, suffix)),
+  SELECT h.host, h.n, h.bad, (m.bad - h.bad + s * m.prior) / (m.n - h.n + s) AS prior
+  FROM hosts h JOIN domain_units m ON m.domain = h.domain AND m.suffix = h.suffix, domain_strength),
 host_share AS (
   SELECT sum((bad - n * prior) * (bad - n * prior) / n - prior * (1 - prior)) AS above,
          sum(prior * (1 - prior) * (n - 1)) AS room,

@@ -7,8 +7,8 @@ Other pages are judged by the reputation of their host. Method: empirical Bayes.
 Pages with a known outcome are counted by host; a host's share of bad pages is
 shrunk towards that of its registered domain, the domain's towards its suffix's,
 the suffix's towards that of all pages. Each step is a beta-binomial posterior
-whose prior has the parent's mean and a strength fitted to all members of the
-level. A host is blocked when the lower bound of its posterior is above a limit,
+whose prior has the mean of the parent's other members, so that no page counts
+twice, and a strength fitted to all members of the level. A host is blocked when the lower bound of its posterior is above a limit,
 so hosts with little evidence stay allowed.
 
 In plain columns: counts are added up before they are shuffled, so a host with a
@@ -134,12 +134,21 @@ def host_reputation(outcomes: DataFrame, settings: Reputation = Reputation()) ->
     def level(*by: str) -> DataFrame:
         return hosts.groupBy(*by).agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
 
-    everything = hosts.agg(((F.sum("bad") + 1) / (F.sum("n") + 2)).alias("mean"))
-    suffixes = _posterior(level("suffix").withColumn("prior", everything.scalar()), settings)
-    parents = suffixes.select("suffix", F.col("mean").alias("prior"))
-    domains = _posterior(level("domain", "suffix").join(parents, "suffix"), settings)
-    parents = domains.select("domain", "suffix", F.col("mean").alias("prior"))
-    judged = _posterior(hosts.join(parents, ["domain", "suffix"]), settings)
+    def below(units: DataFrame, parents: DataFrame, by: list[str]) -> DataFrame:
+        """``units`` with the mean of the rest of their parent as ``prior``."""
+        p = parents.select(*by, *[F.col(c).alias(f"_{c}") for c in ("n", "bad", "prior", "strength")])
+        rest = F.col("_bad") - F.col("bad") + F.col("_strength") * F.col("_prior")
+        size = F.col("_n") - F.col("n") + F.col("_strength")
+        joined = units.join(p, by).withColumn("prior", rest / size)
+        return joined.drop("_n", "_bad", "_prior", "_strength")
+
+    total = hosts.agg(F.struct(F.sum("n").alias("n"), F.sum("bad").alias("bad")))
+    suffixes = level("suffix").withColumn("all", total.scalar())
+    others = F.col("all.bad") - F.col("bad") + 1
+    suffixes = suffixes.withColumn("prior", others / (F.col("all.n") - F.col("n") + 2)).drop("all")
+    suffixes = _posterior(suffixes, settings)
+    domains = _posterior(below(level("domain", "suffix"), suffixes, ["suffix"]), settings)
+    judged = _posterior(below(hosts, domains, ["domain", "suffix"]), settings)
     weight = F.col("n") + F.col("strength")
     deviation = F.sqrt(F.col("mean") * (1 - F.col("mean")) / (weight + 1))
     return judged.select(
