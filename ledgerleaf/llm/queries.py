@@ -99,7 +99,7 @@ def op4_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
-    warc.write_warc(read(spark, sf_dir, "pages"), path)
+    warc.write_warc(read(spark, sf_dir, "pages"), path, compress=True)
     return warc.read_warc(spark, path).select(
         warc.page_id_of("record_id").alias("page_id"),
         "payload_bytes",
