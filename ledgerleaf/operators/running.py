@@ -5,15 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerleaf.functions.names import quoted
+from ledgerleaf.functions.names import check_unique, quoted
 from ledgerleaf.scratch import settle
 
-BLOCK_WIDTH = 4096
+_OWN = ("_value", "_copies", "_block", "_inside", "_before", "_total", "_copy", "_from")
 COPIES_PER_TASK = 100_000
 
 
 def repeat_rows(df: DataFrame, copies: str, index: str, most: int) -> DataFrame:
-    """Each row ``copies`` times, numbered from 0 in ``index``.
+    """Each row ``copies`` times, numbered from 0 in ``index``; a row with 0 copies is left out.
 
     ``most`` is the largest number of copies. A row with very many is first cut
     into runs of ``COPIES_PER_TASK`` that are spread over all tasks.
@@ -21,8 +21,7 @@ def repeat_rows(df: DataFrame, copies: str, index: str, most: int) -> DataFrame:
     amount = quoted(copies)
     zero = F.lit(0).cast("bigint")
     if most <= COPIES_PER_TASK:
-        wanted = df if most == 1 else df.where(amount > 0)
-        return wanted.withColumn(index, F.explode(F.sequence(zero, amount - 1)))
+        return df.where(amount > 0).withColumn(index, F.explode(F.sequence(zero, amount - 1)))
     few = repeat_rows(df.where(amount <= COPIES_PER_TASK), copies, index, COPIES_PER_TASK)
     run_length = F.lit(COPIES_PER_TASK).cast("bigint")
     runs = df.where(amount > COPIES_PER_TASK).withColumn(
@@ -48,51 +47,54 @@ def running_total_before(
     order: str,
     value: Column,
     out: str,
-    block_width: int = BLOCK_WIDTH,
+    blocks: int | None = None,
 ) -> DataFrame:
     """Sum of ``value`` over the earlier rows of the group, 0 for the first.
 
-    ``order`` is a whole number. Rows that tie on it are put in order of their
-    other columns. A group may be of any size: equal rows are counted
-    before the first shuffle, each group is cut into blocks of ``block_width``
-    order values, only the block totals of a group meet in one task, and rows
-    are added up inside their block. The counted rows are stored in the shared
+    Rows that tie on ``order`` are put in order of their other columns; nulls
+    come last. A group may be of any size, whatever its order values: equal rows
+    are counted before the first shuffle, the rest is cut by range into parts of
+    about the same number of rows, and rows are added up inside their part. Only
+    groups that reach into a second part need the totals of earlier parts, which
+    are fewer than there are parts. ``blocks`` is the number of parts; without
+    it the size of the data decides. The counted rows are stored in the shared
     folder, as all these steps read them.
     """
     columns = df.columns
+    check_unique([*columns, *_OWN])
     group = [quoted(k) for k in keys]
     ties = [quoted(c) for c in columns if c != order and c not in keys]
-    past_all = F.lit(1 << 62).cast("bigint")
-    block = F.coalesce(F.floor(quoted(order) / block_width), past_all)
-    counted = settle(
+    sequence = [quoted(order).asc_nulls_last(), *ties, F.col("_value")]
+    counted = (
         df.withColumn("_value", F.coalesce(value, F.lit(0)))
         .groupBy(*[quoted(c) for c in columns], F.col("_value"))
         .agg(F.count(F.lit(1)).alias("_copies"))
-        .withColumn("_block", block),
-        "counted",
     )
+    ranges = [*group, *sequence]
+    cut = counted.repartitionByRange(*([blocks] if blocks else []), *ranges)
+    counted = settle(cut.withColumn("_block", F.spark_partition_id()), "counted")
+
     amount = F.col("_value") * F.col("_copies")
     zero = F.lit(0)
-    earlier_rows = (
-        Window.partitionBy(*group, "_block")
-        .orderBy(quoted(order).asc_nulls_last(), *ties)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    earlier_blocks = (
-        Window.partitionBy(*group)
-        .orderBy("_block")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
+    past = (Window.unboundedPreceding, -1)
+    earlier_rows = Window.partitionBy(*group, "_block").orderBy(*sequence).rowsBetween(*past)
+    earlier_blocks = Window.partitionBy(*group).orderBy("_block").rowsBetween(*past)
     inside = counted.withColumn("_inside", F.coalesce(F.sum(amount).over(earlier_rows), zero))
-    blocks = (
+    totals = (
         counted.groupBy(*group, "_block")
         .agg(F.sum(amount).alias("_total"))
-        .withColumn("_before", F.coalesce(F.sum("_total").over(earlier_blocks), zero))
+        .withColumn("_before", F.sum("_total").over(earlier_blocks))
+        .where("_before is not null")
         .drop("_total")
     )
     right = {k: f"_right_{k}" for k in [*keys, "_block"]}
     same_block = [quoted(k).eqNullSafe(quoted(r)) for k, r in right.items()]
-    placed = inside.join(blocks.withColumnsRenamed(right), same_block)
+    later_parts = settle(totals, "totals").withColumnsRenamed(right)
+    placed = inside.join(later_parts, same_block, "left")
     repeated = repeat_rows(placed, "_copies", "_copy", largest(counted, "_copies"))
-    total = F.col("_before") + F.col("_inside") + F.col("_copy") * F.col("_value")
+    total = (
+        F.coalesce(F.col("_before"), zero)
+        + F.col("_inside")
+        + F.col("_copy") * F.col("_value")
+    )
     return repeated.select(*[quoted(c) for c in columns], total.alias(out))

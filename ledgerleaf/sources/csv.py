@@ -4,7 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-_FORMAT = {"header": True, "escape": '"'}
+# Blanks at the ends, empty texts and fractions of a second have to come back as
+# they are. Null is an empty field, an empty text a pair of quotes.
+_FORMAT = {
+    "header": True,
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][XXX]",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]",
+}
+# What an empty field stands for while reading: a text that files do not hold.
+_NO_VALUE = "\x00"
 
 
 def read_csv(
@@ -13,17 +24,25 @@ def read_csv(
     """CSV with a header row.
 
     Values may hold line breaks inside quotes. Such files cannot be split, so
-    pass ``quoted_newlines=False`` for large files that have none. Without a
-    ``schema`` the types are inferred, which reads the data once more.
+    pass ``quoted_newlines=False`` for large files that have none; with a
+    ``schema``, a row that does not fit it is an error then. Without a ``schema``
+    the types are inferred, which reads the data once more. An empty field is
+    null, a pair of quotes an empty text.
     """
-    reader = spark.read.options(**_FORMAT, multiLine=quoted_newlines)
-    reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
+    reader = spark.read.options(
+        **_FORMAT, multiLine=quoted_newlines, nullValue=_NO_VALUE, emptyValue=""
+    )
+    if schema is None:
+        return reader.option("inferSchema", True).csv(path)
+    reader = reader.schema(schema)
+    if not quoted_newlines:
+        reader = reader.option("mode", "FAILFAST")
     return reader.csv(path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """Replace ``path`` by CSV files with a header row."""
-    df.write.mode("overwrite").options(**_FORMAT).csv(path)
+    """Replace ``path`` by CSV files with a header row; :func:`read_csv` gives the same values."""
+    df.write.mode("overwrite").options(**_FORMAT, nullValue="", emptyValue='""').csv(path)
 
 
 def csv_to_table(
@@ -32,13 +51,16 @@ def csv_to_table(
     table: str,
     schema=None,
     path: str | None = None,
+    quoted_newlines: bool = True,
 ) -> DataFrame:
     """Append the rows of a CSV file to a table, which is created when absent.
 
-    A row is a line: as in a plain bulk load, values hold no line breaks.
-    ``path`` makes it an external table in that folder.
+    A table that exists keeps its types. ``path`` makes it an external table in
+    that folder. For ``quoted_newlines`` see :func:`read_csv`.
     """
-    rows = read_csv(spark, csv_path, schema, quoted_newlines=False)
+    if schema is None and spark.catalog.tableExists(table):
+        schema = spark.table(table).schema
+    rows = read_csv(spark, csv_path, schema, quoted_newlines)
     writer = rows.write.mode("append").format("parquet")
     if path is not None:
         writer = writer.option("path", path)

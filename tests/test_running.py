@@ -4,6 +4,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerleaf import scratch
 from ledgerleaf.operators import running
 
 
@@ -16,24 +17,49 @@ def _brute_force(rows):
     return sorted(wanted, key=str)
 
 
-@pytest.mark.parametrize("width", [1, 3, 4096])
-def test_running_total(spark, width):
-    rng = random.Random(width)
+@pytest.mark.parametrize("blocks", [None, 1, 7])
+def test_running_total(spark, blocks):
+    rng = random.Random(blocks)
     rows = [
         (rng.choice([1, 1, 1, 2, 3]), rng.randint(0, 40), rng.choice("xy"), rng.choice([0, 5, 7]))
         for _ in range(400)
     ]
     rows += [(1, 5, "x", 7)] * 50 + [(None, 1, "x", 2), (None, 2, "x", 2), (2, None, "x", 3)]
     df = spark.createDataFrame(rows, "id int, ref int, name string, secs int")
-    result = running.running_total_before(df, ["id"], "ref", F.col("secs"), "before", width)
+    result = running.running_total_before(df, ["id"], "ref", F.col("secs"), "before", blocks)
     assert sorted([tuple(r) for r in result.collect()], key=str) == _brute_force(rows)
 
 
-def test_hot_group_is_cut_into_blocks(spark):
-    df = spark.range(20_000).select(F.lit(1).alias("id"), F.col("id").alias("ref"), F.lit(2).alias("secs"))
-    result = running.running_total_before(df, ["id"], "ref", F.col("secs"), "before", block_width=500)
-    assert result.where(F.col("before") != 2 * F.col("ref")).count() == 0
-    assert result.count() == 20_000
+@pytest.mark.parametrize("step", [10_000, 0])
+def test_hot_group_is_cut_by_rows(spark, monkeypatch, step):
+    """One group, its order values far apart or all equal."""
+    stored = []
+
+    def settle(df, label):
+        result = scratch.settle(df, label)
+        stored.append((label, result))
+        return result
+
+    monkeypatch.setattr(running, "settle", settle)
+    df = spark.range(100_000).select(
+        F.lit(1).alias("id"),
+        (F.col("id") * step).alias("ref"),
+        F.format_string("%06d", "id").alias("name"),
+        F.lit(2).alias("secs"),
+    )
+    result = running.running_total_before(df, ["id"], "ref", F.col("secs"), "before", blocks=8)
+    assert result.where(F.col("before") != 2 * F.col("name").cast("long")).count() == 0
+    assert result.count() == 100_000
+    counted = dict(stored)["counted"]
+    largest = counted.groupBy("id", "_block").count().agg(F.max("count")).first()[0]
+    assert largest < 100_000 / 4
+
+
+@pytest.mark.parametrize("most", [1, 37])
+def test_rows_without_copies_are_left_out(spark, most):
+    df = spark.createDataFrame([("a", most), ("d", 0)], "k string, n bigint")
+    found = running.repeat_rows(df, "n", "i", running.largest(df, "n")).collect()
+    assert {r.k for r in found} == {"a"} and len(found) == most
 
 
 def test_many_copies_are_spread(spark, monkeypatch):

@@ -1,3 +1,6 @@
+import datetime
+from decimal import Decimal
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -113,3 +116,39 @@ class _Cluster:
 def test_cluster_needs_the_setting():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         scratch.shared_root(_Cluster)
+
+
+NASTY = [
+    "  lead", "trail  ", "a\n\n", " ", "", None, 'say "x"', "back\\slash\\", 'end\\"', "a,b",
+    "\r\n line", "tab\t", "#no comment", "'single'", "é漢", '"', "\\N", "null",
+]
+
+
+@pytest.mark.parametrize("quoted_newlines", [True, False])
+def test_csv_keeps_every_value(spark, tmp_path, quoted_newlines):
+    texts = [t for t in NASTY if quoted_newlines or not t or not {"\n", "\r"} & set(t)]
+    moment = datetime.datetime(2020, 2, 29, 23, 59, 58, 123456)
+    rows = [(i, t, Decimal("1.10"), moment, moment.date(), None) for i, t in enumerate(texts)]
+    schema = "id int, text string, amount decimal(12,2), at timestamp, day date, none string"
+    df = spark.createDataFrame(rows, schema)
+    csv.write_csv(df, str(tmp_path / "out"))
+    back = csv.read_csv(spark, str(tmp_path / "out"), df.schema, quoted_newlines)
+    assert sorted(back.collect()) == sorted(df.collect(), key=lambda r: r.id)
+
+
+def test_bulk_load_keeps_quoted_breaks_and_types(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('id,code,note\n1,007,"two\nlines"\n2,8,plain\n')
+    (tmp_path / "b.csv").write_text("id,code,note\n3,abc,x\n")
+    name = "bulk_types"
+    try:
+        first = csv.csv_to_table(
+            spark, str(tmp_path / "a.csv"), name, "id int, code string, note string",
+            path=str(tmp_path / "table"),
+        )
+        assert sorted(tuple(r) for r in first.collect()) == [(1, "007", "two\nlines"), (2, "8", "plain")]
+        again = csv.csv_to_table(spark, str(tmp_path / "b.csv"), name)
+        assert (3, "abc", "x") in [tuple(r) for r in again.collect()]
+        with pytest.raises(Exception, match="MALFORMED|FAILFAST|Malformed"):
+            csv.csv_to_table(spark, str(tmp_path / "a.csv"), name, quoted_newlines=False).collect()
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
