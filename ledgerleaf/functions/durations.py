@@ -17,10 +17,17 @@ def log_timestamp(text: Column) -> Column:
 
 
 def clock_seconds(text: Column) -> Column:
-    """Seconds of an ``H:mm:ss`` text; a missing text stays missing."""
-    parts = F.split(text, ":")
-    hours, minutes, seconds = (parts.getItem(i).cast("bigint") for i in range(3))
-    return hours * 3600 + minutes * 60 + seconds
+    """Whole seconds of an ``H:mm:ss`` text; a missing text stays missing.
+
+    Days before the clock (``2 days 3:04:05``) count, as do fractions, which are
+    cut off after adding.
+    """
+    days = F.regexp_extract(text, r"^\s*(\d+)\s+days?\s", 1)
+    clock = F.split(F.regexp_replace(F.trim(text), r"^\d+\s+days?\s+", ""), ":")
+    hours, minutes = (clock.getItem(i).cast("bigint") for i in range(2))
+    seconds = F.floor(clock.getItem(2).cast("decimal(18,9)")).cast("bigint")
+    whole_days = F.when(days != "", days).otherwise("0").cast("bigint")
+    return whole_days * 86400 + hours * 3600 + minutes * 60 + seconds
 
 
 def add_seconds(moment: Column, seconds: Column) -> Column:

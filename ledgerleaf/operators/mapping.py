@@ -16,6 +16,9 @@ from ledgerleaf.scratch import settle
 
 TAG_PREFIX = "tag_"
 TAG_SEPARATOR = "~"
+PATTERNS_PER_CHUNK = 500
+
+_OWN = ("_key", "_pattern", "_tags")
 
 _PLAIN = r"^[^.^$*+?{}\[\]\\|()~\n]*$"
 _CONTAINED = r"^([^^$*+?{}\[\]\\|()~\n][^^$\[\]\\|()~\n]*)?$"
@@ -31,7 +34,27 @@ def matches_from_start(text: Column, pattern: Column) -> Column:
 
 
 def _pairs(keys: DataFrame, patterns: DataFrame) -> DataFrame:
-    return keys.join(patterns, matches_from_start(F.col("_key"), F.col("_pattern")))
+    """Matching pairs when nothing but the pattern itself tells which keys fit.
+
+    Patterns meet the keys in chunks, by equality on the number of a chunk and on
+    a slice of the keys, so no task needs all patterns or all keys.
+    """
+    spark = keys.sparkSession
+    slices = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    chunks = -(-patterns.count() // PATTERNS_PER_CHUNK)
+    if not chunks:
+        return keys.select("_key", F.lit("").alias("_pattern")).limit(0)
+    part = F.pmod(F.xxhash64("_pattern"), F.lit(chunks))
+    grouped = patterns.groupBy(part.alias("_chunk")).agg(
+        F.collect_set("_pattern").alias("_patterns")
+    )
+    spread = grouped.withColumn("_slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
+    dealt = keys.withColumn("_slice", F.pmod(F.xxhash64("_key"), F.lit(slices)).cast("int"))
+    met = dealt.withColumn(
+        "_chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(chunks - 1).cast("long")))
+    ).join(spread, ["_chunk", "_slice"])
+    fitting = F.filter("_patterns", lambda p: matches_from_start(F.col("_key"), p))
+    return met.select("_key", F.explode(fitting).alias("_pattern"))
 
 
 def _literal_start(pattern: Column) -> Column:
@@ -57,18 +80,15 @@ def pattern_pairs(keys: DataFrame, patterns: DataFrame) -> DataFrame:
         ),
         "patterns",
     )
-    lengths = [r["_length"] for r in started.select("_length").distinct().collect()]
     found = _pairs(keys, started.where("_length = 0").select("_pattern"))
-    if any(lengths):
-        options = F.array(*[F.lit(n) for n in sorted(lengths) if n])
-        cut = keys.withColumn("_length", F.explode(options)).withColumn(
-            "_start", F.left("_key", F.col("_length"))
-        )
-        tested = cut.join(started, ["_length", "_start"]).where(
-            matches_from_start(F.col("_key"), F.col("_pattern"))
-        )
-        found = found.unionByName(tested.select("_key", "_pattern"))
-    return found.select("_key", "_pattern")
+    lengths = started.where("_length > 0").agg(F.collect_set("_length")).scalar()
+    cut = keys.withColumn("_length", F.explode(lengths)).withColumn(
+        "_start", F.left("_key", F.col("_length"))
+    )
+    tested = cut.join(started, ["_length", "_start"]).where(
+        matches_from_start(F.col("_key"), F.col("_pattern"))
+    )
+    return found.unionByName(tested.select("_key", "_pattern"))
 
 
 def regex_join(main: DataFrame, patterns: DataFrame, key: str, pattern: str) -> DataFrame:
@@ -76,11 +96,13 @@ def regex_join(main: DataFrame, patterns: DataFrame, key: str, pattern: str) ->
 
     Only distinct keys are tested; rows are brought back by equality joins. A row
     without a match is left out, a row with several matches appears several
-    times.
+    times. A null key or pattern matches nothing.
     """
-    check_unique([*main.columns, *patterns.columns])
-    keys = settle(main.select(quoted(key).alias("_key")).distinct(), "keys")
-    rows = settle(patterns.withColumn("_pattern", quoted(pattern)), "patterns")
+    check_unique([*main.columns, *patterns.columns, *_OWN])
+    keys = settle(main.select(quoted(key).alias("_key")).where("_key is not null").distinct(), "keys")
+    rows = settle(
+        patterns.withColumn("_pattern", quoted(pattern)).where("_pattern is not null"), "patterns"
+    )
     found = pattern_pairs(keys, rows.select("_pattern").distinct())
     lookup = settle(found.join(rows, "_pattern").drop("_pattern"), "matches")
     return main.join(lookup, quoted(key) == F.col("_key")).drop("_key")
@@ -122,22 +144,19 @@ def wildcard_pairs(keys: DataFrame, patterns: DataFrame) -> DataFrame:
     odd = keys.where(~F.col("_simple")).select("_key").distinct()
 
     by_tag = patterns.where("_by_tag").withColumn("_masked", _masked_tags(F.col("_tags"), F.col("_plain")))
-    masks = [row["_plain"] for row in by_tag.select("_plain").distinct().collect()]
     others = patterns.where(~F.col("_by_tag")).select("_pattern").distinct()
     found = _pairs(odd, patterns.select("_pattern").distinct()).unionByName(
         _pairs(simple.select("_key"), others)
     )
-    if masks:
-        all_masks = F.array(*[F.array(*[F.lit(keep) for keep in mask]) for mask in masks])
-        candidates = simple.withColumn("_plain", F.explode(all_masks)).select(
-            "_key", "_plain", _masked_tags(F.col("_tags"), F.col("_plain")).alias("_masked")
-        )
-        tested = candidates.join(
-            by_tag.select("_pattern", "_plain", "_masked"),
-            ["_plain", "_masked"],
-        ).where(matches_from_start(F.col("_key"), F.col("_pattern")))
-        found = found.unionByName(tested.select("_key", "_pattern"))
-    return found.select("_key", "_pattern")
+    masks = by_tag.agg(F.collect_set("_plain")).scalar()
+    candidates = simple.withColumn("_plain", F.explode(masks)).select(
+        "_key", "_plain", _masked_tags(F.col("_tags"), F.col("_plain")).alias("_masked")
+    )
+    tested = candidates.join(
+        by_tag.select("_pattern", "_plain", "_masked"),
+        ["_plain", "_masked"],
+    ).where(matches_from_start(F.col("_key"), F.col("_pattern")))
+    return found.unionByName(tested.select("_key", "_pattern"))
 
 
 def map_with_wildcard(cells: DataFrame, mapping: DataFrame) -> DataFrame:
@@ -151,6 +170,7 @@ def map_with_wildcard(cells: DataFrame, mapping: DataFrame) -> DataFrame:
     tags = columns_with_prefix(mapping, TAG_PREFIX)
     assumptions = [c for c in mapping.columns if c not in tags]
     require_columns(cells, tags)
+    check_unique([*tags, *assumptions, *_OWN])
     kept = cells.drop(*assumptions)
 
     tag_texts = F.array(*[key_part(c) for c in tags])

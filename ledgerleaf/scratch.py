@@ -9,6 +9,8 @@ optimizer sees its true size: a side below
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -29,8 +31,9 @@ def qualified(spark: SparkSession, path: str) -> str:
 def shared_root(spark: SparkSession) -> str:
     """Folder all executors can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local-mode session without the setting gets a temporary folder; on a
-    cluster the setting is required.
+    The setting is taken as it is: a plain path may be a shared mount. Only a
+    local-mode session without it gets a temporary folder, which goes when
+    Python ends; on a cluster the setting is required.
     """
     root = spark.conf.get(_CHECKPOINT_DIR, None)
     if root:
@@ -39,7 +42,8 @@ def shared_root(spark: SparkSession) -> str:
         raise ValueError(f"set {_CHECKPOINT_DIR} to a folder every executor can reach")
     application = spark.sparkContext.applicationId
     if application not in _local_roots:
-        _local_roots[application] = tempfile.mkdtemp(prefix="ledgerleaf-")
+        own = _local_roots[application] = tempfile.mkdtemp(prefix="ledgerleaf-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
     return _local_roots[application]
 
 

@@ -139,3 +139,37 @@ def test_policy_info(spark):
     assert add_policy_info(unknown, strict=False).first().system is None
     with pytest.raises(PySparkException, match="no entry for key zzz"):
         add_policy_info(unknown).collect()
+
+
+def test_null_keys_and_patterns_match_nothing(spark):
+    main = spark.createDataFrame([("ab",), (None,), ("",)], "k string")
+    patterns = spark.createDataFrame([("a.*", 1), (None, 2), ("", 3), (".b", 4)], "p string, n int")
+    found = mapping.regex_join(main, patterns, "k", "p").collect()
+    assert sorted((r.k, r.n) for r in found) == [("", 3), ("ab", 1), ("ab", 3), ("ab", 4)]
+    nothing = mapping.regex_join(main, patterns.where("p is null"), "k", "p")
+    assert nothing.count() == 0
+
+
+def test_own_names_are_refused(spark):
+    frame = spark.createDataFrame([("a", "b")], "_key string, k string")
+    with pytest.raises(ValueError):
+        mapping.regex_join(frame, frame.selectExpr("k as p"), "k", "p")
+
+
+def test_no_cartesian_product_without_broadcast(spark, capsys, monkeypatch):
+    monkeypatch.setattr(mapping, "PATTERNS_PER_CHUNK", 2)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        main = spark.createDataFrame([(f"key{i}",) for i in range(30)], "k string")
+        rows = [(p,) for p in (".*1$", "key[2-4]$", "key5", ".e", "[a-k]ey6$")]
+        found = mapping.pattern_pairs(
+            main.select(F.col("k").alias("_key")), spark.createDataFrame(rows, "_pattern string")
+        )
+        wanted = sum(bool(re.match(p, f"key{i}")) for i in range(30) for (p,) in rows)
+        assert found.count() == wanted
+        found.explain()
+        plan = capsys.readouterr().out
+        assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

@@ -127,3 +127,12 @@ def test_clock_and_log_times(spark):
     assert rows[0].t == rows[1].t == datetime(2022, 1, 2, 3, 4, 5)
     text = spark.createDataFrame([(90061.0,)], "s double").select(duration_text(F.col("s"))).first()[0]
     assert text == "1 days 01:01:01"
+
+
+def test_clock_texts_with_fractions_and_days(spark):
+    texts = ["00:00:01.5", "1:02:03", "2 days 3:04:05", "1 day 00:00:00.999", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    found = [r.s for r in df.select("i", clock_seconds(F.col("t")).alias("s")).orderBy("i").collect()]
+    assert found == [1, 3723, 2 * 86400 + 11045, 86400, None]
+    back = df.select(clock_seconds(duration_text(F.lit(200000))).alias("s")).first()
+    assert back.s == 200000
