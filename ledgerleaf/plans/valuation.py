@@ -83,6 +83,7 @@ class ValuationConfig:
             slice=raw.get("slice") or {},
             groupings=raw.get("cfs_groupings", {}),
             bel_definitions=bels,
+            last_scenario=raw.get("last_scenario", 1000),
         )
 
     def chosen_groupings(self, names: list[str] | None) -> dict[str, Signs]:

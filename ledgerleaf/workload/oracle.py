@@ -51,13 +51,13 @@ FROM ({_BY_BOTH.format(where="true")})"""
 
 # --- cash flows --------------------------------------------------------------
 
-FLOWS = ["premiums_first_year", "premiums_renewal", "claims"]
+FLOWS = ["income_new_business", "income_renewal", "benefits"]
 GROUPS = {
-    "fire_gmm_premium": "premiums_first_year + premiums_renewal",
-    "fire_gmm_claim": "-claims",
-    "fire_gmm_investment_component": "0",
-    "fire_gmm_expense": "0",
-    "fire_gmm_acquisition": "0",
+    "main_book_premium": "income_new_business + income_renewal",
+    "main_book_benefit": "-benefits",
+    "main_book_savings_part": "0",
+    "main_book_running_cost": "0",
+    "main_book_selling_cost": "0",
 }
 ALL_FLOWS = [*FLOWS, *GROUPS]
 
@@ -66,11 +66,11 @@ ALL_CASH_FLOWS = """all_cash_flows AS (
         CAST((year(l_shipdate) - 1992) * 12 + month(l_shipdate) - 1 AS INTEGER) AS t,
         l_linestatus AS line_status,
         CASE WHEN l_returnflag = 'N' THEN CAST(l_extendedprice AS DECIMAL(14,2)) ELSE 0 END
-            AS premiums_first_year,
+            AS income_new_business,
         CASE WHEN l_returnflag = 'N' THEN 0 ELSE CAST(l_extendedprice AS DECIMAL(14,2)) END
-            AS premiums_renewal,
+            AS income_renewal,
         CAST(CAST(l_extendedprice AS DECIMAL(14,2)) * CAST(l_discount AS DECIMAL(4,2))
-            AS DECIMAL(14,4)) AS claims
+            AS DECIMAL(14,4)) AS benefits
     FROM lineitem)"""
 
 SCENARIOS = """scenarios AS (
@@ -81,11 +81,14 @@ SCENARIOS = """scenarios AS (
 _GROUP_SQL = ", ".join(f"{sql} AS {name}" for name, sql in GROUPS.items())
 
 DETAIL = f"""{ALL_CASH_FLOWS}, {SCENARIOS},
-flows AS (SELECT * FROM all_cash_flows WHERE line_status = 'F'),
+flows AS (SELECT * FROM all_cash_flows),
 detail AS (
     SELECT f.*, {_GROUP_SQL}, s.discount_factor
     FROM flows AS f LEFT JOIN scenarios AS s USING (scenario_no, t))"""
 
+# The slice is the feature of the slice filter and of the whole job only.
+SLICED = DETAIL.replace("FROM all_cash_flows),", "FROM all_cash_flows WHERE line_status = 'F'),")
+
 
 def _ess(flows: list[str]) -> str:
     weighted = ", ".join(
@@ -102,7 +105,7 @@ def _present_values(flows: list[str]) -> str:
     return ", ".join(f"sum({c} * discount_factor) AS {c}" for c in flows)
 
 
-ORACLE["cf_slice_filter"] = f"""WITH {DETAIL}
+ORACLE["cf_slice_filter"] = f"""WITH {SLICED}
 SELECT scenario_no, t, line_status, {_rounded(FLOWS, 4)} FROM flows"""
 
 ORACLE["cf_scenario_left_join"] = f"""WITH {DETAIL}
@@ -118,7 +121,7 @@ _WEIGHTED = """weighted AS (
     FROM detail)"""
 
 ORACLE["cf_ess_weights"] = f"""WITH {DETAIL}, {_WEIGHTED}
-SELECT scenario_no, t, {_rounded(["claims"], 4)}, {_rounded(["ess_weights"], 9)} FROM weighted"""
+SELECT scenario_no, t, {_rounded(["benefits"], 4)}, {_rounded(["ess_weights"], 9)} FROM weighted"""
 
 ORACLE["cf_ess"] = f"""WITH {DETAIL}, {_ess(ALL_FLOWS)}
 SELECT scenario_no, t, {_rounded([*ALL_FLOWS, "discount_factor"], 6)} FROM ess"""
@@ -134,17 +137,17 @@ SELECT scenario_no, {_rounded(FLOWS)}
 FROM (SELECT scenario_no, {_present_values(FLOWS)} FROM detail GROUP BY scenario_no)"""
 
 _DOUBLES = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in ALL_FLOWS)
-ORACLE["cf_bel"] = f"""WITH {DETAIL}, {_ess(ALL_FLOWS)},
+ORACLE["cf_bel"] = f"""WITH {SLICED}, {_ess(ALL_FLOWS)},
 pvs AS (
     SELECT scenario_no, {_DOUBLES}
     FROM (SELECT scenario_no, {_present_values(ALL_FLOWS)} FROM detail GROUP BY scenario_no)
     UNION ALL
     SELECT scenario_no, {_present_values(ALL_FLOWS)} FROM ess GROUP BY scenario_no),
 bels AS (
-    SELECT *, -fire_gmm_premium + fire_gmm_claim + fire_gmm_investment_component
-        + fire_gmm_expense + fire_gmm_acquisition AS fire_gmm_bel, 0.0e0 AS kc4_bel
+    SELECT *, -main_book_premium + main_book_benefit + main_book_savings_part
+        + main_book_running_cost + main_book_selling_cost AS main_book_bel, 0.0e0 AS side_book_bel
     FROM pvs)
-SELECT scenario_no, {_rounded([*ALL_FLOWS, "fire_gmm_bel", "kc4_bel"])} FROM bels"""
+SELECT scenario_no, {_rounded([*ALL_FLOWS, "main_book_bel", "side_book_bel"])} FROM bels"""
 
 ORACLE["calc_pv"] = f"""WITH {DETAIL}
 SELECT {_rounded(FLOWS)} FROM (SELECT {_present_values(FLOWS)} FROM detail)"""
@@ -474,8 +477,8 @@ GROUP BY legal_entity ORDER BY legal_entity DESC"""
 # --- scenario pack and tables ------------------------------------------------
 
 PACK = f"""{ALL_CASH_FLOWS}, {SCENARIOS},
-pack_flows AS (SELECT scenario_no, t, t - 60 AS step, claims AS death FROM all_cash_flows),
-pack_discounts AS (SELECT * FROM scenarios WHERE t >= 48)"""
+pack_flows AS (SELECT scenario_no, t, t - 60 AS step, benefits AS death FROM all_cash_flows),
+pack_discounts AS (SELECT * FROM scenarios)"""
 
 ORACLE["pack_join"] = f"""WITH {PACK}
 SELECT f.scenario_no AS "ScnNumber", f.t AS "RowNo", step AS "Step",
@@ -502,12 +505,24 @@ ORDER BY o_totalprice DESC, o_orderkey LIMIT 10"""
 
 # --- files -------------------------------------------------------------------
 
-ORACLE["csv_roundtrip"] = """
-SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders"""
+ORACLE["csv_roundtrip"] = "SELECT * FROM orders"
 
 ORACLE["csv_text_roundtrip"] = "SELECT conv_id, turn, role, text FROM conversations"
 
-ORACLE["bulk_load"] = "SELECT c_custkey, c_name, c_acctbal, c_mktsegment FROM customer"
+ORACLE["csv_whitespace"] = r"""
+SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN '  ' || text || ' ' || chr(10) WHEN 1 THEN ''
+    WHEN 2 THEN '"\' || text || '\"' END AS text
+FROM documents"""
+
+ORACLE["bulk_load"] = "SELECT * FROM customer"
+
+ORACLE["bulk_load_texts"] = """
+SELECT conv_id, turn, role, text FROM conversations
+UNION ALL SELECT conv_id, turn, role, text FROM conversations"""
+
+ORACLE["dbf_limit"] = "SELECT least(count(*), 100) AS n_records FROM orders"
+
+ORACLE["reports_written"] = ORACLE["slice_dice_1"]
 
 _DBF_ORDERS = """
 SELECT o_orderkey AS "ID", CASE WHEN o_orderstatus <> 'P' THEN o_custkey END AS "CUST",

@@ -82,13 +82,28 @@ def slice_dice_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _detail(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The configured slice of cash flows with discount factors, under standard names."""
+    """All cash flows with their discount factors, under standard names.
+
+    The scenarios are stored, so that the join knows their size.
+    """
+    scenarios = settle(frames.scenarios(spark, sf_dir), "scenarios")
     return val.join_scenarios(
-        val.load_cash_flows(frames.cash_flows(spark, sf_dir), frames.VALUATION),
-        val.load_scenarios(frames.scenarios(spark, sf_dir), frames.VALUATION),
+        val.load_cash_flows(frames.cash_flows(spark, sf_dir), frames.WHOLE_VALUATION),
+        val.load_scenarios(scenarios, frames.WHOLE_VALUATION),
     )
 
 
+def _grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All cash flows added up by scenario and month, with their discount factors."""
+    grid, _ = val.valuation_grid(
+        frames.cash_flows(spark, sf_dir),
+        frames.scenarios(spark, sf_dir),
+        frames.WHOLE_VALUATION,
+        [],
+    )
+    return grid
+
+
 FLOWS = frames.VALUATION.flows
 
 
@@ -105,7 +120,7 @@ def cf_scenario_left_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def cf_grouped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flows = val.load_cash_flows(frames.cash_flows(spark, sf_dir), frames.VALUATION)
+    flows = val.load_cash_flows(frames.cash_flows(spark, sf_dir), frames.WHOLE_VALUATION)
     grouped = val.group_flows(flows, frames.VALUATION.groupings)
     return _amounts(grouped, [*FLOWS, *frames.GROUPED_FLOWS], 4)
 
@@ -113,13 +128,13 @@ def cf_grouped(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def cf_ess_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     weighted = val.ess_weights(_detail(spark, sf_dir))
-    return weighted.select("scenario_no", "t", _rounded("claims", 4), _rounded("ess_weights", 9))
+    return weighted.select("scenario_no", "t", _rounded("benefits", 4), _rounded("ess_weights", 9))
 
 
 @query
 def cf_ess(spark: SparkSession, sf_dir: str) -> DataFrame:
     grid, flows = val.valuation_grid(
-        frames.cash_flows(spark, sf_dir), frames.scenarios(spark, sf_dir), frames.VALUATION
+        frames.cash_flows(spark, sf_dir), frames.scenarios(spark, sf_dir), frames.WHOLE_VALUATION
     )
     return _amounts(val.ess_flows(grid, flows), [*flows, "discount_factor"], 6)
 
@@ -133,7 +148,7 @@ def cf_with_ess(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def cf_pv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _amounts(val.present_values(_detail(spark, sf_dir), FLOWS), FLOWS)
+    return _amounts(val.present_values(_grid(spark, sf_dir), FLOWS), FLOWS)
 
 
 @query
@@ -147,7 +162,7 @@ def cf_bel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def calc_pv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vector = val.present_value_vector(_detail(spark, sf_dir), FLOWS, "discount_factor")
+    vector = val.present_value_vector(_grid(spark, sf_dir), FLOWS, "discount_factor")
     return _amounts(vector, FLOWS)
 
 
@@ -392,11 +407,11 @@ def _pack(spark: SparkSession, sf_dir: str) -> scenario_pack.ScenarioPack:
         F.col("ScenarioNumber").alias("ScnNumber"),
         F.col("ProjMth").alias("RowNo"),
         (F.col("ProjMth") - 60).alias("Step"),
-        F.col("Claims").alias("death"),
+        F.col("Benefits").alias("death"),
     )
     discounts = frames.scenarios(spark, sf_dir).toDF("ScnNumber", "ProjMonth", "Discount_Factor")
     flows.createOrReplaceTempView("pack_cash_flows")
-    discounts.where("ProjMonth >= 48").createOrReplaceTempView("pack_discounts")
+    settle(discounts, "discounts").createOrReplaceTempView("pack_discounts")
     return scenario_pack.scenario_pack(spark, "pack_cash_flows", "pack_discounts")
 
 
@@ -450,7 +465,7 @@ def top10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = frames.table(spark, sf_dir, "orders").drop("o_orderdate")
+    orders = frames.table(spark, sf_dir, "orders")
     path = scratch_path(spark, "orders-csv")
     csv.write_csv(orders, path)
     return csv.read_csv(spark, path, orders.schema, quoted_newlines=False)
@@ -470,9 +485,35 @@ def bulk_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, table_path = scratch_path(spark, "load-csv"), scratch_path(spark, "load-table")
     csv.write_csv(frames.table(spark, sf_dir, "customer"), path)
     name = "bulk_" + table_path.rsplit("-", 1)[1]
-    return csv.csv_to_table(spark, path, name, path=table_path).select(
-        F.col("c_custkey").cast("bigint").alias("c_custkey"), "c_name", "c_acctbal", "c_mktsegment"
+    schema = frames.table(spark, sf_dir, "customer").schema
+    return csv.csv_to_table(spark, path, name, schema, path=table_path)
+
+
+@query
+def csv_whitespace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts with blanks and line breaks at both ends, empty ones and missing ones."""
+    number = F.col("doc_id") % 4
+    texts = frames.table(spark, sf_dir, "documents").select(
+        "doc_id",
+        F.when(number == 0, F.concat(F.lit("  "), "text", F.lit(" \n")))
+        .when(number == 1, "")
+        .when(number == 2, F.concat(F.lit('"\\'), "text", F.lit('\\"')))
+        .alias("text"),
     )
+    path = scratch_path(spark, "blanks-csv")
+    csv.write_csv(texts, path)
+    return csv.read_csv(spark, path, texts.schema)
+
+
+@query
+def bulk_load_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quoted line breaks in a bulk load, twice into the same table."""
+    turns = frames.table(spark, sf_dir, "conversations")
+    path, table_path = scratch_path(spark, "load-csv"), scratch_path(spark, "load-table")
+    csv.write_csv(turns, path)
+    name = "bulk_" + table_path.rsplit("-", 1)[1]
+    csv.csv_to_table(spark, path, name, turns.schema, path=table_path)
+    return csv.csv_to_table(spark, path, name)
 
 
 def _dbf_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -556,6 +597,23 @@ def max_width(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dbf.max_widths(documents, ["text", "lang", "source"])
 
 
+@query
+def dbf_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many records an explicit limit lets through."""
+    path = scratch_path(spark, "limit-dbf")
+    dbf.write_dbf(_dbf_orders(spark, sf_dir), path)
+    return dbf.read_dbf(spark, path, limit=100).agg(F.count("*").alias("n_records"))
+
+
+@query
+def reports_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Report files, read back."""
+    folder = scratch_path(spark, "reports")
+    report = slicing.Report(BY_FLAG.slice, BY_FLAG.dice, f"{folder}/by-flag")
+    slicing.write_reports(frames.positions(spark, sf_dir), [report])
+    return _amounts(csv.read_csv(spark, report.output_path), list(report.dice))
+
+
 # --- texts -------------------------------------------------------------------
 
 
