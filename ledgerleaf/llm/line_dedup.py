@@ -10,18 +10,23 @@ Method: exact set-similarity join.
 
 * Lines of equal word sets form one class, found by aggregation, so a line that a
   third of all documents hold is one row.
-* Words are 64-bit hashes, ordered by rarity: the first bits of a hash name one of
-  32,768 buckets, and buckets are ranked by the number of words in them. The rank
-  takes the place of these bits, so a word stays a single number and sorting is
-  exact for any corpus.
+* Words are 64-bit hashes, ordered by rarity: some bits of a hash name one of
+  2**22 buckets, whose occurrences are counted over the whole corpus. The
+  logarithm of that number takes the place of the highest bits of the hash, so a
+  word stays a single number that sorts by rarity.
 * Prefix filter: similar sets share one of their first ``n - ceil(t * n) + 1``
-  words. Classes meet in a join on these words.
+  words. Classes meet in a join on these words; a frequent word is joined together
+  with the next shared one, which is among the first words as well.
 * Length and positional filters drop pairs whose sizes or remaining words cannot
-  reach the similarity. Each pair is counted at the first shared word only.
+  reach the similarity, and so does a bound by 64 bits that words flip.
 * The remaining pairs are verified on the words of their lines.
 
-Only built-in functions are used. The table of ranks has a fixed size. Hot words
-are split by adaptive execution.
+Before that, classes with the same minwise pick meet the earliest of them. That
+settles most lines of a large group of variants with one comparison each; only
+lines without a match so far are looked up in the join.
+
+Only built-in functions are used. The tables of counts and of bits have a fixed
+size. Hot keys are split by adaptive execution.
 
 Null texts have no lines, an empty text has one empty line. Null ids come after
 all others. Rows that share an id count as one document: repeated rows do not
@@ -35,14 +40,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerleaf.llm.common import let, words_of
+from ledgerleaf.llm.common import BLANKS, let
 from ledgerleaf.scratch import settle
 
-BUCKET_BITS = 20
-GROUP_BITS = 10
+BUCKET_BITS = 22
+GROUP_BITS = 11
 REDUCER_BITS = 23
-PICKS = 4  # minwise picks of a set
-FREQUENT = 24  # code of words in 64 lines or more
+FREQUENT = 32  # code of words in about 256 lines or more
 HASH_BITS = 56  # the 7 bits above them hold the frequency
 LAST_ID = (1 << 63) - 1
 
@@ -56,22 +60,30 @@ class LineDedup:
 
 
 def _words(line: Column) -> Column:
-    return F.array_distinct(words_of(F.lower(line)))
+    """The different words of a line in lower case. Plain blanks split without a pattern."""
+    plain = F.lower(line)
+    for blank in BLANKS.replace(" ", ""):
+        plain = F.replace(plain, F.lit(blank), F.lit(" "))
+    return F.array_remove(F.array_distinct(F.split(plain, " ")), "")
+
+
+def _lines(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(doc, line, content) of every line."""
+    doc = F.coalesce(F.col(key).cast("long"), F.lit(LAST_ID)).alias("doc")
+    whole = F.col(text).cast("string")
+    return docs.select(doc, F.posexplode(F.split(whole, "\n")).alias("line", "content"))
 
 
 def _token_lines(docs: DataFrame, rule: LineDedup, key: str, text: str) -> DataFrame:
     """(doc, line, tokens): the different words of every judged line, as hashes."""
 
-    def tokens(line: Column) -> Column:
-        return F.transform(_words(line), lambda w: F.xxhash64(w))
+    def tokens(content: Column) -> Column:
+        return F.transform(_words(content), lambda w: F.xxhash64(w))
 
-    lines = F.transform(
-        F.split(F.col(text).cast("string"), "\n"),
-        lambda line, i: F.struct(i.alias("line"), tokens(line).alias("tokens")),
-    )
-    judged = F.filter(lines, lambda x: F.size(x["tokens"]) >= rule.min_words)
-    doc = F.coalesce(F.col(key).cast("long"), F.lit(LAST_ID)).alias("doc")
-    return docs.select(doc, F.inline(judged))
+    lines = _lines(docs, key, text).select("doc", "line", tokens(F.col("content")).alias("tokens"))
+    # In a generator, so that the words are not split once more for the filter.
+    judged = F.when(F.size("tokens") >= rule.min_words, F.array("tokens"))
+    return lines.select("doc", "line", F.explode(judged).alias("tokens"))
 
 
 def _bucket(token: Column) -> Column:
@@ -81,11 +93,15 @@ def _bucket(token: Column) -> Column:
 def bucket_codes(lines: DataFrame) -> DataFrame:
     """One row with an array: for each bucket of hashes, how frequent its words are, 0 to 127.
 
-    Codes are four times the binary logarithm of the number of lines.
+    Codes are four times the binary logarithm of the number of occurrences.
     """
+    plain = F.lower("content")
+    for blank in BLANKS.replace(" ", ""):
+        plain = F.replace(plain, F.lit(blank), F.lit(" "))
     counts = (
-        lines.select(F.explode("tokens").alias("token"))
-        .groupBy(_bucket(F.col("token")).alias("bucket"))
+        lines.select(F.explode(F.split(plain, " ")).alias("word"))
+        .where("word <> ''")
+        .groupBy(_bucket(F.xxhash64("word")).alias("bucket"))
         .agg(F.count("*").alias("count"))
     )
     every = lines.sparkSession.range(1 << BUCKET_BITS).select(F.col("id").alias("bucket"))
@@ -105,50 +121,51 @@ def _as_array(listed: DataFrame, place: str, value: str) -> DataFrame:
 
 
 def _class_id(tokens: Column) -> list[Column]:
-    """Two hashes of the set; with its size they name a class."""
-    return [F.xxhash64(tokens).alias("c1"), F.xxhash64(F.lit(1), tokens).alias("c2")]
+    """What names a set of hashes: all of them in one, the least, and the largest.
+
+    The least and the largest are minwise picks as well.
+    """
+    mixed = F.aggregate(tokens, F.lit(0).cast("long"), lambda x, t: x.bitwiseXOR(t))
+    return [
+        mixed.alias("mixed"),
+        F.array_min(tokens).alias("low"),
+        F.array_max(tokens).alias("high"),
+    ]
+
+
+CLASS = ("mixed", "low", "high")
 
 
 def _places(lines: DataFrame) -> DataFrame:
-    """(c1, c2, at) of every judged line."""
-    ids = let(F.sort_array("tokens"), lambda t: F.struct(*_class_id(t)))
-    return lines.select(ids.alias("c"), F.struct("doc", "line").alias("at")).select("c.*", "at")
+    """The class of every judged line, and where it is."""
+    return lines.select(*_class_id(F.col("tokens")), "doc", "line")
 
 
 def _classes(lines: DataFrame, codes: Column, rule: LineDedup) -> DataFrame:
-    """Classes of equal word sets: c1, c2, n, at (first line), copies, prefix, bits, picks."""
+    """Classes of equal word sets: mixed, low, high, n, at (first line), copies, prefix, bits."""
 
     def ranked(token: Column) -> Column:
         code = F.element_at(F.col("codes"), (_bucket(token) + 1).cast("int")).cast("long")
         low = token.bitwiseAND(F.lit((1 << HASH_BITS) - 1))
         return F.shiftleft(code, HASH_BITS).bitwiseOR(low)
 
-    def described(ordered: Column) -> Column:
-        n = F.size(ordered)
-        picks = [
-            F.array_min(F.transform(ordered, lambda t, i=i: F.xxhash64(t, F.lit(i))))
-            for i in range(PICKS)
-        ]
-        return F.struct(
-            n.alias("n"),
-            F.slice(ordered, 1, n - _needed(rule.percent, n) + 2).alias("prefix"),
-            F.aggregate(
-                ordered, F.lit(0).cast("long"), lambda bits, t: bits.bitwiseXOR(_bit(t))
-            ).alias("bits"),
-            F.array(*picks).alias("picks"),
-        )
-
+    n = F.size("tokens")
+    bits = F.aggregate(
+        "tokens", F.lit(0).cast("long"), lambda bits, t: bits.bitwiseXOR(_one_bit(t))
+    )
     # One use of the codes: they are looked up where they are, not copied to each row.
-    ids = let(F.sort_array("tokens"), lambda t: F.struct(*_class_id(t)))
     ordered = F.sort_array(F.transform("tokens", ranked))
     rows = lines.withColumn("codes", codes).select(
-        F.struct("doc", "line").alias("at"), ids.alias("c"), let(ordered, described).alias("d")
+        *_class_id(F.col("tokens")),
+        F.struct("doc", "line").alias("at"),
+        n.alias("n"),
+        bits.alias("bits"),
+        F.slice(ordered, F.lit(1), n - _needed(rule.percent, n) + 2).alias("prefix"),
     )
-    return (
-        rows.select("c.*", "at", "d")
-        .groupBy("c1", "c2")
-        .agg(F.min("at").alias("at"), F.count("*").alias("copies"), F.first("d").alias("d"))
-        .select("c1", "c2", "at", "copies", "d.*")
+    return rows.groupBy(*CLASS).agg(
+        F.min("at").alias("at"),
+        F.count("*").alias("copies"),
+        *[F.first(c).alias(c) for c in ("n", "bits", "prefix")],
     )
 
 
@@ -164,11 +181,6 @@ def _one_bit(place: Column) -> Column:
     )
 
 
-def _bit(token: Column) -> Column:
-    """One of 64 bits for a token, by bits of its hash that its bucket does not use."""
-    return _one_bit(F.shiftright(token, BUCKET_BITS))
-
-
 def _keys(longer: Column) -> Column:
     """What a set is found by: (key, place) for its prefix; ``longer`` has one word more.
 
@@ -205,7 +217,8 @@ def _star_pairs(classes: DataFrame, rule: LineDedup) -> DataFrame:
     This settles most members of a large group of similar lines with one
     comparison for each.
     """
-    picked = classes.select("at", "n", "bits", F.posexplode("picks").alias("i", "pick"))
+    picks = F.posexplode(F.array("low", "high")).alias("i", "pick")
+    picked = classes.select("at", "n", "bits", picks)
     earliest = picked.groupBy("i", "pick").agg(
         F.min(F.struct("at", "n", "bits")).alias("first"), F.count("*").alias("size")
     )
@@ -218,7 +231,9 @@ def _star_pairs(classes: DataFrame, rule: LineDedup) -> DataFrame:
 
 def _prefix_pairs(classes: DataFrame, rule: LineDedup) -> DataFrame:
     """(x, y): an earlier class and one that is ``open``, when they pass all filters."""
-    words = classes.select("at", "n", "bits", "open", F.inline(_keys(F.col("prefix"))))
+    words = classes.select(
+        "at.doc", "at.line", "n", "bits", "open", F.inline(_keys(F.col("prefix")))
+    )
     a, b = words.alias("a"), words.alias("b")
     na, nb = F.col("a.n"), F.col("b.n")
     # Shared words are at most those left behind both places, this one included.
@@ -227,10 +242,12 @@ def _prefix_pairs(classes: DataFrame, rule: LineDedup) -> DataFrame:
     near = _possible(na, nb, F.col("a.bits"), F.col("b.bits"), rule.percent)
     # Written with both sides, so that one shuffle of the words serves both.
     wanted = F.col("b.open") | (na < 0)
-    earlier = F.col("a.at") < F.col("b.at")
+    earlier = (F.col("a.doc") < F.col("b.doc")) | (
+        (F.col("a.doc") == F.col("b.doc")) & (F.col("a.line") < F.col("b.line"))
+    )
     return (
         a.join(b, (F.col("a.key") == F.col("b.key")) & earlier & wanted & enough & near)
-        .select(F.col("a.at").alias("x"), F.col("b.at").alias("y"))
+        .select(F.struct("a.doc", "a.line").alias("x"), F.struct("b.doc", "b.line").alias("y"))
         .distinct()
     )
 
@@ -254,10 +271,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, rule: LineDedup, key: str, text
     A set of bits of fixed size drops most other lines before they are shuffled.
     """
     places = pairs.select(F.explode(F.array("x", "y")).alias("at")).distinct()
-    doc = F.coalesce(F.col(key).cast("long"), F.lit(LAST_ID)).alias("doc")
-    lines = docs.select(
-        doc, F.posexplode(F.split(F.col(text).cast("string"), "\n")).alias("line", "content")
-    ).select(F.struct("doc", "line").alias("at"), "content")
+    lines = _lines(docs, key, text).select(F.struct("doc", "line").alias("at"), "content")
     slot = F.xxhash64("at").bitwiseAND(F.lit((1 << REDUCER_BITS) - 1))
     word = F.element_at(_reducer(places), (F.shiftright(slot, 6) + 1).cast("int"))
     found = lines.where(word.bitwiseAND(_one_bit(slot)) != 0).join(places, "at", "left_semi")
@@ -284,7 +298,7 @@ def repeated_lines(
     was found. Null ids are 2**63 - 1 here.
     """
     lines = _token_lines(docs, rule, key, text)
-    codes = settle(bucket_codes(lines), "codes").scalar()
+    codes = settle(bucket_codes(_lines(docs, key, text)), "codes").scalar()
     classes = settle(_classes(lines, codes, rule), "classes")
     stars = settle(_star_pairs(classes, rule), "stars")
     matched = settle(_verified(stars, docs, rule, key, text), "matches")
@@ -293,8 +307,13 @@ def repeated_lines(
     rest = settle(_prefix_pairs(known, rule), "pairs")
     more = settle(_verified(rest, docs, rule, key, text), "matches")
     near = matched.unionByName(more).groupBy("y").agg(F.min("x").alias("x"))
-    copies = classes.where("copies > 1").select("c1", "c2", F.col("at").alias("x"))
-    equal = _places(lines).join(copies, ["c1", "c2"]).where("at <> x").select("x", F.col("at").alias("y"))
+    copies = classes.where("copies > 1").select(*CLASS, F.col("at").alias("x"))
+    equal = (
+        _places(lines)
+        .join(copies, list(CLASS))
+        .select("x", F.struct("doc", "line").alias("y"))
+        .where("x <> y")
+    )
     return equal.unionByName(near.select("x", "y")).select(
         F.col("y.doc").alias("doc"),
         F.col("y.line").alias("line"),
