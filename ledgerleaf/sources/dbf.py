@@ -59,6 +59,7 @@ BATCH_BYTES = 4 << 20
 FILE_BYTES = 128 << 20
 LONGEST_TEXT = 254
 DEFAULT_WIDTH = 10
+OTHER_WIDTH = 50
 WHITE_SPACE = "".join(chr(c) for c in range(256) if chr(c).isspace())
 
 
@@ -298,30 +299,51 @@ def read_dbf(
     return result if limit is None else result.limit(limit)
 
 
-def infer_fields(df: DataFrame) -> list[DbfField]:
-    """Fields for the columns of ``df``; text widths take one pass over the data."""
-    texts = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
-    widths = max_widths(df, texts).first().asDict() if texts else {}
+def infer_fields(df: DataFrame, cut: bool = False) -> list[DbfField]:
+    """Fields for the columns of ``df``; widths and digits take one pass over the data.
+
+    Values that no field can hold as they are (texts above 254 characters) are an
+    error unless ``cut``.
+    """
+    others = (T.IntegralType, T.FractionalType, T.BooleanType, T.DateType)
+    texts = [f.name for f in df.schema if not isinstance(f.dataType, others)]
+    floats = [f.name for f in df.schema if isinstance(f.dataType, (T.FloatType, T.DoubleType))]
+    measures = [F.max(F.length(quoted(c).cast("string"))).alias(f"w_{c}") for c in texts]
+    measures += [F.max(_fraction_digits(quoted(c))).alias(f"d_{c}") for c in floats]
+    found = df.agg(*measures).first().asDict() if measures else {}
     fields = []
     for column in df.schema:
         kind = column.dataType
-        if isinstance(kind, T.StringType):
-            width = min(widths[column.name] or DEFAULT_WIDTH, LONGEST_TEXT)
-            field = DbfField(column.name, "C", width)
+        if column.name in texts:
+            least = DEFAULT_WIDTH if isinstance(kind, T.StringType) else OTHER_WIDTH
+            width = found[f"w_{column.name}"] or least
+            width = width if isinstance(kind, T.StringType) else max(width, least)
+            if width > LONGEST_TEXT and not cut:
+                raise ValueError(
+                    f"column {column.name}: {width} characters, a field has {LONGEST_TEXT};"
+                    " pass cut=True to shorten them"
+                )
+            field = DbfField(column.name, "C", min(width, LONGEST_TEXT))
         elif isinstance(kind, T.IntegralType):
             field = DbfField(column.name, "N", 18)
-        elif isinstance(kind, (T.FloatType, T.DoubleType)):
-            field = DbfField(column.name, "F", 20, 6)
+        elif isinstance(kind, T.DecimalType):
+            field = DbfField(column.name, "N", kind.precision + 2, kind.scale)
+        elif column.name in floats:
+            field = DbfField(column.name, "F", 20, max(6, found[f"d_{column.name}"] or 0))
         elif isinstance(kind, T.BooleanType):
             field = DbfField(column.name, "L", 1)
-        elif isinstance(kind, T.DateType):
-            field = DbfField(column.name, "D", 8)
         else:
-            field = DbfField(column.name, "C", 50)
+            field = DbfField(column.name, "D", 8)
         fields.append(field)
     return fields
 
 
+def _fraction_digits(number: Column) -> Column:
+    """Digits behind the point that a number needs, 15 at most."""
+    text = number.cast("double").try_cast("decimal(38,15)").cast("string")
+    return F.length(F.regexp_extract(text, r"\.(\d*[1-9])?0*$", 1))
+
+
 def max_widths(df: DataFrame, columns: list[str]) -> DataFrame:
     """Longest text per column, in characters: one row."""
     return df.agg(*[F.max(F.length(quoted(c))).alias(c) for c in columns])
@@ -347,7 +369,7 @@ def _fitting(text: Column, field: DbfField) -> Column:
     )
 
 
-def _encoded(value: Column, kind: T.DataType, field: DbfField) -> Column:
+def _encoded(value: Column, kind: T.DataType, field: DbfField, cut: bool) -> Column:
     blank = F.lit(" " * field.length)
     if field.type in ("N", "F"):
         if field.type == "N" and field.decimals == 0:
@@ -361,6 +383,13 @@ def _encoded(value: Column, kind: T.DataType, field: DbfField) -> Column:
         )
         digits = number.try_cast(f"decimal(38,{field.decimals})").cast("string")
         plain = F.coalesce(digits, F.format_string(f"%.{field.decimals}f", number))
+        if not cut:
+            problem = F.concat(
+                F.lit(f"field {field.name}: more than {field.decimals} decimals: "),
+                number.cast("string"),
+            )
+            changed = plain.cast("double") != number
+            plain = F.when(changed, F.raise_error(problem)).otherwise(plain)
         text = F.when(number.isNull(), None).otherwise(F.coalesce(special, plain))
         return _fitting(text, field)
     if field.type == "L":
@@ -371,24 +400,31 @@ def _encoded(value: Column, kind: T.DataType, field: DbfField) -> Column:
             return blank
         return F.rpad(F.coalesce(F.date_format(value, "yyyyMMdd"), blank), field.length, " ")
     text = value.cast("string")
-    ascii_text = F.when(F.octet_length(text) == F.length(text), text).otherwise(
-        F.regexp_replace(text, r"[^\x00-\x7F]", "?")
-    )
-    return F.rpad(F.coalesce(ascii_text, blank), field.length, " ")
+    if cut:
+        text = F.regexp_replace(text, r"[^\x00-\xFF]", "?")
+    else:
+        problem = F.concat(F.lit(f"field {field.name}: wider than {field.length}: "), text)
+        text = F.when(F.length(text) > field.length, F.raise_error(problem)).otherwise(text)
+    return F.rpad(F.coalesce(text, blank), field.length, " ")
 
 
 def encode_records(
-    df: DataFrame, fields: list[DbfField], deleted: Column | None = None
+    df: DataFrame, fields: list[DbfField], deleted: Column | None = None, cut: bool = False
 ) -> DataFrame:
-    """One binary ``record`` per row; ``deleted`` rows are flagged as such."""
+    """One binary ``record`` per row; ``deleted`` rows are flagged as such.
+
+    Texts are stored as Latin-1. A value that its field cannot hold is an error;
+    with ``cut`` texts are shortened, other characters become ``?`` and numbers
+    are rounded.
+    """
     flag = F.lit(LIVE_FLAG.decode())
     if deleted is not None:
         flag = F.when(deleted, DELETED_FLAG.decode()).otherwise(flag)
     parts = [
-        _encoded(quoted(column.name), column.dataType, field)
+        _encoded(quoted(column.name), column.dataType, field, cut)
         for column, field in zip(df.schema, fields, strict=True)
     ]
-    return df.select(F.encode(F.concat(flag, *parts), "US-ASCII").alias("record"))
+    return df.select(F.encode(F.concat(flag, *parts), "ISO-8859-1").alias("record"))
 
 
 def write_records(records: DataFrame, fields: list[DbfField], path: str) -> None:
@@ -402,16 +438,20 @@ def write_records(records: DataFrame, fields: list[DbfField], path: str) -> None
     ).save(qualified(spark, path))
 
 
-def write_dbf(df: DataFrame, path: str, specs: dict[str, dict] | None = None) -> None:
+def write_dbf(
+    df: DataFrame, path: str, specs: dict[str, dict] | None = None, cut: bool | None = None
+) -> None:
     """Write ``df`` as a folder of DBF files, replacing those already there.
 
     ``specs`` gives type, length and decimal per column; otherwise they are
-    inferred. Names are cut to 10 characters, texts to their field, and a
-    number that does not fit its field is an error. Without rows, one file with
-    only a header is written.
+    inferred. Names are cut to 10 characters. Values that do not fit their field
+    are an error; with ``cut``, and by default with given ``specs``, texts are cut
+    to their field and numbers rounded to its decimals. Without rows, one file
+    with only a header is written.
     """
-    fields = infer_fields(df) if specs is None else _fields_from_specs(df, specs)
-    write_records(encode_records(df, fields), fields, path)
+    cut = specs is not None if cut is None else cut
+    fields = infer_fields(df, cut) if specs is None else _fields_from_specs(df, specs)
+    write_records(encode_records(df, fields, cut=cut), fields, path)
 
 
 _CATALOG_SCHEMA = """
