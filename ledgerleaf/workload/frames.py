@@ -301,7 +301,7 @@ def lien_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.format_number(F.col("o_totalprice").cast("decimal(14,2)"), 2),
         F.lit("(C) LIEN 01011999"),
     )
-    last = F.when(status == "F", "LTCC: $1.00(M), $2,469.00(C) LIEN 02021999").when(
+    last = F.when(status == "F", "LTCC: $3.00(M), $7,081.00(C) LIEN 02021999").when(
         status == "P", "LIEN without amount"
     )
     return table(spark, sf_dir, "orders").select(

@@ -6,12 +6,33 @@ shortcuts the jobs take, so that they check them independently.
 
 from __future__ import annotations
 
-from ledgerleaf.plans.profile import ACTIONS, FINISH_CODE, START_CODE
-from ledgerleaf.plans.reserves import MORTALITY_BASIS_ROWS
 from ledgerleaf.workload.frames import MOSES_CODES, PLAN_CODES
 
 ORACLE: dict[str, str] = {}
 
+# Codes of log lines, names of actions, rows of the mortality table.
+START_CODE, FINISH_CODE = 8169, 7473
+ACTIONS = {
+    0: "Initialize",
+    1: "Load",
+    2: "Map",
+    3: "Run batch",
+    4: "Run query",
+    5: "Export seriatim",
+    6: "Update assumptions",
+    9: "Build risk classes",
+    10: "Remove cells",
+}
+MORTALITY_BASIS_ROWS = [
+    ("MSA", "PRM5", "P", "_", "regular", "CET80"),
+    ("P6S", "PRM6", "P", "0", "regular", "CET80"),
+    ("P6J", "PRM6", "P", "0", "regular", "CET80"),
+    ("P7S", "PRM6", "P", "0", "regular", "CET80"),
+    ("P7J", "PRM6", "P", "0", "regular", "CET80"),
+    ("P8S", "PRM6", "P", "0", "regular", "CET80"),
+    ("P8J", "PRM6", "P", "0", "regular", "CET80"),
+]
+
 
 def _rounded(columns: list[str], digits: int = 2) -> str:
     return ", ".join(f"round(CAST({c} AS DOUBLE), {digits}) AS {c}" for c in columns)
@@ -561,7 +582,7 @@ SELECT CAST(max(length(text)) AS INTEGER) AS text, CAST(max(length(lang)) AS INT
 # --- texts -------------------------------------------------------------------
 
 ORACLE["latest_lien"] = """
-SELECT o_orderkey AS policy_id, CASE o_orderstatus WHEN 'F' THEN 2469.0e0 WHEN 'P' THEN 0.0e0
+SELECT o_orderkey AS policy_id, CASE o_orderstatus WHEN 'F' THEN 7081.0e0 WHEN 'P' THEN 0.0e0
     ELSE o_totalprice END AS lien_amount FROM orders"""
 
 ORACLE["latest_lien_lines"] = """

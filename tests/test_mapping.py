@@ -17,7 +17,7 @@ def _python_matches(cell, tags):
 
 
 def test_map_of_many_cells(spark):
-    plans = [("EI110", "M", "P"), ("EI125", "F", "s"), ("EI170", "M", "N")]
+    plans = [("QX7", "u", "K"), ("QX8", "v", "t"), ("ZZ1", "u", "L")]
     cells = spark.range(3000).select(
         *[
             F.element_at(F.array(*[F.lit(p[i]) for p in plans]), (F.col("id") % 3 + 1).cast("int")).alias(tag)
@@ -25,8 +25,8 @@ def test_map_of_many_cells(spark):
         ],
         F.lit("").alias("table_premium"),
     )
-    keys = [("EI110", g, r) for g in "MF" for r in "PSN"] + [(p, ".*", ".*") for p in ("EI125", "EI170")]
-    rows = [(*k, "Premiums_" + "_".join(k), "Min_" + "_".join(k)) for k in keys]
+    keys = [("QX7", g, r) for g in "uv" for r in "KLM"] + [(p, ".*", ".*") for p in ("QX8", "ZZ1")]
+    rows = [(*k, "Rate_" + "_".join(k), "Min_" + "_".join(k)) for k in keys]
     table = spark.createDataFrame(rows, TAGS + ", table_premium string, table_min_premium string")
     result = mapping.map_with_wildcard(cells, table)
     assert result.columns == [
@@ -34,9 +34,9 @@ def test_map_of_many_cells(spark):
     ]
     found = {r.table_premium: r["count"] for r in result.groupBy("table_premium").count().collect()}
     assert found == {
-        "Premiums_EI110_M_P": 1000,
-        "Premiums_EI125_.*_.*": 1000,
-        "Premiums_EI170_.*_.*": 1000,
+        "Rate_QX7_u_K": 1000,
+        "Rate_QX8_.*_.*": 1000,
+        "Rate_ZZ1_.*_.*": 1000,
     }
 
 

@@ -57,18 +57,18 @@ def test_common_subsequence_of_long_texts(spark):
     _check(spark, [(long[0], long[1]), (long[2], long[3])])
 
 
-LIEN = "LTCC: $1,234.50(M), $2,469.00(C) LIEN MMDDYYYY"
+LIEN = "LTCC: $3,540.50(M), $7,081.00(C) LIEN MMDDYYYY"
 
 
 @pytest.mark.parametrize(
     ("lines", "amount"),
     [
-        ([LIEN], 2469.0),
+        ([LIEN], 7081.0),
         (["opened", "paid"], 0.0),
         ([], 0.0),
         ([LIEN, "LTCC: $1.00(M), $12,345,678.25(C) LIEN x", "closed"], 12345678.25),
         ([LIEN, "LIEN released"], 0.0),
-        ([LIEN, "lien released"], 2469.0),
+        ([LIEN, "lien released"], 7081.0),
         (["LTCC: $5(C) $7.5(C) LIEN LIEN"], 7.5),
         (["LTCC: $ 8 (C) LIEN"], 8.0),
         ([LIEN, "LTCC: $oops(C) LIEN"], None),
