@@ -10,11 +10,13 @@ and the wanted recall of a single link: a pair is missed with probability
 ``(1 - J ** depth) ** trees`` at most, and far less where nodes get small early.
 
 Nodes are compared in two rounds. First every member meets the smallest id of its
-node; confirmed links are joined to components. Only where members of a node are
-still in different components do all pairs across them follow, so very large
-groups of near copies cost one comparison for each member, and no link between
-different components is passed over. Links are confirmed on the full sets of
-64-bit shingle hashes of both texts.
+node, and confirmed links are joined to components. Only where members of a node
+are still in different components are they compared across them: as pairs in
+small nodes, and in large ones by blocks of sets against chunks of sets inside a
+task. So a large group of near copies costs one comparison for each member that
+is like the first, no pairs are made within it, and no link between different
+components is passed over. Links are confirmed on the full sets of 64-bit shingle
+hashes of both texts.
 
 Spark deals out nodes and pairs by joins on equality; smallest ids and sizes are
 aggregates that are joined back, so no node is gathered in one task and hot ones
@@ -45,6 +47,9 @@ from ledgerleaf.scratch import settle
 
 SHINGLE = 5
 BLOCK = 2048
+SMALL_NODE = 32
+BLOCK_DOCS, CHUNK_DOCS = 256, 1024
+CELLS = 1 << 24
 
 
 @dataclass(frozen=True)
@@ -222,10 +227,17 @@ def near_duplicates(
     links = settle(confirm(tried, docs, join, key, text), "links")
     parts = settle(connected_components(links), "components")
 
-    rest = settle(_across(members, parts, join).join(tried, ["a", "b"], "left_anti"), "rest")
+    mixed = _mixed(members, parts)
+    few, many = mixed.where(F.col("size") <= SMALL_NODE), mixed.where(F.col("size") > SMALL_NODE)
+    rest = settle(_across(few, join).join(tried, ["a", "b"], "left_anti"), "rest")
+    more = []
     if not rest.isEmpty():
-        more = settle(confirm(rest, docs, join, key, text), "links")
-        links = links.unionByName(more)
+        more.append(confirm(rest, docs, join, key, text))
+    if not many.isEmpty():
+        more.append(_links_in_blocks(many, docs, join, key, text))
+    if more:
+        found = more[0] if len(more) == 1 else more[0].unionByName(more[1])
+        links = links.unionByName(settle(found, "links")).distinct()
         parts = settle(connected_components(links), "components")
 
     ends = links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep")
@@ -251,29 +263,32 @@ def near_duplicates(
     )
 
 
-def _across(members: DataFrame, parts: DataFrame, join: SimilarityJoin) -> DataFrame:
-    """Pairs of members of one node that are in different components so far.
+def _mixed(members: DataFrame, parts: DataFrame) -> DataFrame:
+    """Members of nodes that still hold several components.
 
-    Members outside of the node's most frequent component meet all other members.
+    (node, doc, n, part, main: the most frequent component, size and rest: how
+    many members the node has, and how many are outside of ``main``).
     """
     placed = members.join(parts.withColumnRenamed("node", "doc"), "doc", "left").select(
         "node", "doc", "n", F.coalesce("component", "doc").alias("part")
     )
     counts = placed.groupBy("node", "part").agg(F.count("*").alias("size"))
     main = counts.groupBy("node").agg(
-        F.max_by("part", F.struct("size", "part")).alias("main"), F.count("*").alias("parts")
+        F.max_by("part", F.struct("size", "part")).alias("main"),
+        F.count("*").alias("parts"),
+        F.sum("size").alias("size"),
+        (F.sum("size") - F.max("size")).alias("rest"),
     )
-    mixed = settle(placed.join(main.where("parts > 1"), "node"), "mixed")
-    outside = mixed.where("part <> main").select(
-        "node", F.col("doc").alias("x"), F.col("n").alias("nx"), F.col("part").alias("px")
-    )
-    met = outside.join(mixed, "node").where("px <> part")
+    return settle(placed.join(main.where("parts > 1").drop("parts"), "node"), "mixed")
+
+
+def _across(mixed: DataFrame, join: SimilarityJoin) -> DataFrame:
+    """Pairs across components in small nodes; few for each member."""
+    x = mixed.select("node", F.col("doc").alias("x"), F.col("n").alias("nx"), F.col("part").alias("px"))
+    met = x.join(mixed, "node").where("x < doc and px <> part")
     return (
         met.select(
-            F.least("x", "doc").alias("a"),
-            F.greatest("x", "doc").alias("b"),
-            F.col("nx").alias("na"),
-            F.col("n").alias("nb"),
+            F.col("x").alias("a"), F.col("doc").alias("b"), F.col("nx").alias("na"), F.col("n").alias("nb")
         )
         .where(_alike_sizes(join))
         .select("a", "b")
@@ -281,6 +296,95 @@ def _across(members: DataFrame, parts: DataFrame, join: SimilarityJoin) -> DataF
     )
 
 
+def _links_in_blocks(
+    mixed: DataFrame, docs: DataFrame, join: SimilarityJoin, key: str, text: str
+) -> DataFrame:
+    """Links (a, b) across components in large nodes.
+
+    Members outside of a node's main component are compared with all members,
+    a block of the ones with a chunk of the others at a time, on full sets. Only
+    links become rows.
+    """
+    needed = mixed.select("doc").distinct()
+    texts = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).cast("string").alias("text"))
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for batch in by_size(batches, "text"):
+            found = _sets(batch.column(1).to_pylist(), hashes)
+            offsets = pa.array(np.r_[0, np.cumsum([len(f) for f in found])], pa.int32())
+            flat = pa.array(np.concatenate(found).view(np.int64))
+            lists = pa.ListArray.from_arrays(offsets, flat)
+            yield pa.RecordBatch.from_arrays([batch.column(0), lists], ["doc", "tokens"])
+
+    chosen = texts.join(needed, "doc", "left_semi").mapInArrow(sets, "doc long, tokens array<long>")
+    chosen = settle(chosen, "sets")
+    blocks, chunks = F.ceil(F.col("rest") / BLOCK_DOCS), F.ceil(F.col("size") / CHUNK_DOCS)
+    dealt = mixed.withColumn("blocks", blocks).withColumn("chunks", chunks)
+    every_chunk = F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1))
+    every_block = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    left = (
+        dealt.where("part <> main")
+        .withColumn("block", F.pmod(F.xxhash64("doc"), "blocks"))
+        .withColumn("chunk", every_chunk)
+    )
+    right = dealt.withColumn("chunk", F.pmod(F.xxhash64("doc", F.lit(1)), "chunks")).withColumn(
+        "block", every_block
+    )
+    by = ["node", "block", "chunk"]
+    columns = [*by, "doc", "part", "tokens"]
+    left, right = (side.join(chosen, "doc").select(*columns) for side in (left, right))
+    right = right.select(*[F.col(c).alias(f"other_{c}") for c in columns])
+
+    def compare(x: pa.Table, y: pa.Table) -> pa.Table:
+        pairs = [np.empty((0, 2), np.int64)]
+        if x.num_rows and y.num_rows:
+            dx, dy = x["doc"].to_numpy(), y["other_doc"].to_numpy()
+            px, py = x["part"].to_numpy(), y["other_part"].to_numpy()
+            sets = _ragged(x["tokens"]), _ragged(y["other_tokens"])
+            for i, j in linked_sets(*sets, join.percent):
+                across = px[i] != py[j]
+                pairs.append(np.stack([dx[i][across], dy[j][across]], 1))
+        found = np.concatenate(pairs)
+        return pa.table({"a": found.min(1, initial=1 << 62), "b": found.max(1, initial=-(1 << 62))})
+
+    others = right.groupBy(*[f"other_{c}" for c in by])
+    return left.groupBy(*by).cogroup(others).applyInArrow(compare, "a long, b long").distinct()
+
+
+def _ragged(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """Values and offsets of a column of lists."""
+    lists = column.combine_chunks()
+    lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
+    sizes = np.diff(lists.offsets.to_numpy())
+    return lists.flatten().to_numpy(), np.r_[0, np.cumsum(sizes)]
+
+
+def linked_sets(x, y, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places (i, j) of sets of ``x`` and ``y`` that are similar enough, a part at a time."""
+    (vx, ox), (vy, oy) = x, y
+    nx, ny = np.diff(ox), np.diff(oy)
+    known = np.unique(vx)
+    place = np.minimum(np.searchsorted(known, vy), len(known) - 1)
+    hit = known[place] == vy
+    owner = np.repeat(np.arange(len(ny)), ny)[hit]
+    place = place[hit]
+    rows = max(1, CELLS // max(1, len(known), len(place)))
+    for first in range(0, len(nx), rows):
+        some = np.arange(first, min(len(nx), first + rows))
+        table = np.zeros((len(some), len(known)), np.uint8)
+        own = np.repeat(some - first, nx[some])
+        table[own, np.searchsorted(known, vx[ox[first] : ox[some[-1] + 1]])] = 1
+        shared = np.zeros((len(some), len(ny)), np.int64)
+        if len(place):
+            starts = np.flatnonzero(np.r_[True, np.diff(owner) != 0])
+            counts = np.add.reduceat(table[:, place], starts, axis=1, dtype=np.int64)
+            shared[:, owner[starts]] = counts
+        union = nx[some][:, None] + ny[None, :] - shared
+        i, j = np.nonzero((shared > 0) & (100 * shared >= percent * union))
+        yield some[i], j
+
+
 def keep_one(docs: DataFrame, join: SimilarityJoin = SimilarityJoin()) -> DataFrame:
     """The rows of ``docs`` (doc_id, text, any others) without near duplicates.
 

@@ -82,10 +82,11 @@ def near_copies(count, seed):
     return rows
 
 
-@pytest.mark.parametrize("percent", [80, 85])
-def test_near_duplicates_against_brute_force(spark, percent):
+@pytest.mark.parametrize(("percent", "small"), [(80, 32), (85, 1)])
+def test_near_duplicates_against_brute_force(spark, monkeypatch, percent, small):
     rows = near_copies(250, percent) + [(900, ""), (901, "one two"), (902, "One two"), (903, " ")]
     join = near_dedup.SimilarityJoin(percent=percent)
+    monkeypatch.setattr(near_dedup, "SMALL_NODE", small)
     found = near_dedup.near_duplicates(docs_of(spark, [*rows, (904, None)]), join).collect()
     wanted = groups_of([*rows, (904, None)], percent)
     assert {r.doc_id: r.component_id for r in found} == wanted
