@@ -61,24 +61,37 @@ def _letters() -> np.ndarray:
 
 def _reduce(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Letters and digits of a text in lower case, and their places in it."""
-    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-    letters = _letters()[codes]
-    places = np.flatnonzero(letters)
+    try:
+        codes, table = np.frombuffer(text.encode("latin-1"), np.uint8), _letters()[:256]
+    except UnicodeEncodeError:
+        codes, table = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32), _letters()
+    letters = table[codes]
+    places = np.flatnonzero(letters != 0)
     return letters[places], places
 
 
 def _grams(letters: np.ndarray, q: int) -> np.ndarray:
+    """A hash of each run of ``q`` letters, put together from runs of powers of two."""
     n = len(letters) - q + 1
     if n <= 0:
         return np.empty(0, np.uint64)
-    values = letters.astype(np.uint64)
-    total = values[:n].copy()
-    for j in range(1, q):
-        total *= BASE
-        total += values[j : j + n]
+    total: np.ndarray | None = None
+    runs, size, at = letters.astype(np.uint64), 1, 0
+    while size <= q:
+        if q & size:
+            part = runs[at : at + n]
+            total = part.copy() if total is None else total * _power(size) + part
+            at += size
+        if 2 * size <= q:
+            runs = runs[:-size] * _power(size) + runs[size:]
+        size *= 2
     return total ^ (total >> np.uint64(31))
 
 
+def _power(exponent: int) -> np.uint64:
+    return np.uint64(pow(int(BASE), exponent, 1 << 64))
+
+
 def _passages(letters: np.ndarray, rule: Decontamination) -> Iterator[np.ndarray]:
     """Overlapping passages that cover all letters of an item, half a passage apart."""
     n, m = len(letters), rule.passage
