@@ -59,28 +59,26 @@ class LineDedup:
     min_words: int = 5
 
 
-def _words(line: Column) -> Column:
-    """The different words of a line in lower case. Plain blanks split without a pattern."""
-    plain = F.lower(line)
-    for blank in BLANKS.replace(" ", ""):
-        plain = F.replace(plain, F.lit(blank), F.lit(" "))
-    return F.array_remove(F.array_distinct(F.split(plain, " ")), "")
+def _words(content: Column) -> Column:
+    """The different words of a line of :func:`_lines`."""
+    return F.array_remove(F.array_distinct(F.split(content, " ")), "")
 
 
 def _lines(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(doc, line, content) of every line."""
+    """(doc, line, content) of every line, in lower case and with plain blanks only."""
     doc = F.coalesce(F.col(key).cast("long"), F.lit(LAST_ID)).alias("doc")
-    whole = F.col(text).cast("string")
-    return docs.select(doc, F.posexplode(F.split(whole, "\n")).alias("line", "content"))
+    whole = F.lower(F.col(text).cast("string"))
+    odd = BLANKS.replace(" ", "").replace("\n", "")
+    plain = F.when(whole.rlike(f"[{odd}]"), F.translate(whole, odd, " " * len(odd))).otherwise(whole)
+    return docs.select(doc, F.posexplode(F.split(plain, "\n")).alias("line", "content"))
 
 
 def _token_lines(docs: DataFrame, rule: LineDedup, key: str, text: str) -> DataFrame:
     """(doc, line, tokens): the different words of every judged line, as hashes."""
 
-    def tokens(content: Column) -> Column:
-        return F.transform(_words(content), lambda w: F.xxhash64(w))
-
-    lines = _lines(docs, key, text).select("doc", "line", tokens(F.col("content")).alias("tokens"))
+    hashes = F.array_distinct(F.transform(F.split("content", " "), lambda w: F.xxhash64(w)))
+    tokens = F.array_remove(hashes, F.xxhash64(F.lit("")))
+    lines = _lines(docs, key, text).select("doc", "line", tokens.alias("tokens"))
     # In a generator, so that the words are not split once more for the filter.
     judged = F.when(F.size("tokens") >= rule.min_words, F.array("tokens"))
     return lines.select("doc", "line", F.explode(judged).alias("tokens"))
@@ -95,11 +93,8 @@ def bucket_codes(lines: DataFrame) -> DataFrame:
 
     Codes are four times the binary logarithm of the number of occurrences.
     """
-    plain = F.lower("content")
-    for blank in BLANKS.replace(" ", ""):
-        plain = F.replace(plain, F.lit(blank), F.lit(" "))
     counts = (
-        lines.select(F.explode(F.split(plain, " ")).alias("word"))
+        lines.select(F.explode(F.split("content", " ")).alias("word"))
         .where("word <> ''")
         .groupBy(_bucket(F.xxhash64("word")).alias("bucket"))
         .agg(F.count("*").alias("count"))
@@ -240,8 +235,8 @@ def _prefix_pairs(classes: DataFrame, rule: LineDedup) -> DataFrame:
     room = F.least(na - F.col("a.place"), nb - F.col("b.place"))
     enough = (100 + rule.percent) * room >= rule.percent * (na + nb)
     near = _possible(na, nb, F.col("a.bits"), F.col("b.bits"), rule.percent)
-    # Written with both sides, so that one shuffle of the words serves both.
-    wanted = F.col("b.open") | (na < 0)
+    # Written with the columns of both sides, so that one shuffle of the words serves both.
+    wanted = F.col("b.open") | (F.col("a.open") & (na < 0))
     earlier = (F.col("a.doc") < F.col("b.doc")) | (
         (F.col("a.doc") == F.col("b.doc")) & (F.col("a.line") < F.col("b.line"))
     )
