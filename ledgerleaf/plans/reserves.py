@@ -47,7 +47,7 @@ STAT_CODE_COLUMNS = {
     "lapse_status": "lapse_status",
 }
 
-# Published field -> computed measure; None is a field that is always 0.
+# Published field -> computed measure; None is a field that is always 0.
 JOURNAL_FIELDS = {
     "JE_2001D1R": "stat_ga_reserve",
     "JE_2001C1R": None,

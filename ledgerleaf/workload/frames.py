@@ -48,6 +48,7 @@ WHOLE_VALUATION = replace(VALUATION, slice={})
 GROUPED_FLOWS = [f"main_book.{name}" for name in VALUATION.groupings["main_book"]]
 
 PLAN_CODES = [*MIPS_BY_STATUS, *MIPS_PAID, *SCHD, *FLEX, *ESTI, "SCHD"]
+# Fixed values.
 MOSES_CODES = ["PRM5", "PRM6", "PRM3", "PRM4", "PRM2"]
 
 
@@ -224,7 +225,10 @@ def ten_thousandths(amount: Column) -> Column:
 
 
 def policies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items with their order and part as policies under valuation."""
+    """Line items with their order and part as policies under valuation.
+
+    Fixed values: the names of the columns, which the reserve job expects.
+    """
     item = table(spark, sf_dir, "lineitem")
     order = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_orderpriority")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size", "p_retailprice")

@@ -390,6 +390,7 @@ reserved AS (
             ELSE 'CSO80' END AS mortality_basis
     FROM charged)"""
 
+# Plan codes and the names they lead to.
 CODES = """first_codes AS (
     SELECT *, CASE
         WHEN plan_code IN ('7PY', 'L83', 'L84', 'V81', 'V83', 'V84', 'LPE', 'VPE') THEN
@@ -418,6 +419,7 @@ coded AS (
     FROM first_codes)"""
 
 # Published field -> expression over the row; 0 where nothing is booked.
+# Published fields.
 FIELDS = {
     "JE_2001D1R": "stat_ga",
     "JE_2001C1R": "0",
