@@ -46,7 +46,7 @@ from ledgerleaf.scratch import settle
 BUCKET_BITS = 22
 GROUP_BITS = 11
 REDUCER_BITS = 23
-FREQUENT = 32  # code of words in about 256 lines or more
+FREQUENT = 40  # code of words in about 1,000 lines or more
 HASH_BITS = 56  # the 7 bits above them hold the frequency
 LAST_ID = (1 << 63) - 1
 
