@@ -48,6 +48,7 @@ GROUP_BITS = 11
 REDUCER_BITS = 23
 FREQUENT = 40  # code of words in about 1,000 lines or more
 HASH_BITS = 56  # the 7 bits above them hold the frequency
+FLIP = 0x2A5C96E1B4D38F75
 LAST_ID = (1 << 63) - 1
 
 
@@ -148,6 +149,8 @@ def _classes(lines: DataFrame, codes: Column, rule: LineDedup) -> DataFrame:
     bits = F.aggregate(
         "tokens", F.lit(0).cast("long"), lambda bits, t: bits.bitwiseXOR(_one_bit(t))
     )
+    # Hashes with some bits flipped are in another order, which gives two more picks.
+    turned = F.transform("tokens", lambda t: t.bitwiseXOR(F.lit(FLIP)))
     # One use of the codes: they are looked up where they are, not copied to each row.
     ordered = F.sort_array(F.transform("tokens", ranked))
     rows = lines.withColumn("codes", codes).select(
@@ -155,12 +158,14 @@ def _classes(lines: DataFrame, codes: Column, rule: LineDedup) -> DataFrame:
         F.struct("doc", "line").alias("at"),
         n.alias("n"),
         bits.alias("bits"),
+        F.array_min(turned).alias("low_turned"),
+        F.array_max(turned).alias("high_turned"),
         F.slice(ordered, F.lit(1), n - _needed(rule.percent, n) + 2).alias("prefix"),
     )
     return rows.groupBy(*CLASS).agg(
         F.min("at").alias("at"),
         F.count("*").alias("copies"),
-        *[F.first(c).alias(c) for c in ("n", "bits", "prefix")],
+        *[F.first(c).alias(c) for c in ("n", "bits", "low_turned", "high_turned", "prefix")],
     )
 
 
@@ -212,7 +217,7 @@ def _star_pairs(classes: DataFrame, rule: LineDedup) -> DataFrame:
     This settles most members of a large group of similar lines with one
     comparison for each.
     """
-    picks = F.posexplode(F.array("low", "high")).alias("i", "pick")
+    picks = F.posexplode(F.array("low", "high", "low_turned", "high_turned")).alias("i", "pick")
     picked = classes.select("at", "n", "bits", picks)
     earliest = picked.groupBy("i", "pick").agg(
         F.min(F.struct("at", "n", "bits")).alias("first"), F.count("*").alias("size")
