@@ -21,9 +21,9 @@ Method: exact set-similarity join.
   reach the similarity, and so does a bound by 64 bits that words flip.
 * The remaining pairs are verified on the words of their lines.
 
-Before that, classes with the same minwise pick meet the earliest of them. That
-settles most lines of a large group of variants with one comparison each; only
-lines without a match so far are looked up in the join.
+All classes take part in the join, so every link between two classes is found:
+``line_classes`` counts them, ``repeated_lines`` takes the earliest. A group of
+``m`` variants that are all similar has ``m * (m - 1) / 2`` links.
 
 Only built-in functions are used. The tables of counts and of bits have a fixed
 size. Hot keys are split by adaptive execution.
@@ -48,7 +48,6 @@ GROUP_BITS = 11
 REDUCER_BITS = 23
 FREQUENT = 40  # code of words in about 1,000 lines or more
 HASH_BITS = 56  # the 7 bits above them hold the frequency
-FLIP = 0x2A5C96E1B4D38F75
 LAST_ID = (1 << 63) - 1
 
 
@@ -117,10 +116,7 @@ def _as_array(listed: DataFrame, place: str, value: str) -> DataFrame:
 
 
 def _class_id(tokens: Column) -> list[Column]:
-    """What names a set of hashes: all of them in one, the least, and the largest.
-
-    The least and the largest are minwise picks as well.
-    """
+    """What names a set of hashes: all of them in one, the least, and the largest."""
     mixed = F.aggregate(tokens, F.lit(0).cast("long"), lambda x, t: x.bitwiseXOR(t))
     return [
         mixed.alias("mixed"),
@@ -149,8 +145,6 @@ def _classes(lines: DataFrame, codes: Column, rule: LineDedup) -> DataFrame:
     bits = F.aggregate(
         "tokens", F.lit(0).cast("long"), lambda bits, t: bits.bitwiseXOR(_one_bit(t))
     )
-    # Hashes with some bits flipped are in another order, which gives two more picks.
-    turned = F.transform("tokens", lambda t: t.bitwiseXOR(F.lit(FLIP)))
     # One use of the codes: they are looked up where they are, not copied to each row.
     ordered = F.sort_array(F.transform("tokens", ranked))
     rows = lines.withColumn("codes", codes).select(
@@ -158,14 +152,12 @@ def _classes(lines: DataFrame, codes: Column, rule: LineDedup) -> DataFrame:
         F.struct("doc", "line").alias("at"),
         n.alias("n"),
         bits.alias("bits"),
-        F.array_min(turned).alias("low_turned"),
-        F.array_max(turned).alias("high_turned"),
         F.slice(ordered, F.lit(1), n - _needed(rule.percent, n) + 2).alias("prefix"),
     )
     return rows.groupBy(*CLASS).agg(
         F.min("at").alias("at"),
         F.count("*").alias("copies"),
-        *[F.first(c).alias(c) for c in ("n", "bits", "low_turned", "high_turned", "prefix")],
+        *[F.first(c).alias(c) for c in ("n", "bits", "prefix")],
     )
 
 
@@ -211,42 +203,20 @@ def _possible(a_n: Column, b_n: Column, a_bits: Column, b_bits: Column, percent:
     )
 
 
-def _star_pairs(classes: DataFrame, rule: LineDedup) -> DataFrame:
-    """(x, y): the earliest class among those with a minwise pick in common, and another one.
-
-    This settles most members of a large group of similar lines with one
-    comparison for each.
-    """
-    picks = F.posexplode(F.array("low", "high", "low_turned", "high_turned")).alias("i", "pick")
-    picked = classes.select("at", "n", "bits", picks)
-    earliest = picked.groupBy("i", "pick").agg(
-        F.min(F.struct("at", "n", "bits")).alias("first"), F.count("*").alias("size")
-    )
-    met = picked.join(earliest.where("size > 1"), ["i", "pick"]).where("at <> first.at")
-    near = _possible(
-        F.col("n"), F.col("first.n"), F.col("bits"), F.col("first.bits"), rule.percent
-    )
-    return met.where(near).select(F.col("first.at").alias("x"), F.col("at").alias("y")).distinct()
-
-
 def _prefix_pairs(classes: DataFrame, rule: LineDedup) -> DataFrame:
-    """(x, y): an earlier class and one that is ``open``, when they pass all filters."""
-    words = classes.select(
-        "at.doc", "at.line", "n", "bits", "open", F.inline(_keys(F.col("prefix")))
-    )
+    """(x, y): an earlier class and a later one, when they pass all filters."""
+    words = classes.select("at.doc", "at.line", "n", "bits", F.inline(_keys(F.col("prefix"))))
     a, b = words.alias("a"), words.alias("b")
     na, nb = F.col("a.n"), F.col("b.n")
     # Shared words are at most those left behind both places, this one included.
     room = F.least(na - F.col("a.place"), nb - F.col("b.place"))
     enough = (100 + rule.percent) * room >= rule.percent * (na + nb)
     near = _possible(na, nb, F.col("a.bits"), F.col("b.bits"), rule.percent)
-    # Written with the columns of both sides, so that one shuffle of the words serves both.
-    wanted = F.col("b.open") | (F.col("a.open") & (na < 0))
     earlier = (F.col("a.doc") < F.col("b.doc")) | (
         (F.col("a.doc") == F.col("b.doc")) & (F.col("a.line") < F.col("b.line"))
     )
     return (
-        a.join(b, (F.col("a.key") == F.col("b.key")) & earlier & wanted & enough & near)
+        a.join(b, (F.col("a.key") == F.col("b.key")) & earlier & enough & near)
         .select(F.struct("a.doc", "a.line").alias("x"), F.struct("b.doc", "b.line").alias("y"))
         .distinct()
     )
@@ -289,24 +259,49 @@ def _verified(pairs: DataFrame, docs: DataFrame, rule: LineDedup, key: str, text
     )
 
 
+def _joined(
+    docs: DataFrame, rule: LineDedup, key: str, text: str
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Judged lines, their classes, and all links (x, y) from earlier to later classes."""
+    lines = _token_lines(docs, rule, key, text)
+    codes = settle(bucket_codes(_lines(docs, key, text)), "codes").scalar()
+    classes = settle(_classes(lines, codes, rule), "classes")
+    pairs = settle(_prefix_pairs(classes, rule), "pairs")
+    return lines, classes, settle(_verified(pairs, docs, rule, key, text), "links")
+
+
+def line_classes(
+    docs: DataFrame, rule: LineDedup = LineDedup(), key: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """(doc, line, class_doc, class_line, copies, n_links) of every judged line.
+
+    A class of equal word sets is named by its first line. ``copies`` is the number
+    of its lines, ``n_links`` the number of other classes that are similar to it.
+    """
+    lines, classes, links = _joined(docs, rule, key, text)
+    ends = links.select(F.explode(F.array("x", "y")).alias("at")).groupBy("at")
+    counts = ends.agg(F.count("*").alias("n_links"))
+    named = classes.select(*CLASS, "at", "copies").join(counts, "at", "left")
+    return _places(lines).join(named, list(CLASS)).select(
+        "doc",
+        "line",
+        F.col("at.doc").alias("class_doc"),
+        F.col("at.line").alias("class_line"),
+        "copies",
+        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+    )
+
+
 def repeated_lines(
     docs: DataFrame, rule: LineDedup = LineDedup(), key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """(doc, line, first_doc, first_line): every line that goes, and an earlier line it matches.
 
-    The earlier line is the first of equal word sets, else the earliest match that
-    was found. Null ids are 2**63 - 1 here.
+    The earlier line is the first of equal word sets, else the first line of the
+    earliest similar class. Null ids are 2**63 - 1 here.
     """
-    lines = _token_lines(docs, rule, key, text)
-    codes = settle(bucket_codes(_lines(docs, key, text)), "codes").scalar()
-    classes = settle(_classes(lines, codes, rule), "classes")
-    stars = settle(_star_pairs(classes, rule), "stars")
-    matched = settle(_verified(stars, docs, rule, key, text), "matches")
-    done = matched.select(F.col("y").alias("at")).distinct().withColumn("found", F.lit(True))
-    known = classes.join(done, "at", "left").withColumn("open", F.col("found").isNull())
-    rest = settle(_prefix_pairs(known, rule), "pairs")
-    more = settle(_verified(rest, docs, rule, key, text), "matches")
-    near = matched.unionByName(more).groupBy("y").agg(F.min("x").alias("x"))
+    lines, classes, links = _joined(docs, rule, key, text)
+    near = links.groupBy("y").agg(F.min("x").alias("x"))
     copies = classes.where("copies > 1").select(*CLASS, F.col("at").alias("x"))
     equal = (
         _places(lines)

@@ -235,6 +235,47 @@ def test_frequent_words_are_joined_by_two(spark, monkeypatch):
     assert {(r.doc, r.line) for r in found} == gone_lines(rows)
 
 
+def test_all_links_between_line_classes(spark):
+    random.seed(12)
+    base = [f"b{i}" for i in range(30)]
+    rows = [(1, " ".join(base)), (2, " ".join(reversed(base)))]
+    for i in range(3, 60):
+        words = list(base)
+        for _ in range(random.randrange(1, 5)):
+            words[random.randrange(30)] = f"x{random.randrange(9)}"
+        rows.append((i, "other line\n" + " ".join(words)))
+    places = {}
+    for i, text in rows:
+        for k, line in enumerate(text.split("\n")):
+            if len(words := frozenset(line.split())) >= 5:
+                places.setdefault(words, []).append((i, k))
+    wanted = {}
+    for words, own in places.items():
+        links = sum(100 * len(words & w) >= 80 * len(words | w) for w in places) - 1
+        wanted |= {place: (*own[0], len(own), links) for place in own}
+    found = line_dedup.line_classes(docs_of(spark, rows)).collect()
+    assert {
+        (r.doc, r.line): (r.class_doc, r.class_line, r.copies, r.n_links) for r in found
+    } == wanted
+
+
+def test_first_line_is_the_earliest_match(spark):
+    rows = line_documents(120, 13)
+    firsts, before = {}, []
+    for i, text in rows:
+        for k, line in enumerate(text.split("\n")):
+            words = frozenset(line.lower().split())
+            if len(words) < 5:
+                continue
+            equal = [at for at, w in before if w == words]
+            near = [at for at, w in before if 100 * len(words & w) >= 80 * len(words | w)]
+            if near:
+                firsts[i, k] = (equal or near)[0]
+            before.append(((i, k), words))
+    found = line_dedup.repeated_lines(docs_of(spark, rows)).collect()
+    assert {(r.doc, r.line): (r.first_doc, r.first_line) for r in found} == firsts
+
+
 def test_lines_of_repeated_rows_and_null_ids(spark):
     line = "one two three four five six"
     docs = docs_of(spark, [(2, line), (2, line), (None, line), (1, "other " + line)])
