@@ -2,8 +2,10 @@
 
 Method: q-gram lemma filtering. Texts are reduced to their letters and digits in
 lower case. Benchmark items are cut to overlapping passages of ``passage``
-characters. A copy of a passage of ``m`` characters with at most ``e`` edits
-shares ``m - q + 1 - q * e`` of its q-grams with the passage, all on diagonals
+characters, and to excerpts of ``excerpt`` characters, one every ``stride``. Items
+of up to ``whole`` characters are one more passage each, with a budget of edits in
+proportion to the item. A copy of a passage of ``m`` characters with at most ``e``
+edits shares ``m - q + 1 - q * e`` of its q-grams with the passage, all on diagonals
 (place in the text minus place in the passage) that differ by at most ``e``. So
 shared q-grams are counted in overlapping bands of ``2 * (e + 1)`` diagonals,
 bands that reach the bound are kept, and a banded alignment verifies them.
@@ -36,15 +38,25 @@ HITS = "array<struct<item:bigint,start:bigint,stop:bigint,edits:int>>"
 
 @dataclass(frozen=True)
 class Decontamination:
-    """``edits`` is the share of a passage's characters that may differ."""
+    """``edits`` is the share of a passage's characters that may differ, ``whole_edits``
+    that of a whole item of up to ``whole`` characters.
 
-    q: int = 12
+    Any exact excerpt of ``excerpt + stride - 1`` characters holds a whole one of those
+    that are looked for.
+    """
+
+    q: int = 8
     passage: int = 100
     edits: float = 0.05
+    whole: int = 400
+    whole_edits: float = 0.10
+    excerpt: int = 60
+    stride: int = 10
 
-    def budget(self, length: int) -> int:
+    def budget(self, length: int, share: float | None = None) -> int:
         """Most edits of a passage; at least one q-gram has to be left."""
-        return max(0, min(int(self.edits * length), (length - self.q) // self.q))
+        share = self.edits if share is None else share
+        return max(0, min(int(share * length), (length - self.q) // self.q))
 
 
 @lru_cache(maxsize=1)
@@ -92,15 +104,23 @@ def _power(exponent: int) -> np.uint64:
     return np.uint64(pow(int(BASE), exponent, 1 << 64))
 
 
-def _passages(letters: np.ndarray, rule: Decontamination) -> Iterator[np.ndarray]:
-    """Overlapping passages that cover all letters of an item, half a passage apart."""
-    n, m = len(letters), rule.passage
-    if n <= m:
-        starts = [0]
-    else:
-        starts = [*range(0, n - m, max(1, m // 2)), n - m]
-    for start in starts:
-        yield letters[start : start + m]
+def _starts(n: int, length: int, step: int) -> list[int]:
+    """Starts of pieces that cover ``n`` letters, the last one at their end."""
+    return [0] if n <= length else [*range(0, n - length, max(1, step)), n - length]
+
+
+def _passages(letters: np.ndarray, rule: Decontamination) -> Iterator[tuple[np.ndarray, int]]:
+    """Pieces of an item, each with its budget of edits: excerpts, passages, the whole."""
+    n, seen = len(letters), set()
+    if n <= rule.whole:
+        seen.add((0, n))
+        yield letters, rule.budget(n, rule.whole_edits)
+    for length, step in ((rule.passage, rule.passage // 2), (rule.excerpt, rule.stride)):
+        for start in _starts(n, length, step):
+            stop = min(n, start + length)
+            if (start, stop) not in seen:
+                seen.add((start, stop))
+                yield letters[start:stop], rule.budget(stop - start)
 
 
 class PassageIndex:
@@ -109,9 +129,9 @@ class PassageIndex:
     def __init__(self, items: list[tuple[int, str]], rule: Decontamination) -> None:
         self.rule = rule
         self.passages: list[np.ndarray] = []
-        owners, keys, places, numbers = [], [], [], []
+        owners, keys, places, numbers, budgets = [], [], [], [], []
         for item, text in items:
-            for passage in _passages(_reduce(text)[0], rule):
+            for passage, budget in _passages(_reduce(text)[0], rule):
                 grams = _grams(passage, rule.q)
                 if not len(grams):
                     continue
@@ -119,6 +139,7 @@ class PassageIndex:
                 places.append(np.arange(len(grams)))
                 numbers.append(np.full(len(grams), len(self.passages)))
                 owners.append(item)
+                budgets.append(budget)
                 self.passages.append(passage)
         none = np.empty(0, np.int64)
         key = np.concatenate(keys) if keys else none.astype(np.uint64)
@@ -128,7 +149,7 @@ class PassageIndex:
         self.place = (np.concatenate(places) if places else none)[order]
         self.number = (np.concatenate(numbers) if numbers else none)[order]
         lengths = np.array([len(p) for p in self.passages], np.int64)
-        self.budget = np.array([rule.budget(n) for n in lengths], np.int64)
+        self.budget = np.array(budgets, np.int64)
         self.bound = np.maximum(1, lengths - rule.q + 1 - rule.q * self.budget)
         self.known = np.zeros(1 << TABLE_BITS, bool)
         self.known[self.key >> np.uint64(64 - TABLE_BITS)] = True
@@ -161,7 +182,10 @@ class PassageIndex:
         best: dict[int, tuple[int, int, int]] = {}
         for number, diagonal in zip(*self._regions(_grams(letters, self.rule.q)), strict=True):
             passage, budget = self.passages[number], int(self.budget[number])
-            found = banded_match(passage, letters, int(diagonal), 2 * (budget + 1), budget)
+            width = 2 * (budget + 1)
+            found = exact_match(passage, letters, int(diagonal), width) or banded_match(
+                passage, letters, int(diagonal), width, budget
+            )
             if found is None:
                 continue
             edits, first, last = found
@@ -172,6 +196,18 @@ class PassageIndex:
         return sorted((item, *rest) for item, rest in best.items())
 
 
+def exact_match(
+    passage: np.ndarray, letters: np.ndarray, diagonal: int, width: int
+) -> tuple[int, int, int] | None:
+    """(0, start, stop) of an exact copy on the diagonals of a band, as no alignment is needed."""
+    low, high = max(0, diagonal), min(len(letters) - len(passage), diagonal + width - 1)
+    if high < low:
+        return None
+    runs = np.lib.stride_tricks.sliding_window_view(letters[low : high + len(passage)], len(passage))
+    same = np.flatnonzero((runs == passage).all(axis=1))
+    return (0, low + int(same[0]), low + int(same[0]) + len(passage)) if len(same) else None
+
+
 def banded_match(
     passage: np.ndarray, letters: np.ndarray, diagonal: int, width: int, budget: int
 ) -> tuple[int, int, int] | None:

@@ -217,6 +217,44 @@ def test_decontamination_of_changed_passages(spark):
     assert decontaminate.keep_clean(docs.limit(0), benchmark).count() == 0
 
 
+def _items_and_words():
+    random.seed(21)
+    words = ["".join(random.choices("abcdefgh", k=random.randrange(2, 8))) for _ in range(900)]
+    return [" ".join(random.choices(words, k=42)) for _ in range(40)], words
+
+
+@pytest.mark.parametrize("replaced", [1, 2, 3])
+def test_items_with_replaced_words_are_found(replaced):
+    items, words = _items_and_words()
+    index = decontaminate.PassageIndex([*enumerate(items)], decontaminate.Decontamination())
+    for i, item in enumerate(items):
+        changed = item.split()
+        # All in the middle, where both passages of a short item lie.
+        for k in range(replaced):
+            changed[20 + k] = random.choice(words)
+        assert i in [hit[0] for hit in index.find(f"noise before {' '.join(changed)} noise after")]
+
+
+def test_excerpts_of_items_are_found():
+    items, _ = _items_and_words()
+    index = decontaminate.PassageIndex([*enumerate(items)], decontaminate.Decontamination())
+    for i, item in enumerate(items):
+        for letters in (69, 90, 120):
+            begin = stop = random.randrange(0, 40)
+            while stop < len(item) and sum(c.isalnum() for c in item[begin:stop]) < letters:
+                stop += 1
+            if stop == len(item):
+                continue
+            assert i in [hit[0] for hit in index.find(f"noise before {item[begin:stop]} noise after")]
+
+
+def test_excerpts_of_long_items_are_found():
+    items, _ = _items_and_words()
+    long = " ".join(items)
+    index = decontaminate.PassageIndex([(7, long)], decontaminate.Decontamination())
+    assert [h[0] for h in index.find("noise " + long[3000:3100] + " noise")] == [7]
+
+
 def test_benchmark_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "BLOCK_CHARS", 100)
     items = [f"question number {i} about the {w} river and its towns" for i, w in enumerate(["red", "blue", "long"])]
