@@ -11,6 +11,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerleaf.scratch import settle
+
 KELVIN_SIGN = "\u212a"
 BLANKS = " \t\n\x0b\f\r"
 BLANK_RUN = r"[ \t-\r]+"
@@ -75,3 +77,33 @@ def by_size(
             held += n or 0
         if start < batch.num_rows:
             yield batch.slice(start)
+
+
+def own_rows(docs: DataFrame, key: str, text: str, share: bool) -> tuple[DataFrame, bool]:
+    """``docs`` with a column ``_row`` that tells its rows apart, and whether it is not just the key.
+
+    Where every row has a key of its own, that is ``_row``. Else rows are numbered
+    once, by key and text, null keys last, and stored. With ``share``, rows of equal
+    key and text have the least of their numbers; rows without a key never do.
+    """
+    ids = docs.select(F.col(key).cast("long").alias("id"))
+    odd = ids.groupBy("id").agg(F.count("*").alias("n")).where("id is null or n > 1")
+    if odd.isEmpty():
+        return docs.withColumn("_row", F.col(key).cast("long")), False
+    whole = F.col(text).cast("string")
+    names = ("_id", "_h1", "_h2")
+    marks = [F.col(key).cast("long"), F.xxhash64(whole), F.xxhash64(F.lit(1), whole)]
+    marked = docs.select("*", *[m.alias(n) for m, n in zip(marks, names, strict=True)])
+    ordered = marked.orderBy(F.col("_id").asc_nulls_last(), "_h1", "_h2")
+    rows = settle(ordered.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    if share:
+        firsts = (
+            rows.where("_id is not null")
+            .groupBy(*names)
+            .agg(F.min("_row").alias("_first"), F.count("*").alias("_n"))
+            .where("_n > 1")
+            .drop("_n")
+        )
+        own = F.coalesce("_first", "_row")
+        rows = rows.join(firsts, list(names), "left").withColumn("_row", own).drop("_first")
+    return rows.select(*docs.columns, "_row"), True

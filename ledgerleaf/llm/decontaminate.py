@@ -16,7 +16,7 @@ documents are neither shuffled nor collected.
 
 Null and empty texts hold nothing. Items whose passages are shorter than ``q``
 characters are too short to be recognised. Repeated rows and items are judged one
-by one; other columns are ignored.
+by one, also items without an id or with a shared one; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -126,11 +126,12 @@ def _passages(letters: np.ndarray, rule: Decontamination) -> Iterator[tuple[np.n
 class PassageIndex:
     """The q-grams of all passages of some items, sorted."""
 
-    def __init__(self, items: list[tuple[int, str]], rule: Decontamination) -> None:
+    def __init__(self, items: list[tuple[int | None, str]], rule: Decontamination) -> None:
         self.rule = rule
         self.passages: list[np.ndarray] = []
         owners, keys, places, numbers, budgets = [], [], [], [], []
-        for item, text in items:
+        self.ids = [item for item, _ in items]
+        for item, (_, text) in enumerate(items):
             for passage, budget in _passages(_reduce(text)[0], rule):
                 grams = _grams(passage, rule.q)
                 if not len(grams):
@@ -176,7 +177,7 @@ class PassageIndex:
         number, band = number[enough], band[enough]
         return number, band * (self.budget[number] + 1)
 
-    def find(self, text: str) -> list[tuple[int, int, int, int]]:
+    def find(self, text: str) -> list[tuple[int | None, int, int, int]]:
         """(item, start, stop, edits) of verified passages, joined for each item."""
         letters, places = _reduce(text)
         best: dict[int, tuple[int, int, int]] = {}
@@ -193,7 +194,8 @@ class PassageIndex:
             start, stop = int(places[first]), int(places[last - 1]) + 1
             old = best.get(item, (start, stop, edits))
             best[item] = (min(old[0], start), max(old[1], stop), min(old[2], edits))
-        return sorted((item, *rest) for item, rest in best.items())
+        found = [(self.ids[item], *rest) for item, rest in best.items()]
+        return sorted(found, key=lambda hit: (hit[0] is None, hit[0] or 0, *hit[1:]))
 
 
 def exact_match(
@@ -248,12 +250,13 @@ def banded_match(
     return int(cost[end]), max(0, start), min(stop, len(letters))
 
 
-def _blocks(benchmark: DataFrame, key: str, text: str) -> Iterator[list[tuple[int, str]]]:
+def _blocks(benchmark: DataFrame, key: str, text: str) -> Iterator[list[tuple[int | None, str]]]:
     """Items in blocks of a bounded number of characters, one item at least."""
-    rows = benchmark.select(F.col(key).cast("long"), F.col(text).cast("string"))
-    block: list[tuple[int, str]] = []
+    item, words = F.col(key).cast("long").alias("item"), F.col(text).cast("string").alias("words")
+    rows = benchmark.select(item, words)
+    block: list[tuple[int | None, str]] = []
     held = 0
-    for item, words in rows.where(f"{key} is not null and {text} is not null").toLocalIterator():
+    for item, words in rows.where("words is not null").toLocalIterator():
         if block and held + len(words) > BLOCK_CHARS:
             yield block
             block, held = [], 0
@@ -268,7 +271,7 @@ _ready: dict[int, tuple[list, PassageIndex]] = {}
 MOST_READY = 4
 
 
-def _index_of(items: list[tuple[int, str]], rule: Decontamination) -> PassageIndex:
+def _index_of(items: list[tuple[int | None, str]], rule: Decontamination) -> PassageIndex:
     if id(items) not in _ready:
         while len(_ready) >= MOST_READY:
             _ready.pop(next(iter(_ready)))

@@ -28,9 +28,10 @@ All classes take part in the join, so every link between two classes is found:
 Only built-in functions are used. The tables of counts and of bits have a fixed
 size. Hot keys are split by adaptive execution.
 
-Null texts have no lines, an empty text has one empty line. Null ids come after
-all others. Rows that share an id count as one document: repeated rows do not
-repeat each other.
+Null texts have no lines, an empty text has one empty line. Rows with equal id and
+text count as one document: they do not repeat each other. Rows that share an id
+but not the text are documents of their own, as is every row without an id; these
+come after all others.
 """
 
 from __future__ import annotations
@@ -40,7 +41,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerleaf.llm.common import BLANKS, let
+from ledgerleaf.llm.common import BLANKS, let, own_rows
 from ledgerleaf.scratch import settle
 
 BUCKET_BITS = 22
@@ -277,6 +278,7 @@ def line_classes(
 
     A class of equal word sets is named by its first line. ``copies`` is the number
     of its lines, ``n_links`` the number of other classes that are similar to it.
+    The key has to tell the documents apart.
     """
     lines, classes, links = _joined(docs, rule, key, text)
     ends = links.select(F.explode(F.array("x", "y")).alias("at")).groupBy("at")
@@ -298,8 +300,27 @@ def repeated_lines(
     """(doc, line, first_doc, first_line): every line that goes, and an earlier line it matches.
 
     The earlier line is the first of equal word sets, else the first line of the
-    earliest similar class. Null ids are 2**63 - 1 here.
+    earliest similar class. Rows without an id or with a shared one go by the numbers
+    of their rows inside; here they have their ids again.
     """
+    rows, numbered = own_rows(docs, key, text, share=True)
+    gone = _repeated(rows, rule, "_row", text)
+    if not numbered:
+        return gone
+    gone = settle(gone, "gone")
+    names = rows.select("_row", F.col(key).cast("long").alias("id")).distinct()
+    first = names.select(F.col("_row").alias("first_doc"), F.col("id").alias("first_id"))
+    return (
+        gone.join(names.withColumnRenamed("_row", "doc"), "doc")
+        .join(first, "first_doc")
+        .select(
+            F.col("id").alias("doc"), "line", F.col("first_id").alias("first_doc"), "first_line"
+        )
+    )
+
+
+def _repeated(docs: DataFrame, rule: LineDedup, key: str, text: str) -> DataFrame:
+    """:func:`repeated_lines` of documents that ``key`` tells apart."""
     lines, classes, links = _joined(docs, rule, key, text)
     near = links.groupBy("y").agg(F.min("x").alias("x"))
     copies = classes.where("copies > 1").select(*CLASS, F.col("at").alias("x"))
@@ -319,11 +340,11 @@ def repeated_lines(
 
 def dedup_lines(docs: DataFrame, rule: LineDedup = LineDedup()) -> DataFrame:
     """``docs`` (doc_id, text, any others) with texts that lack their repeated lines."""
-    gone = settle(repeated_lines(docs, rule), "gone")
+    own, _ = own_rows(docs, "doc_id", "text", share=True)
+    gone = settle(_repeated(own, rule, "_row", "text"), "gone")
     cuts = gone.groupBy("doc").agg(F.array_sort(F.collect_set("line")).alias("cuts"))
     columns = [F.col(c).alias(f"c{i}") for i, c in enumerate(docs.columns)]
-    doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("doc")
-    rows = docs.select(*columns, doc, F.col("text").cast("string").alias("text"))
+    rows = own.select(*columns, F.col("_row").alias("doc"), F.col("text").cast("string").alias("text"))
 
     def without(parts: Column) -> Column:
         """Lines between the cuts; starts of pieces are the places after a cut."""

@@ -25,8 +25,9 @@ folder.
 
 Texts are lower-cased (A-Z). With fewer than five words the whole sequence is the
 only shingle; null and empty texts have none and are linked with nothing. Rows
-that share an id count as one document. A null id is never the name of a
-component. Other columns are ignored.
+with equal id and text count as one document; rows that share an id only, and rows
+without one, are documents of their own. A null id names a component only where no
+member has an id. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -40,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerleaf.llm.common import by_size
+from ledgerleaf.llm.common import by_size, own_rows
 from ledgerleaf.llm.components import connected_components
 from ledgerleaf.llm.shingles import RunHashes, WordHashes, mix
 from ledgerleaf.scratch import settle
@@ -199,11 +200,44 @@ def near_duplicates(
     key: str = "doc_id",
     text: str = "text",
 ) -> DataFrame:
-    """One row for each document: key, n_shingles, component_id and n_links.
+    """One row for each document: key, n_shingles, component_id, n_links and kept.
 
     ``component_id`` is the smallest id that links reach, ``n_links`` the number
-    of confirmed comparisons of the document's class. A null key has no links.
+    of confirmed comparisons of the document's class. ``kept`` is true for the
+    document that names the component; where no id is in it, for the first row.
     """
+    rows, numbered = own_rows(docs, key, text, share=True)
+    found = _linked_rows(rows, join, "_row", text)
+    kept = F.col("_row").eqNullSafe(F.col("component_id"))
+    kind = docs.schema[key].dataType
+    if not numbered:
+        return found.select(
+            F.col("_row").cast(kind).alias(key),
+            "n_shingles",
+            F.col("component_id").cast(kind).alias("component_id"),
+            "n_links",
+            kept.alias("kept"),
+        )
+    found = settle(found.withColumn("kept", kept), "found")
+    names = rows.select("_row", F.col(key).alias("_name")).distinct()
+    components = names.select(
+        F.col("_row").alias("component_id"), F.col("_name").alias("_component")
+    )
+    return (
+        found.join(names, "_row")
+        .join(components, "component_id")
+        .select(
+            F.col("_name").alias(key),
+            "n_shingles",
+            F.col("_component").alias("component_id"),
+            "n_links",
+            "kept",
+        )
+    )
+
+
+def _linked_rows(docs: DataFrame, join: SimilarityJoin, key: str, text: str) -> DataFrame:
+    """key, n_shingles, component_id and n_links of documents that ``key`` tells apart."""
     signed = settle(signatures(docs, join, key, text), "signatures")
     digest = ["n", "d1", "d2"]
     classes = signed.where("n > 0").groupBy(*digest).agg(F.min("doc").alias("rep"))
@@ -388,25 +422,14 @@ def linked_sets(x, y, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 def keep_one(docs: DataFrame, join: SimilarityJoin = SimilarityJoin()) -> DataFrame:
     """The rows of ``docs`` (doc_id, text, any others) without near duplicates.
 
-    The smallest id of a component stays, and one row of those that repeat it.
-    Rows without an id stay unless a document with an id has the same shingles.
+    The smallest id of a component stays, and one row of those that repeat it, id and
+    text. Rows without an id come after all others, each as a document of its own.
     """
-    found = near_duplicates(docs, join)
-    gone = settle(
-        found.where("not (doc_id <=> component_id)").select("doc_id").distinct(), "gone"
-    )
-    same = docs["doc_id"].eqNullSafe(gone["doc_id"])
-    kept = docs.join(gone, same, "left_anti")
-    repeated = settle(
-        docs.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select("doc_id"),
-        "repeated",
-    )
-    if repeated.isEmpty():
-        return kept
-    once = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    number = F.row_number().over(once)
-    hidden = "_row_number"
-    twice = kept.join(repeated, "doc_id", "left_semi").withColumn(hidden, number)
-    return kept.join(repeated, "doc_id", "left_anti").unionByName(
-        twice.where(F.col(hidden) == 1).drop(hidden)
-    )
+    rows, numbered = own_rows(docs, "doc_id", "text", share=True)
+    found = _linked_rows(rows, join, "_row", "text")
+    gone = settle(found.where("_row <> component_id").select("_row").distinct(), "gone")
+    kept = rows.join(gone, "_row", "left_anti")
+    if not numbered:
+        return kept.select(*docs.columns)
+    number = F.row_number().over(Window.partitionBy("_row").orderBy(F.xxhash64("text")))
+    return kept.withColumn("_number", number).where("_number = 1").select(*docs.columns)

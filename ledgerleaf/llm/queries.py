@@ -123,7 +123,7 @@ def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id",
         "n_shingles",
         "component_id",
-        F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"),
+        "kept",
     )
 
 

@@ -23,9 +23,11 @@ are shuffled, so a passage that a third of all documents share is one row for
 each batch, not one for each document. No document leaves its row: what is
 collected for one are spans in it.
 
-Null and empty texts have no words. Null ids come after all others. Rows that
-share an id count as one document: repeated rows do not repeat each other. Other
-columns are ignored.
+Null and empty texts have no words. Rows with equal id and text count as one
+document: they do not repeat each other. Rows that share an id but not the text
+are documents of their own, as is every row without an id; these come after all
+others. Other columns are ignored. ``repeated_spans`` alone needs keys that tell
+the documents apart.
 """
 
 from __future__ import annotations
@@ -37,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerleaf.llm.common import by_size
+from ledgerleaf.llm.common import by_size, own_rows
 from ledgerleaf.llm.shingles import RunHashes, WordHashes
 from ledgerleaf.scratch import settle
 
@@ -238,10 +240,10 @@ def remove_repeats(
     docs: DataFrame, width: int = WIDTH, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """One row for each document: key, n_words, n_removed and ``kept``, its other words."""
-    spans = settle(repeated_spans(docs, width, key, text), "spans")
-    rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
-    same_id = F.coalesce(rows["key"].cast("long"), F.lit(int(LAST_ID))) == spans["doc"]
-    joined = rows.join(spans, same_id, "left").select("key", "text", "spans")
+    own, _ = own_rows(docs, key, text, share=True)
+    spans = settle(repeated_spans(own, width, "_row", text), "spans")
+    rows = own.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"), "_row")
+    joined = rows.join(spans, rows["_row"] == spans["doc"], "left").select("key", "text", "spans")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_size(batches, "text"):

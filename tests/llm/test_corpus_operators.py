@@ -290,6 +290,49 @@ def test_lines_of_repeated_rows_and_null_ids(spark):
     assert line_dedup.dedup_lines(docs.limit(0)).count() == 0
 
 
+# --- rows without an id of their own -----------------------------------------
+
+
+def test_cuts_stay_in_their_rows(spark):
+    rows = [
+        (1, "one two three four five six"),
+        (None, "alpha beta gamma delta epsilon\none two three four five six"),
+        (None, "kappa lambda mu nu xi\nred green blue white black"),
+        (None, "kappa lambda mu nu xi\nfirst second third fourth fifth"),
+        (4, "rho sigma tau upsilon phi\none two three four five six"),
+        (4, "chi psi omega aleph beth\ngimel daleth he waw zayin"),
+    ]
+    cut = line_dedup.dedup_lines(docs_of(spark, rows)).collect()
+    mu = [r.text for r in cut if "kappa" in r.text]
+    assert len(mu) == 1 and len(mu[0].split("\n")) == 2
+    assert sorted(len(r.text.split("\n")) for r in cut) == [1, 1, 1, 1, 2, 2]
+    left = "\n".join(r.text for r in cut)
+    for _, text in rows:
+        assert all(left.count(line) == 1 for line in text.split("\n"))
+    gone = line_dedup.repeated_lines(docs_of(spark, rows)).collect()
+    assert sorted((r.doc or 99, r.line) for r in gone) == [(4, 1), (99, 0), (99, 1)]
+
+
+def test_passages_of_rows_without_ids(spark):
+    passage, other, third = (" ".join(f"{c}{i}" for i in range(30)) for c in "abc")
+    rows = [(1, passage), (None, f"{passage} {other}"), (None, f"{third} x y"), (None, other), (2, third), (2, passage)]
+    found = substring_dedup.remove_repeats(docs_of(spark, rows)).collect()
+    left = " ".join(r.kept for r in found).split()
+    assert sorted(left) == sorted([*f"{passage} {other} {third}".split(), "x", "y"])
+
+
+def test_near_copies_without_ids(spark):
+    words = [f"w{i}" for i in range(60)]
+    text, near = " ".join(words), " ".join([*words, "end"])
+    other, third = " ".join(f"v{i}" for i in range(60)), " ".join(f"u{i}" for i in range(60))
+    rows = [(None, text), (None, near), (None, text), (3, other), (3, third), (None, other), (None, None)]
+    kept = near_dedup.keep_one(docs_of(spark, rows)).collect()
+    assert len(kept) == 4
+    assert {(r.doc_id, r.text) for r in kept} >= {(3, other), (3, third), (None, None)}
+    found = near_dedup.near_duplicates(docs_of(spark, rows)).collect()
+    assert len(found) == len(rows) and sum(r.kept for r in found) == 4
+
+
 # --- addresses ---------------------------------------------------------------
 
 

@@ -255,6 +255,15 @@ def test_excerpts_of_long_items_are_found():
     assert [h[0] for h in index.find("noise " + long[3000:3100] + " noise")] == [7]
 
 
+def test_items_without_an_id(spark):
+    items, _ = _items_and_words()
+    benchmark = spark.createDataFrame([(None, items[0]), (None, items[1]), (2, items[2])], "item_id long, text string")
+    docs = docs_of(spark, [items[1], items[2], items[3], f"{items[0]} {items[1]}"])
+    found = decontaminate.contaminated(docs, benchmark).collect()
+    assert sorted((r.doc_id, r.item_id or 0) for r in found) == [(0, 0), (1, 2), (3, 0), (3, 0)]
+    assert [r.doc_id for r in decontaminate.keep_clean(docs, benchmark).collect()] == [2]
+
+
 def test_benchmark_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "BLOCK_CHARS", 100)
     items = [f"question number {i} about the {w} river and its towns" for i, w in enumerate(["red", "blue", "long"])]
