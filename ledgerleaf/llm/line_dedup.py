@@ -16,7 +16,9 @@ Method: exact set-similarity join.
   word stays a single number that sorts by rarity.
 * Prefix filter: similar sets share one of their first ``n - ceil(t * n) + 1``
   words. Classes meet in a join on these words; a frequent word is joined together
-  with the next shared one, which is among the first words as well.
+  with the next shared one, which is among the first words as well. In lines of many
+  different words it is joined together with the band of their number instead, so
+  keys grow in proportion to the words.
 * Length and positional filters drop pairs whose sizes or remaining words cannot
   reach the similarity, and so does a bound by 64 bits that words flip.
 * The remaining pairs are verified on the words of their lines.
@@ -36,6 +38,7 @@ come after all others.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -48,6 +51,7 @@ BUCKET_BITS = 22
 GROUP_BITS = 11
 REDUCER_BITS = 23
 FREQUENT = 40  # code of words in about 1,000 lines or more
+LONG_LINE = 200  # different words from which frequent ones are joined by bands of sizes
 HASH_BITS = 56  # the 7 bits above them hold the frequency
 LAST_ID = (1 << 63) - 1
 
@@ -174,12 +178,19 @@ def _one_bit(place: Column) -> Column:
     )
 
 
-def _keys(longer: Column) -> Column:
-    """What a set is found by: (key, place) for its prefix; ``longer`` has one word more.
+def _keys(longer: Column, n: Column, percent: int) -> Column:
+    """What a set of ``n`` is found by: (key, place) for its prefix; ``longer`` has one word more.
 
     A rare word is a key by itself. A frequent one is a key together with each
-    word after it: similar sets share a second word within the longer prefix.
+    word after it: similar sets share a second word within the longer prefix. In
+    a long line it is a key with the band of ``n``, and the next one: sizes of
+    similar sets are less than a band apart. Lines that may be similar to both
+    kinds have the keys of both.
     """
+    width = math.log(1.01 * 100 / percent)
+    band = F.floor(F.log(n.cast("double")) / width)
+    bands = F.array(band, band + 1)
+    only_long = percent * n > 100 * LONG_LINE
 
     def keys(words: Column) -> Column:
         def of(token: Column, i: Column) -> Column:
@@ -188,8 +199,12 @@ def _keys(longer: Column) -> Column:
                 F.slice(words, i + 2, F.size(words)),
                 lambda other: F.struct(F.xxhash64(token, other).alias("key"), i.alias("place")),
             )
+            banded = F.transform(
+                bands, lambda b: F.struct(F.xxhash64(token, b).alias("key"), i.alias("place"))
+            )
+            by_size = F.when(only_long, banded).when(n < LONG_LINE, paired)
             frequent = F.shiftright(token, HASH_BITS) >= FREQUENT
-            return F.when(frequent, paired).otherwise(alone)
+            return F.when(frequent, by_size.otherwise(F.concat(paired, banded))).otherwise(alone)
 
         return F.flatten(F.transform(F.slice(words, 1, F.size(words) - 1), of))
 
@@ -206,7 +221,8 @@ def _possible(a_n: Column, b_n: Column, a_bits: Column, b_bits: Column, percent:
 
 def _prefix_pairs(classes: DataFrame, rule: LineDedup) -> DataFrame:
     """(x, y): an earlier class and a later one, when they pass all filters."""
-    words = classes.select("at.doc", "at.line", "n", "bits", F.inline(_keys(F.col("prefix"))))
+    keys = _keys(F.col("prefix"), F.col("n"), rule.percent)
+    words = classes.select("at.doc", "at.line", "n", "bits", F.inline(keys))
     a, b = words.alias("a"), words.alias("b")
     na, nb = F.col("a.n"), F.col("b.n")
     # Shared words are at most those left behind both places, this one included.

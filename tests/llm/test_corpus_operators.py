@@ -235,6 +235,23 @@ def test_frequent_words_are_joined_by_two(spark, monkeypatch):
     assert {(r.doc, r.line) for r in found} == gone_lines(rows)
 
 
+@pytest.mark.parametrize("long", [1, 8, 14])
+def test_frequent_words_of_long_lines(spark, monkeypatch, long):
+    monkeypatch.setattr(line_dedup, "FREQUENT", 0)
+    monkeypatch.setattr(line_dedup, "LONG_LINE", long)
+    rows = line_documents(80, 7)
+    found = line_dedup.repeated_lines(docs_of(spark, rows)).collect()
+    assert {(r.doc, r.line) for r in found} == gone_lines(rows)
+
+
+def test_line_of_very_many_frequent_words(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "FREQUENT", 0)
+    words = [f"w{i}" for i in range(50000)]
+    rows = [(1, " ".join(words)), (2, " ".join(words[4000:])), (3, " ".join(words[:30000]))]
+    found = line_dedup.repeated_lines(docs_of(spark, rows)).collect()
+    assert {(r.doc, r.line) for r in found} == {(2, 0)}
+
+
 def test_all_links_between_line_classes(spark):
     random.seed(12)
     base = [f"b{i}" for i in range(30)]
