@@ -221,3 +221,52 @@ SELECT s.doc_id, len(s.words) AS n_words, len(s.words) - coalesce(k.n, 0) AS n_r
   sha256(coalesce(k.text, '')) AS kept_sha256
 FROM split s LEFT JOIN kept k USING (doc_id)
 """
+
+ORACLE["op13_resampling"] = r"""
+WITH RECURSIVE steps(b, i, c) AS (
+  SELECT range::BIGINT, 0, range::BIGINT FROM range(256)
+  UNION ALL
+  SELECT b, i + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END
+  FROM steps WHERE i < 8),
+crc AS MATERIALIZED (SELECT list(c ORDER BY b) AS t FROM steps WHERE i = 8),
+split AS MATERIALIZED (
+  SELECT own, id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM (SELECT TRUE AS own, doc_id AS id, text FROM documents
+        UNION ALL SELECT FALSE, item_id, text FROM benchmark)),
+features AS MATERIALIZED (
+  SELECT own, id, unnest(words) AS feature FROM split
+  UNION ALL
+  SELECT own, id, unnest(list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1]))
+  FROM split),
+hashed AS MATERIALIZED (
+  SELECT feature, xor(list_reduce(list_prepend(4294967295, bytes), lambda s, x:
+    xor(s >> 8, t[xor(s & 255, x) + 1])), 4294967295) % 10000 AS bucket
+  FROM (SELECT feature, list_transform(range(octet_length(encode(feature))), lambda i:
+          ('0x' || substr(hex(encode(feature)), 2 * i::INT + 1, 2))::BIGINT) AS bytes
+        FROM (SELECT DISTINCT feature FROM features)), crc),
+placed AS MATERIALIZED (SELECT own, id, bucket FROM features JOIN hashed USING (feature)),
+counts AS (
+  SELECT bucket, count(*) FILTER (own) AS s, count(*) FILTER (NOT own) AS t
+  FROM placed GROUP BY bucket),
+totals AS (SELECT sum(s)::DOUBLE AS s, sum(t)::DOUBLE AS t FROM counts),
+gains AS (
+  SELECT bucket, floor(1000 * ln(((c.t + 1)::DOUBLE * (a.s + 10000))
+    / ((c.s + 1)::DOUBLE * (a.t + 10000))))::BIGINT AS gain
+  FROM counts c, totals a),
+weights AS (
+  SELECT id, floor(sum(gain) / count(*))::BIGINT AS weight
+  FROM placed JOIN gains USING (bucket) WHERE own GROUP BY id),
+scored AS (
+  SELECT id AS doc_id, len(words) AS n_words, greatest(2 * len(words) - 1, 0) AS n_features,
+    coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('7:' || id), 1, 8))::BIGINT
+      + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+  FROM split LEFT JOIN weights USING (id) WHERE own),
+ranked AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS n
+  FROM scored WHERE n_words >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= 25 * n // 100 THEN rank END AS rank
+FROM scored LEFT JOIN ranked USING (doc_id)
+"""

@@ -15,6 +15,7 @@ from ledgerleaf.llm import (
     line_dedup,
     near_dedup,
     quality,
+    resample,
     secret_scan,
     substring_dedup,
     url_filter,
@@ -137,3 +138,10 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     gone = line_dedup.repeated_lines(read(spark, sf_dir, "documents"))
     return gone.select(F.col("doc").alias("doc_id"), F.col("line").cast("long").alias("line_no"))
+
+
+@query
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, target = read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")
+    drawn = resample.resample(docs, target, resample.Resampling())
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
