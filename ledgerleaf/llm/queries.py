@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ledgerleaf.llm import (
     bpe,
     decontaminate,
+    language_id,
     license_scan,
     line_dedup,
     near_dedup,
@@ -145,3 +146,17 @@ def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, target = read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")
     drawn = resample.resample(docs, target, resample.Resampling())
     return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query
+def op12_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 4 == 2
+    model = language_id.learn(docs.where(~held_out))
+    return language_id.identify(docs, model).select(
+        "doc_id",
+        held_out.alias("held_out"),
+        F.col("lang").alias("lang_pred"),
+        "score",
+        "rejected",
+    )
