@@ -270,3 +270,39 @@ ranked AS (
 SELECT doc_id, n_features, weight, score, CASE WHEN rank <= 25 * n // 100 THEN rank END AS rank
 FROM scored LEFT JOIN ranked USING (doc_id)
 """
+
+ORACLE["op11_phrases"] = r"""
+WITH split AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+pieces AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM split),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM pieces GROUP BY lang),
+places AS (
+  SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: w[i:i + k - 1])) AS p
+  FROM pieces, (SELECT unnest([1, 2, 3, 4]) AS k)),
+counted AS (
+  SELECT lang, k, p, count(*) AS f FROM places GROUP BY ALL HAVING count(*) >= 30),
+cuts AS (SELECT lang, p, f, len(p) AS size, unnest(range(1, len(p))) AS k FROM counted WHERE k > 1),
+scored AS (
+  SELECT c.lang, c.p, c.f AS a, a.f AS l, b.f AS r, c.k,
+    (2000000::HUGEINT * c.f) // (a.f + b.f) AS score
+  FROM cuts c JOIN counted a ON a.lang = c.lang AND a.p = c.p[:c.k]
+  JOIN counted b ON b.lang = c.lang AND b.p = c.p[c.k + 1:]),
+least AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1),
+inner_parts AS (
+  SELECT lang, f, unnest(flatten(list_transform(range(2, k), lambda n:
+    list_transform(range(1, k - n + 2), lambda i: p[i:i + n - 1])))) AS p
+  FROM counted WHERE k > 2),
+longest AS (SELECT lang, p, max(f) AS f FROM inner_parts GROUP BY lang, p),
+kept AS (
+  SELECT s.* FROM least s LEFT JOIN longest g ON g.lang = s.lang AND g.p = s.p
+  WHERE coalesce(100 * g.f, 0) < 80 * s.a),
+ranked AS (
+  SELECT lang, array_to_string(p, ' ') AS phrase, a, l, r, score::BIGINT AS score,
+    row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(array_to_string(p, ' '))) AS rank
+  FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score
+FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""

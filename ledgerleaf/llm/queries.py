@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerleaf.llm import (
     bpe,
+    collocations,
     decontaminate,
     language_id,
     license_scan,
@@ -160,3 +161,8 @@ def op12_language(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         "rejected",
     )
+
+
+@query
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read(spark, sf_dir, "documents"), collocations.Collocations())
