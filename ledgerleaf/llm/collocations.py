@@ -2,7 +2,7 @@
 
 1. Words are counted. Phrases are read only where all of their words are frequent, which
    a set of bits of fixed size decides; it may let rare words through, never the reverse.
-2. Windows of up to four such words are cut by range in prefix order. There all windows
+2. Windows of up to four such words are cut into ranges in prefix order. There all windows
    that begin with a phrase stand together, so one pass over a range counts all phrases.
 3. The frequent phrases are kept as two streams, one in prefix order and one in suffix
    order (words from last to first). In prefix order a phrase comes right after the
@@ -26,9 +26,9 @@ the text and the language are ignored, whatever their names.
 from __future__ import annotations
 
 import re
-import string
 import sys
 import zlib
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -51,13 +51,14 @@ UNKNOWN = "und"
 # begin with the same words stand together.
 JOINT = "\x00"
 _HIDDEN = {0: "\x01\x02", 1: "\x01\x03"}
-_LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
 _TOKEN = re.compile("[^ \t.,;:!?\n-\r]+|[.,;:!?\n-\r]")
 _BREAKS = ".,;:!?\n\x0b\x0c\r"
 _BITS = 1 << 22
 _HELD_WORDS = 200_000
 _BATCH_BYTES = 8 << 20
 _PARTS = 64
+_BOUND_ROWS = 5_000
+_RANGES_A_TASK = 4
 
 
 @dataclass(frozen=True)
@@ -76,7 +77,8 @@ class Collocations:
 
 
 def _lowered(text: str) -> str:
-    return text.lower() if text.isascii() else text.translate(_LOWER)
+    # Bytes are lowered as ASCII only.
+    return text.encode().lower().decode()
 
 
 def _hidden(word: str) -> str:
@@ -133,39 +135,65 @@ def _frequent_bits(words: DataFrame, least: int) -> np.ndarray:
     return np.packbits(bits)
 
 
+def _order_of(columns: list[np.ndarray], bound: int) -> np.ndarray:
+    """Order of rows of small numbers from -1, as many columns packed into one as fit."""
+    packed: list[np.ndarray] = []
+    room = 0
+    for column in columns:
+        if room < bound + 1:
+            packed.append(np.zeros(len(column), dtype=np.int64))
+            room = 1 << 62
+        packed[-1] = packed[-1] * (bound + 1) + column + 1
+        room //= bound + 1
+    return np.lexsort(packed[::-1])
+
+
 def _windows_of(lang: str, texts: list[list[str]], bits: np.ndarray, longest: int) -> pa.RecordBatch:
-    """Distinct windows of two to ``longest`` frequent words of one piece, with their counts."""
+    """Distinct windows of two to ``longest`` frequent words of one piece with counts, in prefix order."""
     ids: dict[str, int] = {}
     codes = [ids.setdefault(token, len(ids)) for tokens in texts for token in (*tokens, ".")]
-    names = [f"{lang}{JOINT}{_hidden(word)}" for word in ids]
-    slots = np.fromiter((zlib.crc32(name.encode()) for name in names), np.int64, len(names)) % _BITS
+    written = [_hidden(word) for word in ids]
+    keys = [f"{lang}{JOINT}{word}".encode() for word in written]
+    slots = np.fromiter(map(zlib.crc32, keys), np.int64, len(keys)) % _BITS
     frequent = (bits[slots >> 3] >> (7 - (slots & 7)).astype(np.uint8)) & 1 == 1
     for mark in _BREAKS:
         if mark in ids:
             frequent[ids[mark]] = False
-    row = np.array(codes, dtype=np.int64)
-    row[~frequent[row]] = -1
+    sequence = sorted(range(len(written)), key=written.__getitem__)
+    rank = np.empty(len(written), dtype=np.int64)
+    rank[sequence] = np.arange(len(written))
+    rank[~frequent] = -1
+    row = rank[np.array(codes, dtype=np.int64)]
     places = np.flatnonzero((row[:-1] >= 0) & (row[1:] >= 0))
     columns = [row[places], row[places + 1]]
     padded = np.append(row, np.full(longest, -1))
     for step in range(2, longest):
-        following = padded[places + step].copy()
+        following = padded[places + step]
         following[columns[-1] < 0] = -1
         columns.append(following)
-    order = np.lexsort(columns[::-1])
+    order = _order_of(columns, len(ids))
     columns = [column[order] for column in columns]
     new = np.ones(len(order), dtype=bool)
     new[1:] = np.any([column[1:] != column[:-1] for column in columns], axis=0)
     begins = np.flatnonzero(new)
     numbers = np.diff(np.append(begins, len(order)))
-    words = pa.array([_hidden(word) for word in ids], pa.string())
-    texts_of = [
+    words = pa.array([written[i] for i in sequence], pa.string())
+    parts = [
         pc.take(words, pa.array(np.maximum(column[begins], 0), mask=column[begins] < 0))
         for column in columns
     ]
     front = pa.array([lang], pa.string()).take(pa.array(np.zeros(len(begins), dtype=np.int32)))
-    keys = pc.binary_join_element_wise(front, *texts_of, JOINT, null_handling="skip")
-    return pa.RecordBatch.from_arrays([keys, pa.array(numbers)], ["key", "n"])
+    joined = pc.binary_join_element_wise(front, *parts, JOINT, null_handling="skip")
+    return pa.RecordBatch.from_arrays([joined, pa.array(numbers)], ["key", "n"])
+
+
+def _with_ranges(windows: pa.RecordBatch, bounds: list[str]) -> pa.RecordBatch:
+    """Windows in prefix order with the number of the range that each falls into."""
+    keys = windows.column(0)
+    cuts = [bisect_left(range(len(keys)), bound, key=lambda i: keys[i].as_py()) for bound in bounds]
+    ranges = np.repeat(np.arange(len(bounds) + 1), np.diff([0, *cuts, len(keys)]))
+    columns = [pa.array(ranges.astype(np.int32)), keys, windows.column(1)]
+    return pa.RecordBatch.from_arrays(columns, ["range", "key", "n"])
 
 
 def _columns(keys: pa.Array, width: int) -> list[pa.Array]:
@@ -180,91 +208,131 @@ def _columns(keys: pa.Array, width: int) -> list[pa.Array]:
     ]
 
 
-def _counts_in_order(least: int, longest: int):
-    """Counts of phrases of two words or more, from windows in prefix order.
+def _rows(counted: list[tuple[str, int]]) -> pa.RecordBatch:
+    keys, numbers = [key for key, _ in counted], [n for _, n in counted]
+    return pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(numbers, pa.int64())], ["key", "n"])
+
+
+class _RangeCounts:
+    """Counts of phrases of two words or more, from the windows of one range in prefix order.
 
-    Phrases below ``least`` are left out, save those at the head and the end of a range,
+    Phrases below ``least`` are left out, save those that the range begins or ends with,
     which may go on in the next one.
     """
 
-    def _rows(keys: list[str], numbers: list[int]) -> pa.RecordBatch:
-        arrays = [pa.array(keys, pa.string()), pa.array(numbers, pa.int64())]
-        return pa.RecordBatch.from_arrays(arrays, ["key", "n"])
+    def __init__(self, least: int, longest: int):
+        self.least, self.longest = least, longest
+        # For each length: the open phrase, its count, and whether the range began with it.
+        self.open: dict[int, tuple[str, int, bool]] = {}
+        self.heads = True
+
+    def add(self, keys: pa.Array, numbers: np.ndarray) -> list[tuple[str, int]]:
+        parts = _columns(keys, self.longest + 1)
+        new = np.zeros(len(keys), dtype=bool)
+        new[0] = True
+        told: list[tuple[str, int]] = []
+        for length in range(self.longest + 1):
+            part = parts[length]
+            there = part.is_valid().to_numpy(zero_copy_only=False)
+            part = pc.fill_null(part, "")
+            new[1:] |= pc.not_equal(part[1:], part[:-1]).to_numpy(zero_copy_only=False)
+            new[1:] |= there[1:] != there[:-1]
+            if length >= 2:
+                told += self._level(length, parts, np.flatnonzero(new), there, numbers)
+        self.heads = False
+        return told
+
+    def _level(self, length, parts, begins, there, numbers) -> list[tuple[str, int]]:
+        totals = np.add.reduceat(numbers, begins)
+        valid = there[begins]
+        last = len(begins) - 1
+
+        def key_of(i: int) -> str:
+            return JOINT.join(part[int(begins[i])].as_py() for part in parts[: length + 1])
+
+        chosen = set(np.flatnonzero(valid & (totals >= self.least)).tolist())
+        # The first and the last phrase may go on in the rows before and behind.
+        chosen.update(i for i in (0, last) if valid[i])
+        told = []
+        known = self.open.pop(length, None)
+        if known and not (valid[0] and known[0] == key_of(0)):
+            if known[2] or known[1] >= self.least:
+                told.append(known[:2])
+            known = None
+        for i in sorted(chosen):
+            key, total, head = key_of(i), int(totals[i]), self.heads and i == 0
+            if i == 0 and known:
+                total, head = total + known[1], known[2]
+            if i == last:
+                self.open[length] = (key, total, head)
+            elif head or total >= self.least:
+                told.append((key, total))
+        return told
+
+    def end(self) -> list[tuple[str, int]]:
+        return [known[:2] for known in self.open.values()]
+
 
+def _counts_in_order(least: int, longest: int):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # For each length: the open phrase, its count, and whether the range began with it.
-        open_keys: dict[int, tuple[str, int, bool]] = {}
-        heads = True
+        now, counts = None, None
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            keys, numbers = batch.column(0), batch.column(1).to_numpy()
-            parts = _columns(keys, longest + 1)
-            new = np.zeros(batch.num_rows, dtype=bool)
-            new[0] = True
-            out_keys: list[str] = []
-            out_numbers: list[int] = []
-            for j in (0, 1):
-                new[1:] |= pc.not_equal(parts[j][1:], parts[j][:-1]).to_numpy(zero_copy_only=False)
-            for length in range(2, longest + 1):
-                part = parts[length]
-                there = part.is_valid().to_numpy(zero_copy_only=False)
-                part = pc.fill_null(part, "")
-                new[1:] |= pc.not_equal(part[1:], part[:-1]).to_numpy(zero_copy_only=False)
-                new[1:] |= there[1:] != there[:-1]
-                begins = np.flatnonzero(new)
-                totals = np.add.reduceat(numbers, begins)
-                valid = there[begins]
-                known = open_keys.get(length)
-                told = set(np.flatnonzero(valid & (totals >= least)).tolist())
-                # The first and the last phrase of the batch may go on in its neighbours.
-                told.update(i for i in (0, len(begins) - 1) if valid[i])
-
-                def key_of(i: int) -> str:
-                    return JOINT.join(p[int(begins[i])].as_py() for p in parts[: length + 1])
-
-                first_key = key_of(0) if valid[0] else None
-                if known and known[0] != first_key:
-                    if known[2] or known[1] >= least:
-                        out_keys.append(known[0])
-                        out_numbers.append(known[1])
-                    known = None
-                open_keys.pop(length, None)
-                for i in sorted(told):
-                    key, total = key_of(i), int(totals[i])
-                    head = heads and i == 0
-                    if i == 0 and known:
-                        total, head = total + known[1], known[2]
-                    if i == len(begins) - 1:
-                        open_keys[length] = (key, total, head)
-                    elif head or total >= least:
-                        out_keys.append(key)
-                        out_numbers.append(total)
-            heads = False
-            yield _rows(out_keys, out_numbers)
-        ends = list(open_keys.values())
-        yield _rows([key for key, _, _ in ends], [total for _, total, _ in ends])
+            ranges = batch.column(0).to_numpy()
+            edges = np.flatnonzero(np.diff(ranges)) + 1
+            for start, end in zip([0, *edges], [*edges, len(ranges)], strict=True):
+                if start == end:
+                    continue
+                if ranges[start] != now:
+                    if counts:
+                        yield _rows(counts.end())
+                    now, counts = ranges[start], _RangeCounts(least, longest)
+                piece = batch.slice(start, end - start)
+                yield _rows(counts.add(piece.column(1), piece.column(2).to_numpy()))
+        if counts:
+            yield _rows(counts.end())
 
     return count
 
 
+def _bounds(windows: DataFrame, ranges: int) -> list[str]:
+    """Keys that cut the windows of some documents into about equal parts."""
+    parts = windows.repartitionByRange(ranges, "key").select(
+        F.spark_partition_id().alias("part"), "key"
+    )
+    firsts = parts.groupBy("part").agg(F.min("key").alias("first")).orderBy("first").collect()
+    return [row["first"] for row in firsts[1:]]
+
+
 def phrase_counts(docs: DataFrame, plan: Collocations, lang: str, text: str) -> tuple[DataFrame, DataFrame]:
-    """Counts of all words, and of the phrases of 1 to ``words`` words with ``least`` places."""
+    """Counts of all words, and of the phrases of 1 to ``words`` words with ``least`` places.
+
+    Where ranges are cut is read off the windows of about ``_BOUND_ROWS`` documents; that
+    decides how evenly tasks are filled, nothing else.
+    """
     rows = docs.select(F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text"))
     rows = rows.where("text is not null")
     counted = rows.mapInArrow(_count_words, "key string, n long")
     words = settle(counted.groupBy("key").agg(F.sum("n").alias("n")), "words")
-    shared = docs.sparkSession.sparkContext.broadcast(_frequent_bits(words, plan.least))
+    spark = docs.sparkSession
+    shared = spark.sparkContext.broadcast(_frequent_bits(words, plan.least))
     longest = plan.words
 
-    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def windows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_size(batches, "text", _BATCH_BYTES):
             for name, texts in _tokens(batch).items():
                 yield _windows_of(name, texts, shared.value, longest)
 
+    some = rows.where(F.rand(7) < _BOUND_ROWS / max(1, docs.count()))
+    ranges = _RANGES_A_TASK * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    bounds = _bounds(some.mapInArrow(windows_of, "key string, n long"), ranges)
+
+    def windows_in_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for windows in windows_of(batches):
+            yield _with_ranges(windows, bounds)
+
     ordered = (
-        rows.mapInArrow(windows, "key string, n long")
-        .repartitionByRange("key")
+        rows.mapInArrow(windows_in_ranges, "range int, key string, n long")
+        .repartition("range")
         .sortWithinPartitions("key")
         .mapInArrow(_counts_in_order(plan.least, longest), "key string, n long")
     )
