@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import sys
 
+import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column
@@ -18,6 +19,9 @@ LIEN_WORD = "LIEN"
 LIEN_PATTERN = r"LTCC:.*\$(.*)\(C\).*LIEN"
 LINE_BREAK = r"\r\n|\r|\n"
 
+# Subsequences of texts up to this product of lengths come from one table of bit rows.
+SMALL_TABLE = 1 << 22
+
 
 def is_lien_line(line: Column) -> Column:
     return line.contains(LIEN_WORD)
@@ -33,27 +37,48 @@ def lien_amount(line: Column) -> Column:
     return F.when(matched, F.trim(digits).try_cast("double")).otherwise(F.lit(0.0))
 
 
-def _match_rows(left: str, right: str) -> list[int]:
-    """Bit rows of the subsequence table.
-
-    Row i covers the first i characters of ``left``; its zero bits below j
-    count the longest common subsequence with the first j of ``right``.
-    """
+def _places_of(text: str) -> dict[str, int]:
+    """Bits of the places of each letter."""
     places: dict[str, int] = {}
-    for j, char in enumerate(right):
+    for j, char in enumerate(text):
         places[char] = places.get(char, 0) | (1 << j)
-    full = (1 << len(right)) - 1
+    return places
+
+
+def _last_row(chars: str, other: str) -> int:
+    """Bit row of the subsequence table after all of ``chars``.
+
+    Its zero bits below j count the longest common subsequence with the first j
+    characters of ``other``.
+    """
+    places = _places_of(other)
+    full = (1 << len(other)) - 1
     row = full
-    rows = [row]
-    for char in left:
+    for char in chars:
         hits = row & places.get(char, 0)
         row = ((row + hits) | (row - hits)) & full
-        rows.append(row)
-    return rows
+    return row
 
 
-def _subsequence(left: str, right: str) -> str:
-    rows = _match_rows(left, right)
+def subsequence_length(left: str, right: str) -> int:
+    return len(right) - _last_row(left, right).bit_count()
+
+
+def _zeros_up_to(row: int, width: int) -> np.ndarray:
+    """How many zero bits lie below each place from 0 to ``width``."""
+    held = np.frombuffer(row.to_bytes(width // 8 + 1, "little"), dtype=np.uint8)
+    ones = np.unpackbits(held, bitorder="little", count=width)
+    return np.append(0, np.cumsum(1 - ones.astype(np.int64)))
+
+
+def _small_subsequence(left: str, right: str) -> str:
+    """The subsequence from all bit rows at once, for a few characters of ``left``."""
+    places = _places_of(right)
+    full = (1 << len(right)) - 1
+    rows = [full]
+    for char in left:
+        hits = rows[-1] & places.get(char, 0)
+        rows.append(((rows[-1] + hits) | (rows[-1] - hits)) & full)
     i, j = len(left), len(right)
     taken = []
     while i and j:
@@ -71,23 +96,40 @@ def _subsequence(left: str, right: str) -> str:
     return "".join(reversed(taken))
 
 
-def _length(left: str, right: str) -> int:
-    places: dict[str, int] = {}
-    for j, char in enumerate(right):
-        places[char] = places.get(char, 0) | (1 << j)
-    full = (1 << len(right)) - 1
-    row = full
-    for char in left:
-        hits = row & places.get(char, 0)
-        row = ((row + hits) | (row - hits)) & full
-    return len(right) - row.bit_count()
+def _subsequence(left: str, right: str) -> str:
+    """The same subsequence as by the whole table, in the space of two bit rows.
+
+    ``left`` is halved: the path that drops the end of ``left`` first crosses the middle
+    where the lengths of both halves add up to the whole, as far right as that holds.
+    """
+    parts: list[str] = []
+    todo = [(left, right)]
+    while todo:
+        left, right = todo.pop()
+        if not left or not right:
+            continue
+        if len(left) * len(right) <= SMALL_TABLE:
+            parts.append(_small_subsequence(left, right))
+            continue
+        if len(left) == 1:
+            parts.append(left if left in right else "")
+            continue
+        half = len(left) // 2
+        front = _zeros_up_to(_last_row(left[:half], right), len(right))
+        back = _zeros_up_to(_last_row(left[half:][::-1], right[::-1]), len(right))[::-1]
+        both = front + back
+        cut = int(np.flatnonzero(both == both.max())[-1])
+        todo.append((left[half:], right[cut:]))
+        todo.append((left[:half], right[:cut]))
+        # The first half is taken up next, so parts come in order.
+    return "".join(parts)
 
 
 @F.pandas_udf(T.IntegerType())
 def _lcs_length(left: pd.Series, right: pd.Series) -> pd.Series:
     pairs = zip(left, right, strict=True)
     return pd.Series(
-        [None if a is None or b is None else _length(a, b) for a, b in pairs], dtype="Int32"
+        [None if a is None or b is None else subsequence_length(a, b) for a, b in pairs], dtype="Int32"
     )
 
 

@@ -12,11 +12,13 @@ from ledgerleaf.functions.names import (
     quoted,
     require_columns,
 )
+from ledgerleaf.operators.patterns import required_texts_of
 from ledgerleaf.scratch import settle
 
 TAG_PREFIX = "tag_"
 TAG_SEPARATOR = "~"
 PATTERNS_PER_CHUNK = 500
+GRAM = 3
 
 _OWN = ("_key", "_pattern", "_tags")
 
@@ -57,38 +59,83 @@ def _pairs(keys: DataFrame, patterns: DataFrame) -> DataFrame:
     return met.select("_key", F.explode(fitting).alias("_pattern"))
 
 
-def _literal_start(pattern: Column) -> Column:
-    """Plain text every match of the pattern begins with; empty when unknown."""
-    core = F.regexp_replace(pattern, r"^\^", "")
-    plain = F.regexp_extract(core, r"^([^.^$*+?{}\[\]\\|()\n]*)", 1)
-    following = F.substr(core, F.length(plain) + 1, F.lit(1))
-    certain = F.when(
-        following.isin("*", "+", "?", "{"), F.left(plain, F.length(plain) - 1)
-    ).otherwise(plain)
-    return F.when(F.contains(pattern, F.lit("|")), F.lit("")).otherwise(certain)
+def _grams(text: Column, size: Column) -> Column:
+    """Distinct substrings of ``size`` characters."""
+    places = F.sequence(F.lit(1), F.length(text) - size + 1)
+    cut = F.array_distinct(F.transform(places, lambda i: F.substr(text, i, size)))
+    return F.when(F.length(text) >= size, cut).otherwise(F.array().cast("array<string>"))
 
 
-def pattern_pairs(keys: DataFrame, patterns: DataFrame) -> DataFrame:
-    """Pairs of distinct ``_key`` and ``_pattern`` where the pattern matches from the start.
+def _marks_of(alternatives: DataFrame) -> DataFrame:
+    """The marks by which a key of an alternative can be found, any one of them.
 
-    Patterns that begin with plain text only meet keys that begin with it, found
-    by equality; the others are tested against every key.
+    A mark is a start of some length, or a part of ``GRAM`` characters, shorter where
+    the text is.
     """
-    started = settle(
-        patterns.withColumn("_start", _literal_start(F.col("_pattern"))).withColumn(
-            "_length", F.length("_start")
-        ),
-        "patterns",
+    start, texts = F.get("_texts", F.lit(0)), F.col("_texts")
+    filled = F.filter(texts, lambda t: t != "")
+    parts = F.flatten(F.transform(filled, lambda t: _grams(t, F.least(F.length(t), F.lit(GRAM)))))
+    marks = F.concat(
+        F.transform(F.filter(F.array(start), lambda t: t != ""), lambda t: F.struct(F.lit(True).alias("_starts"), t.alias("_mark"))),
+        F.transform(F.array_distinct(parts), lambda t: F.struct(F.lit(False).alias("_starts"), t.alias("_mark"))),
     )
-    found = _pairs(keys, started.where("_length = 0").select("_pattern"))
-    lengths = started.where("_length > 0").agg(F.collect_set("_length")).scalar()
-    cut = keys.withColumn("_length", F.explode(lengths)).withColumn(
-        "_start", F.left("_key", F.col("_length"))
+    return alternatives.select("_pattern", "_texts", F.inline(marks)).withColumn("_length", F.length("_mark"))
+
+
+def _marked_keys(keys: DataFrame, shapes: DataFrame) -> DataFrame:
+    """Every key under its marks of the given shapes."""
+    lengths = {
+        starts: [row["_length"] for row in shapes.where(F.col("_starts") == starts).collect()]
+        for starts in (True, False)
+    }
+    marks = [
+        F.transform(F.array(*[F.lit(n) for n in lengths[True]]).cast("array<int>"), lambda n: F.struct(F.lit(True).alias("_starts"), F.left("_key", n).alias("_mark"))),
+        *[
+            F.transform(_grams(F.col("_key"), F.lit(n)), lambda t: F.struct(F.lit(False).alias("_starts"), t.alias("_mark")))
+            for n in lengths[False]
+        ],
+    ]
+    return keys.select("_key", F.inline(F.concat(*marks)))
+
+
+def candidate_pairs(keys: DataFrame, patterns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Pairs of distinct ``_key`` and ``_pattern`` that may match, and patterns without any mark.
+
+    Each alternative of a pattern is looked up by the rarest of its marks among the keys;
+    a key has to hold all its texts to stay.
+    """
+    known = settle(patterns.select("_pattern", required_texts_of("_pattern").alias("_all")), "patterns")
+    alternatives = known.where("_all is not null").select("_pattern", F.explode("_all").alias("_texts"))
+    marks = settle(_marks_of(alternatives), "marks")
+    shapes = marks.select("_starts", "_length").distinct()
+    posted = _marked_keys(keys, shapes)
+    used = marks.select("_starts", "_mark").distinct()
+    counts = posted.join(used, ["_starts", "_mark"], "left_semi").groupBy("_starts", "_mark").count()
+    weighed = marks.join(counts, ["_starts", "_mark"], "left")
+    mark = F.struct(F.coalesce("count", F.lit(0)).alias("n"), -F.col("_length"), "_starts", "_mark")
+    chosen = (
+        weighed.groupBy("_pattern", "_texts")
+        .agg(F.min(mark).alias("mark"))
+        .where("mark.n > 0")
+        .select("_pattern", "_texts", "mark._starts", "mark._mark")
     )
-    tested = cut.join(started, ["_length", "_start"]).where(
-        matches_from_start(F.col("_key"), F.col("_pattern"))
+    holds = F.forall("_texts", lambda t: F.contains(F.col("_key"), t)) & F.startswith(
+        F.col("_key"), F.get("_texts", F.lit(0))
     )
-    return found.unionByName(tested.select("_key", "_pattern"))
+    met = posted.join(settle(chosen, "chosen"), ["_starts", "_mark"]).where(holds)
+    return met.select("_key", "_pattern"), known.where("_all is null").select("_pattern")
+
+
+def pattern_pairs(keys: DataFrame, patterns: DataFrame) -> DataFrame:
+    """Pairs of distinct ``_key`` and ``_pattern`` where the pattern matches from the start.
+
+    Keys are found by the plain texts that a pattern requires; only patterns that require
+    none are tested against every key.
+    """
+    candidates, others = candidate_pairs(keys, patterns)
+    tested = candidates.where(matches_from_start(F.col("_key"), F.col("_pattern")))
+    # A key may be found by several alternatives of a pattern.
+    return _pairs(keys, others).unionByName(tested.distinct())
 
 
 def regex_join(main: DataFrame, patterns: DataFrame, key: str, pattern: str) -> DataFrame:
@@ -123,7 +170,8 @@ def wildcard_pairs(keys: DataFrame, patterns: DataFrame) -> DataFrame:
     mapping rows fix at least one tag by plain text. Those are found by equality
     on their plain tags, and only the candidates are tested against the
     pattern. A pattern that could reach across the separator, and a key that
-    holds the separator or a line feed itself, is tested in full.
+    holds the separator or a line feed itself, is found by the texts that the whole
+    pattern requires.
     """
     keys = keys.withColumn("_key", F.concat_ws(TAG_SEPARATOR, "_tags")).withColumn(
         "_simple", ~F.exists("_tags", lambda t: F.rlike(t, F.lit(r"[~\n]")))
@@ -145,8 +193,8 @@ def wildcard_pairs(keys: DataFrame, patterns: DataFrame) -> DataFrame:
 
     by_tag = patterns.where("_by_tag").withColumn("_masked", _masked_tags(F.col("_tags"), F.col("_plain")))
     others = patterns.where(~F.col("_by_tag")).select("_pattern").distinct()
-    found = _pairs(odd, patterns.select("_pattern").distinct()).unionByName(
-        _pairs(simple.select("_key"), others)
+    found = pattern_pairs(odd, patterns.select("_pattern").distinct()).unionByName(
+        pattern_pairs(simple.select("_key").distinct(), others)
     )
     masks = by_tag.agg(F.collect_set("_plain")).scalar()
     candidates = simple.withColumn("_plain", F.explode(masks)).select(

@@ -157,6 +157,19 @@ def key_patterns(spark: SparkSession) -> DataFrame:
     )
 
 
+def supplier_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three patterns for each supplier: digits anywhere, a class before them, alternatives."""
+    number = F.lpad((F.col("s_suppkey") % 1000).cast("string"), 3, "0")
+    patterns = F.array(
+        F.concat(F.lit(".*"), number, F.lit(".*")),
+        F.concat(F.lit("[CD]ustomer#0+"), number, F.lit(".?$")),
+        F.concat(F.lit(".*"), number, F.lit("1$|.*7"), number, F.lit("|Supplier.*"), number),
+    )
+    return table(spark, sf_dir, "supplier").select(
+        "s_suppkey", F.posexplode(patterns).alias("form", "pattern")
+    )
+
+
 def batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as batches."""
     return table(spark, sf_dir, "orders").select(

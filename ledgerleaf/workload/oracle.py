@@ -148,10 +148,12 @@ ORACLE["cf_ess"] = f"""WITH {DETAIL}, {_ess(ALL_FLOWS)}
 SELECT scenario_no, t, {_rounded([*ALL_FLOWS, "discount_factor"], 6)} FROM ess"""
 
 ORACLE["cf_with_ess"] = f"""WITH {DETAIL}, {_WEIGHTED}, {_ess(FLOWS)}
-SELECT scenario_no, t, line_status, {_rounded([*FLOWS, "discount_factor", "ess_weights"], 8)}
+SELECT scenario_no, t, line_status, {_rounded([*FLOWS, "ess_weights"], 8)},
+    {_rounded(["discount_factor"], 12)}
 FROM weighted
 UNION ALL
-SELECT scenario_no, t, NULL, {_rounded([*FLOWS, "discount_factor"], 8)}, NULL FROM ess"""
+SELECT scenario_no, t, NULL, {_rounded(FLOWS, 8)}, NULL, {_rounded(["discount_factor"], 12)}
+FROM ess"""
 
 ORACLE["cf_pv"] = f"""WITH {DETAIL}
 SELECT scenario_no, {_rounded(FLOWS)}
@@ -631,3 +633,50 @@ WITH RECURSIVE steps AS (
                 ELSE best[k] END)))
     FROM steps WHERE i < length(a))
 SELECT p_partkey, best[length(b)] AS lcs_length FROM steps WHERE i = length(a)"""
+
+_LENGTHS = """list_transform(range(1, length(b) + 1), lambda j:
+        list_max(list_transform(range(1, j + 1), lambda k:
+            CASE WHEN b[k] = a[i + 1] THEN 1 + CASE WHEN k > 1 THEN best[k - 1] ELSE 0 END
+                ELSE best[k] END)))"""
+
+ORACLE["lcs_best"] = f"""
+WITH RECURSIVE pairs AS (
+    SELECT c_custkey, s_suppkey, c_name AS a, s_name AS b
+    FROM customer JOIN supplier ON c_nationkey = s_nationkey),
+steps AS (
+    SELECT c_custkey, s_suppkey, a, b, 0 AS i,
+        list_transform(range(0, length(b)), lambda x: 0) AS best
+    FROM pairs
+    UNION ALL
+    SELECT c_custkey, s_suppkey, a, b, i + 1, {_LENGTHS}
+    FROM steps WHERE i < length(a)),
+ranked AS (
+    SELECT c_custkey, s_suppkey, best[length(b)]::BIGINT AS best_length,
+        row_number() OVER (PARTITION BY c_custkey ORDER BY best[length(b)] DESC, s_suppkey) AS place
+    FROM steps WHERE i = length(a))
+SELECT c.c_custkey, r.s_suppkey AS best_key, r.best_length
+FROM customer AS c LEFT JOIN ranked AS r ON r.c_custkey = c.c_custkey AND r.place = 1"""
+
+# Rows of the table hold the common text itself; the end of the left text is dropped first.
+ORACLE["lcs_common_text"] = """
+WITH RECURSIVE steps AS (
+    SELECT p_partkey, p_name AS a, lower(p_type) AS b, 0 AS i,
+        list_transform(range(0, length(p_type) + 1), lambda x: '') AS best
+    FROM part
+    UNION ALL
+    SELECT p_partkey, a, b, i + 1, list_reduce(list_prepend([''], list_transform(
+            range(1, length(b) + 1), lambda j: [b[j], best[j], best[j + 1]])),
+        lambda row, x: list_append(row, CASE WHEN x[1] = a[i + 1] THEN x[2] || x[1]
+            WHEN length(row[-1]) > length(x[3]) THEN row[-1] ELSE x[3] END))
+    FROM steps WHERE i < length(a))
+SELECT p_partkey, best[-1] AS lcs FROM steps WHERE i = length(a)"""
+
+ORACLE["pattern_join"] = """
+WITH numbered AS (
+    SELECT s_suppkey, lpad((s_suppkey % 1000)::VARCHAR, 3, '0') AS n FROM supplier),
+patterns AS (
+    SELECT s_suppkey, 0 AS form, '.*' || n || '.*' AS pattern FROM numbered
+    UNION ALL SELECT s_suppkey, 1, '[CD]ustomer#0+' || n || '.?$' FROM numbered
+    UNION ALL SELECT s_suppkey, 2, '.*' || n || '1$|.*7' || n || '|Supplier.*' || n FROM numbered)
+SELECT c_custkey, c_name, s_suppkey, form, pattern
+FROM customer JOIN patterns ON regexp_matches(c_name, '^(?:' || pattern || ')')"""

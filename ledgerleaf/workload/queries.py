@@ -15,7 +15,7 @@ from ledgerleaf.functions.stat_code import (
     stat_code,
 )
 from ledgerleaf.functions.text import LINE_BREAK, lcs_length, lcs_text
-from ledgerleaf.operators import coverage, mapping
+from ledgerleaf.operators import best_match, coverage, mapping
 from ledgerleaf.operators.filters import slice_filter
 from ledgerleaf.plans import notes, policies, profile, reserves, scenario_pack, slicing, snapshots
 from ledgerleaf.plans import valuation as val
@@ -143,7 +143,8 @@ def cf_ess(spark: SparkSession, sf_dir: str) -> DataFrame:
 def cf_with_ess(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Detail rows and the rows of scenario -1."""
     both = val.with_ess(_detail(spark, sf_dir), FLOWS)
-    return _amounts(both, [*FLOWS, "discount_factor", "ess_weights"], 8)
+    amounts = _amounts(both, [*FLOWS, "ess_weights"], 8)
+    return _amounts(amounts, ["discount_factor"], 12)
 
 
 @query
@@ -187,6 +188,14 @@ def regex_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mapping.regex_join(customers, frames.key_patterns(spark), "c_name", "pattern")
 
 
+@query
+def pattern_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Patterns that fix text in the middle, after a class, or in alternatives."""
+    customers = frames.table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    patterns = frames.supplier_patterns(spark, sf_dir)
+    return mapping.regex_join(customers, patterns, "c_name", "pattern")
+
+
 @query
 def wildcard_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mapping.map_with_wildcard(
@@ -662,6 +671,17 @@ def lcs_common_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def lcs_best(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The supplier of its nation whose name is most like that of a customer."""
+    customers = frames.table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
+    suppliers = frames.table(spark, sf_dir, "supplier")
+    best = best_match.lcs_best(
+        customers, suppliers, "c_custkey", "c_name", "s_suppkey", "s_name", "c_nationkey", "s_nationkey"
+    )
+    return best.select("c_custkey", "best_key", "best_length")
+
+
 @query
 def lcs_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each turn of a conversation against the next one, whole texts."""

@@ -1,12 +1,15 @@
 import random
+import tracemalloc
 
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from ledgerleaf.functions import text
 from ledgerleaf.functions.text import lcs_length, lcs_text
 from ledgerleaf.plans import notes, snapshots
+from ledgerleaf.workload.queries import QUERIES
 
 
 def _table(left, right):
@@ -138,3 +141,66 @@ def test_module_files(spark, tmp_path):
     (tmp_path / "book.xlsm").write_text("no module")
     found = {r["name"]: r.text for r in snapshots.read_modules(spark, str(tmp_path)).collect()}
     assert found == {"Mod1": "Sub a()\nEnd Sub\n", "Mod.2": "x"}
+
+
+def whole_table(left, right):
+    """The subsequence by the whole table, dropping the end of the left text first."""
+    lengths = [[0] * (len(right) + 1)]
+    for a in left:
+        row = [0]
+        for j, b in enumerate(right):
+            row.append(lengths[-1][j] + 1 if a == b else max(row[-1], lengths[-1][j + 1]))
+        lengths.append(row)
+    i, j, taken = len(left), len(right), []
+    while i and j:
+        if left[i - 1] == right[j - 1]:
+            taken.append(left[i - 1])
+            i, j = i - 1, j - 1
+        elif lengths[i][j - 1] > lengths[i - 1][j]:
+            j -= 1
+        else:
+            i -= 1
+    return "".join(reversed(taken))
+
+
+def test_subsequence_in_halves_is_that_of_the_whole_table(monkeypatch):
+    random.seed(12)
+    for small in (0, 6, 40):
+        monkeypatch.setattr(text, "SMALL_TABLE", small)
+        for _ in range(300):
+            letters = "abcé😀"[: random.randrange(2, 6)]
+            left, right = ("".join(random.choices(letters, k=random.randrange(16))) for _ in "lr")
+            wanted = whole_table(left, right)
+            assert text._subsequence(left, right) == wanted
+            assert text.subsequence_length(left, right) == len(wanted)
+
+
+def test_long_subsequence_takes_little_memory():
+    random.seed(13)
+    left, right = ("".join(random.choices("abcdefghij", k=30_000)) for _ in "lr")
+    tracemalloc.start()
+    try:
+        common = text._subsequence(left, right)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len(common) == text.subsequence_length(left, right)
+    assert most < 10_000_000
+    places = iter(left)
+    assert all(char in places for char in common)
+
+
+def test_replies_against_the_whole_table(spark, tmp_path):
+    random.seed(14)
+    turns = [(c, t, "".join(random.choices("abcd \n", k=random.randrange(40)))) for c in range(8) for t in range(5)]
+    turns += [(90, 0, None), (90, 1, "abc"), (91, 0, "alone"), (None, 0, "abc"), (92, 0, ""), (92, 1, "x")]
+    frame = spark.createDataFrame([(*turn, "user") for turn in turns], "conv_id long, turn int, text string, role string")
+    frame.write.parquet(f"{tmp_path}/conversations.parquet")
+    texts = {(c, t): body for c, t, body in turns if c is not None}
+    wanted = {
+        (c, t): None if None in (body, texts[c, t + 1]) else len(whole_table(body, texts[c, t + 1]))
+        for (c, t), body in texts.items()
+        if (c, t + 1) in texts
+    }
+    found = QUERIES["lcs_replies"](spark, str(tmp_path)).collect()
+    assert {(r.conv_id, r.turn): r.lcs_length for r in found} == wanted
