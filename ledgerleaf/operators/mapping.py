@@ -84,10 +84,9 @@ def _marks_of(alternatives: DataFrame) -> DataFrame:
 
 def _marked_keys(keys: DataFrame, shapes: DataFrame) -> DataFrame:
     """Every key under its marks of the given shapes."""
-    lengths = {
-        starts: [row["_length"] for row in shapes.where(F.col("_starts") == starts).collect()]
-        for starts in (True, False)
-    }
+    lengths: dict[bool, list[int]] = {True: [], False: []}
+    for row in shapes.collect():
+        lengths[row["_starts"]].append(row["_length"])
     marks = [
         F.transform(F.array(*[F.lit(n) for n in lengths[True]]).cast("array<int>"), lambda n: F.struct(F.lit(True).alias("_starts"), F.left("_key", n).alias("_mark"))),
         *[
@@ -193,9 +192,10 @@ def wildcard_pairs(keys: DataFrame, patterns: DataFrame) -> DataFrame:
 
     by_tag = patterns.where("_by_tag").withColumn("_masked", _masked_tags(F.col("_tags"), F.col("_plain")))
     others = patterns.where(~F.col("_by_tag")).select("_pattern").distinct()
-    found = pattern_pairs(odd, patterns.select("_pattern").distinct()).unionByName(
-        pattern_pairs(simple.select("_key").distinct(), others)
-    )
+    found = pattern_pairs(simple.select("_key").distinct(), others)
+    if not odd.isEmpty():
+        every = patterns.select("_pattern").distinct()
+        found = found.unionByName(pattern_pairs(odd, every))
     masks = by_tag.agg(F.collect_set("_plain")).scalar()
     candidates = simple.withColumn("_plain", F.explode(masks)).select(
         "_key", "_plain", _masked_tags(F.col("_tags"), F.col("_plain")).alias("_masked")
