@@ -463,10 +463,9 @@ def _scored(told: DataFrame, plan: Collocations) -> DataFrame:
 
     def cut(k: Column) -> Column:
         left, right = F.get("lefts", k - 1), F.get("rights", F.size("lefts") - k)
-        score = F.floor(F.lit(plan.scale) * wide(F.col("a")) / (wide(left) + wide(right)))
-        return F.struct(
-            score.cast("bigint").alias("score"), k.alias("k"), left.alias("l"), right.alias("r")
-        )
+        # Whole division; a quotient of decimals would be rounded to a few digits first.
+        score = F.call_function("div", F.lit(plan.scale) * wide(F.col("a")), wide(left) + wide(right))
+        return F.struct(score.alias("score"), k.alias("k"), left.alias("l"), right.alias("r"))
 
     best = F.array_min(F.transform(F.sequence(F.lit(1), F.size("lefts")), cut))
     replaced = 100 * wide(F.col("longer")) >= plan.share * wide(F.col("a"))

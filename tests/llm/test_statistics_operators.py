@@ -174,6 +174,16 @@ def test_phrases_against_brute_force(spark, ranges):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", adaptive)
 
 
+def test_scores_of_large_counts_are_exact(spark):
+    counts = [(10**15 - 1, 10**15, 10**15), (999_999_999, 10**9, 10**9), (4 * 10**18, 5 * 10**18, 4 * 10**18)]
+    told = spark.createDataFrame(
+        [(f"en\x00w{i}\x00z", a, [left], [right], 0) for i, (a, left, right) in enumerate(counts)],
+        "key string, a long, lefts array<long>, rights array<long>, longer long",
+    )
+    found = {r.phrase: r.score for r in col._scored(told, col.Collocations()).collect()}
+    assert found == {f"w{i} z": 2_000_000 * a // (left + right) for i, (a, left, right) in enumerate(counts)}
+
+
 def test_phrases_of_empty_tables(spark):
     assert found_phrases(spark, [], col.Collocations()) == []
     assert found_phrases(spark, [(1, None, None)], col.Collocations()) == []
