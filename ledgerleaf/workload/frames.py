@@ -5,6 +5,7 @@ Amounts become decimals, so sums are exact in any order.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -237,8 +238,10 @@ def ten_thousandths(amount: Column) -> Column:
     return F.rint(amount * 10_000)
 
 
-def policies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items with their order and part as policies under valuation.
+def policies(
+    spark: SparkSession, sf_dir: str, unit: Callable[[Column], Column] = ten_thousandths
+) -> DataFrame:
+    """Line items with their order and part as policies under valuation, amounts in a unit.
 
     Fixed values: the names of the columns, which the reserve job expects.
     """
@@ -276,7 +279,7 @@ def policies(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_linestatus") == "F", "0").otherwise("_").alias("era"),
         (F.pmod("l_suppkey", F.lit(5)) + 1).cast("int").alias("Statutory Company"),
         F.year("o_orderdate").alias("Iss Year"),
-        *[ten_thousandths(amount).alias(name) for name, amount in amounts.items()],
+        *[unit(amount).alias(name) for name, amount in amounts.items()],
     )
 
 

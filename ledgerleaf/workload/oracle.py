@@ -499,6 +499,41 @@ ORACLE["reserve_summary"] = f"""WITH {POLICIES}
 SELECT legal_entity, {_field_list("sum({})", -3)} FROM reserved
 GROUP BY legal_entity ORDER BY legal_entity DESC"""
 
+# Doubles row by row, in the order of the job's operations; their sums are whole numbers of
+# 2^-70, of which all amounts here are multiples, and are rounded once.
+def _exact_sum(sql: str) -> str:
+    if sql == "0":
+        return "0.0::DOUBLE"
+    whole = f"sum(CAST({sql} * 1180591620717411303424.0::DOUBLE AS HUGEINT))"
+    return f"CAST(CAST({whole} AS VARCHAR) AS DOUBLE) / 1180591620717411303424.0::DOUBLE"
+
+
+ORACLE["reserve_sums_exact"] = f"""WITH policies AS (
+    SELECT {_text_list(PLAN_CODES)}[p_size % {len(PLAN_CODES)} + 1] IN ('EIS', 'EIJ') AS esti,
+        CASE WHEN l_suppkey % 5 + 1 IN (2, 3) THEN 'TLIC' WHEN l_suppkey % 5 + 1 IN (4, 5) THEN 'TFLIC'
+            ELSE 'undefined' END AS legal_entity,
+        l_extendedprice AS base, l_extendedprice * l_discount AS gid,
+        l_extendedprice * l_tax + l_quantity * l_discount + l_quantity * l_tax AS fees,
+        l_quantity + CASE WHEN l_linenumber <> 7 THEN l_discount END AS coi_load,
+        CASE WHEN l_returnflag <> 'N' THEN l_extendedprice * l_tax END AS aalr,
+        l_extendedprice * l_discount AS oyt,
+        p_retailprice AS gross, l_tax AS def, p_retailprice * l_discount AS tax_gross
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey),
+charged AS (
+    SELECT *, CASE WHEN esti THEN fees ELSE fees + coi_load END AS accrued,
+        gid + CASE WHEN esti THEN -coi_load ELSE 0.0::DOUBLE END AS own,
+        CASE WHEN aalr > oyt THEN aalr ELSE oyt END AS stat_gmdb,
+        CASE WHEN aalr > oyt THEN aalr ELSE oyt END * 0.9281::DOUBLE AS tax_gmdb
+    FROM policies),
+reserved AS (
+    SELECT *, base - accrued AS sa, gross + own - accrued AS stat_liability,
+        tax_gross + own - accrued AS tax_liability,
+        gross + own - (base + stat_gmdb + def) AS stat_ga,
+        tax_gross + own - (base + tax_gmdb) AS tax_ga
+    FROM charged)
+SELECT legal_entity, {", ".join(f"{_exact_sum(sql)} AS {name}" for name, sql in FIELDS.items())}
+FROM reserved GROUP BY legal_entity"""
+
 # --- scenario pack and tables ------------------------------------------------
 
 PACK = f"""{ALL_CASH_FLOWS}, {SCENARIOS},

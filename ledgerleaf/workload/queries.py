@@ -408,6 +408,12 @@ def reserve_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summary.select("legal_entity", *_published_amounts(digits=-3))
 
 
+@query
+def reserve_sums_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Amounts as they are, sums rounded once: equal to the last bit under any order of rows."""
+    return reserves.exact_reserve_summary(frames.policies(spark, sf_dir, lambda amount: amount))
+
+
 # --- scenario pack and tables ------------------------------------------------
 
 

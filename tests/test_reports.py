@@ -53,6 +53,24 @@ def test_summary_has_one_shuffle_before_the_sort(policies):
     assert len(exchanges) == 2 and "rangepartitioning" in exchanges[0]
 
 
+def test_exact_summary_is_like_the_plain_one(policies):
+    exact, plain = reserves.exact_reserve_summary(policies), reserves.reserve_summary(policies)
+    assert exact.columns == plain.columns
+    for mine, theirs in zip(exact.collect(), plain.collect(), strict=True):
+        for name, value in theirs.asDict().items():
+            assert mine[name] == value or mine[name] == pytest.approx(value, rel=1e-12)
+
+
+def test_exact_summary_of_many_rows_under_any_partitioning(policies):
+    copies = policies.crossJoin(policies.sparkSession.range(500)).withColumn(
+        "UDV31_GID", F.sin("id") * F.pow(F.lit(10.0), F.pmod("id", F.lit(12)))
+    )
+    one, many = (
+        [tuple(r) for r in reserves.exact_reserve_summary(copies.repartition(n)).collect()] for n in (1, 9)
+    )
+    assert one == many
+
+
 CODES = [
     (("MSA", "PRM5", "2", 1989, "P", "_", "regular"), "80 CET 4% NLP CNF (86-89)"),
     (("MSA", "PRM5", "5", 1989, "P", "_", "regular"), "80 CET 4% ANB NL CNF (86-89)"),
