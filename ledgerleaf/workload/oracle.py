@@ -570,10 +570,12 @@ ORACLE["csv_roundtrip"] = "SELECT * FROM orders"
 ORACLE["csv_text_roundtrip"] = "SELECT conv_id, turn, role, text FROM conversations"
 
 ORACLE["csv_whitespace"] = r"""
-SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN '  ' || text || ' ' || chr(10) WHEN 1 THEN ''
-    WHEN 2 THEN '"\' || text || '\"' END AS text
+SELECT doc_id, text, '  ' || text || ' ' || chr(10) AS padded, '"\' || text || '\"' AS in_quotes,
+    '' AS empty, CAST(NULL AS VARCHAR) AS missing
 FROM documents"""
 
+ORACLE["csv_ranges_roundtrip"] = "SELECT * FROM documents"
+
 ORACLE["bulk_load"] = "SELECT * FROM customer"
 
 ORACLE["bulk_load_texts"] = """

@@ -506,20 +506,30 @@ def bulk_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def csv_whitespace(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Texts with blanks and line breaks at both ends, empty ones and missing ones."""
-    number = F.col("doc_id") % 4
+    """Every text as it is, with blanks and line breaks at both ends, in quotes, and none."""
+    text = F.col("text")
     texts = frames.table(spark, sf_dir, "documents").select(
         "doc_id",
-        F.when(number == 0, F.concat(F.lit("  "), "text", F.lit(" \n")))
-        .when(number == 1, "")
-        .when(number == 2, F.concat(F.lit('"\\'), "text", F.lit('\\"')))
-        .alias("text"),
+        "text",
+        F.concat(F.lit("  "), text, F.lit(" \n")).alias("padded"),
+        F.concat(F.lit('"\\'), text, F.lit('\\"')).alias("in_quotes"),
+        F.lit("").alias("empty"),
+        F.lit(None).cast("string").alias("missing"),
     )
     path = scratch_path(spark, "blanks-csv")
     csv.write_csv(texts, path)
     return csv.read_csv(spark, path, texts.schema)
 
 
+@query
+def csv_ranges_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts with line breaks inside quotes, each file read in ranges of a megabyte."""
+    docs = frames.table(spark, sf_dir, "documents")
+    path = scratch_path(spark, "texts-csv")
+    csv.write_csv(docs, path)
+    return csv.read_csv(spark, path, docs.schema, range_bytes=1 << 20)
+
+
 @query
 def bulk_load_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quoted line breaks in a bulk load, twice into the same table."""
