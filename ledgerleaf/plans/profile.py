@@ -17,6 +17,7 @@ from ledgerleaf.operators.mapping import exists_flag, literal_map
 from ledgerleaf.operators.running import largest, repeat_rows, running_total_before
 from ledgerleaf.scratch import settle
 from ledgerleaf.sources.csv import write_csv
+from ledgerleaf.sources.json_array import write_json_array
 
 # Event numbers of the log.
 START_CODE = 8169
@@ -209,3 +210,8 @@ def write_events(events: DataFrame, path: str) -> None:
 def write_trace(trace: DataFrame, path: str) -> None:
     """Trace rows as JSON lines, earliest first."""
     trace.orderBy("ts", "name").write.mode("overwrite").json(path)
+
+
+def write_trace_array(trace: DataFrame, path: str) -> None:
+    """Trace rows as one file with one JSON array, earliest first, as trace viewers read it."""
+    write_json_array(trace, path, ["ts", "name"])

@@ -334,6 +334,8 @@ SELECT 0 AS pid, 0 AS tid, 'X' AS ph, event_name AS name,
         ELSE date_diff('microsecond', event_start, event_finish) END AS dur
 FROM events"""
 
+ORACLE["trace_written"] = ORACLE["trace_rows"]
+
 # --- reserves ----------------------------------------------------------------
 
 # Amounts in units of 0.0001.
@@ -578,6 +580,8 @@ ORACLE["csv_ranges_roundtrip"] = "SELECT * FROM documents"
 
 ORACLE["bulk_load"] = "SELECT * FROM customer"
 
+ORACLE["bulk_load_once"] = "SELECT * FROM customer"
+
 ORACLE["bulk_load_texts"] = """
 SELECT conv_id, turn, role, text FROM conversations
 UNION ALL SELECT conv_id, turn, role, text FROM conversations"""

@@ -21,6 +21,7 @@ from ledgerleaf.plans import notes, policies, profile, reserves, scenario_pack,
 from ledgerleaf.plans import valuation as val
 from ledgerleaf.scratch import scratch_path, settle
 from ledgerleaf.sources import csv, dbf, tables
+from ledgerleaf.sources.load_once import load_once
 from ledgerleaf.workload import frames
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -330,6 +331,15 @@ def trace_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.to_trace(settle(profile.batch_events(*_profile_inputs(spark, sf_dir))))
 
 
+@query
+def trace_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trace of all batches as one JSON array in one file, read back."""
+    trace = profile.to_trace(settle(profile.batch_events(*_profile_inputs(spark, sf_dir))))
+    path = scratch_path(spark, "trace") + ".json"
+    profile.write_trace_array(trace, path)
+    return spark.read.schema(trace.schema).option("multiLine", True).json(path)
+
+
 # --- reserves ----------------------------------------------------------------
 
 POLICY_COLUMNS = ["l_orderkey", "l_linenumber"]
@@ -541,6 +551,21 @@ def bulk_load_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return csv.csv_to_table(spark, path, name)
 
 
+@query
+def bulk_load_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load that is tried twice, and once more with files that were loaded before."""
+    customers = frames.table(spark, sf_dir, "customer")
+    path, table_path = scratch_path(spark, "load-csv"), scratch_path(spark, "load-table")
+    positive = F.coalesce(F.col("c_acctbal") >= 0, F.lit(False))
+    csv.write_csv(customers.where(positive), f"{path}/first")
+    csv.write_csv(customers.where(~positive), f"{path}/second")
+    name = "bulk_" + table_path.rsplit("-", 1)[1]
+    for folders in (["first"], ["first"], ["first", "second"]):
+        files = [f"{path}/{folder}" for folder in folders]
+        loaded = load_once(spark, files, name, customers.schema, path=table_path)
+    return loaded
+
+
 def _dbf_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frames.table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("ID"),
