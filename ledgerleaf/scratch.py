@@ -13,11 +13,16 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
 _local_roots: dict[str, str] = {}
+# Paths of the tables of each open block of :func:`passing_tables`, innermost last.
+_blocks: ContextVar[tuple[list[str], ...]] = ContextVar("blocks", default=())
 
 
 def qualified(spark: SparkSession, path: str) -> str:
@@ -56,5 +61,39 @@ def settle(df: DataFrame, label: str = "table") -> DataFrame:
     """Write ``df`` to the shared folder and return the stored table."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
+    for block in _blocks.get()[-1:]:
+        block.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def passing_tables(spark: SparkSession) -> Iterator[None]:
+    """Tables that are settled inside go at the end of the block.
+
+    For steps whose result is one small table: that is settled by :func:`settle_outside`,
+    and nothing else from the block may be used after it. Where the block fails, its
+    tables stay.
+    """
+    paths: list[str] = []
+    token = _blocks.set((*_blocks.get(), paths))
+    try:
+        yield
+    finally:
+        _blocks.reset(token)
+    for path in paths:
+        _remove(spark, path)
+
+
+def settle_outside(df: DataFrame, label: str = "table") -> DataFrame:
+    """:func:`settle` for what is needed after the innermost block of :func:`passing_tables`."""
+    token = _blocks.set(_blocks.get()[:-1])
+    try:
+        return settle(df, label)
+    finally:
+        _blocks.reset(token)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)

@@ -1,5 +1,6 @@
 import datetime
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -101,6 +102,25 @@ def test_paths_get_the_scheme_of_the_default_file_system(spark):
         hadoop.set("fs.defaultFS", before)
 
 
+def _stored(spark):
+    return {p.name.rsplit("-", 1)[0] for p in Path(spark.conf.get("spark.checkpoint.dir")).glob("passing*")}
+
+
+def test_passing_tables_go_at_the_end_of_their_block(spark):
+    with scratch.passing_tables(spark):
+        first = scratch.settle(spark.range(5), "passing-a")
+        with scratch.passing_tables(spark):
+            scratch.settle(first, "passing-b")
+            kept = scratch.settle_outside(first.where("id > 2"), "passing-c")
+        assert _stored(spark) == {"passing-a", "passing-c"}
+        result = scratch.settle_outside(kept, "passing-d")
+    assert _stored(spark) == {"passing-d"} and result.count() == 2
+    with pytest.raises(ZeroDivisionError), scratch.passing_tables(spark):
+        1 / 0
+    scratch.settle(spark.range(1), "passing-f")
+    assert _stored(spark) == {"passing-d", "passing-f"}
+
+
 class _Cluster:
     """Stands for a session on a cluster without the setting."""
 
