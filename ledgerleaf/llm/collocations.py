@@ -55,7 +55,7 @@ _TOKEN = re.compile("[^ \t.,;:!?\n-\r]+|[.,;:!?\n-\r]")
 _BREAKS = ".,;:!?\n\x0b\x0c\r"
 _BITS = 1 << 22
 _HELD_WORDS = 200_000
-_BATCH_BYTES = 8 << 20
+_BATCH_BYTES = 3 << 20
 _PARTS = 64
 _BOUND_ROWS = 5_000
 _RANGES_A_TASK = 4
