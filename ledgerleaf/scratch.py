@@ -67,6 +67,17 @@ def settle(df: DataFrame, label: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def noted_tables() -> Iterator[list[str]]:
+    """The paths of tables that are settled inside and not removed by a block further in."""
+    paths: list[str] = []
+    token = _blocks.set((*_blocks.get(), paths))
+    try:
+        yield paths
+    finally:
+        _blocks.reset(token)
+
+
 @contextmanager
 def passing_tables(spark: SparkSession) -> Iterator[None]:
     """Tables that are settled inside go at the end of the block.
@@ -75,14 +86,23 @@ def passing_tables(spark: SparkSession) -> Iterator[None]:
     and nothing else from the block may be used after it. Where the block fails, its
     tables stay.
     """
-    paths: list[str] = []
-    token = _blocks.set((*_blocks.get(), paths))
-    try:
+    with noted_tables() as paths:
         yield
-    finally:
-        _blocks.reset(token)
+    remove_tables(spark, paths)
+
+
+def remove_tables(spark: SparkSession, paths: list[str]) -> None:
+    """Delete stored tables; those that are gone already are passed over."""
+    context = spark.sparkContext
     for path in paths:
-        _remove(spark, path)
+        place = context._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def reads_any(df: DataFrame, paths: list[str]) -> bool:
+    """Whether ``df`` reads a file of one of the stored tables ``paths``."""
+    names = {path.rsplit("/", 1)[1] for path in paths}
+    return bool(names) and any(names & set(file.split("/")) for file in df.inputFiles())
 
 
 def settle_outside(df: DataFrame, label: str = "table") -> DataFrame:
@@ -92,8 +112,3 @@ def settle_outside(df: DataFrame, label: str = "table") -> DataFrame:
         return settle(df, label)
     finally:
         _blocks.reset(token)
-
-
-def _remove(spark: SparkSession, path: str) -> None:
-    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)

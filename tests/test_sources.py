@@ -117,8 +117,14 @@ def test_passing_tables_go_at_the_end_of_their_block(spark):
     assert _stored(spark) == {"passing-d"} and result.count() == 2
     with pytest.raises(ZeroDivisionError), scratch.passing_tables(spark):
         1 / 0
-    scratch.settle(spark.range(1), "passing-f")
+    with scratch.noted_tables() as paths:
+        noted = scratch.settle(spark.range(1), "passing-f")
+    assert scratch.reads_any(noted.select("id"), paths) and not scratch.reads_any(result, paths)
+    assert not scratch.reads_any(noted, [])
     assert _stored(spark) == {"passing-d", "passing-f"}
+    for _ in range(2):
+        scratch.remove_tables(spark, paths)
+        assert _stored(spark) == {"passing-d"}
 
 
 class _Cluster:
