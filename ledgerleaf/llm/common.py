@@ -79,6 +79,16 @@ def by_size(
             yield batch.slice(start)
 
 
+def plain_names(docs: DataFrame, keep: tuple[str, ...]) -> tuple[DataFrame, list[Column]]:
+    """``docs`` with all columns but ``keep`` named by number, and what gives them back.
+
+    Steps may then add columns of any other name.
+    """
+    names = [c if c in keep else f"c{i}" for i, c in enumerate(docs.columns)]
+    back = [F.col(name).alias(c) for name, c in zip(names, docs.columns, strict=True)]
+    return docs.toDF(*names), back
+
+
 def own_rows(docs: DataFrame, key: str, text: str, share: bool) -> tuple[DataFrame, bool]:
     """``docs`` with a column ``_row`` that tells its rows apart, and whether it is not just the key.
 

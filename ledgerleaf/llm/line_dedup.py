@@ -44,8 +44,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerleaf.llm.common import BLANKS, let, own_rows
-from ledgerleaf.scratch import settle
+from ledgerleaf.llm.common import BLANKS, let, own_rows, plain_names
+from ledgerleaf.scratch import passing_tables, settle, settle_outside
 
 BUCKET_BITS = 22
 GROUP_BITS = 11
@@ -355,12 +355,16 @@ def _repeated(docs: DataFrame, rule: LineDedup, key: str, text: str) -> DataFram
 
 
 def dedup_lines(docs: DataFrame, rule: LineDedup = LineDedup()) -> DataFrame:
-    """``docs`` (doc_id, text, any others) with texts that lack their repeated lines."""
-    own, _ = own_rows(docs, "doc_id", "text", share=True)
-    gone = settle(_repeated(own, rule, "_row", "text"), "gone")
+    """``docs`` (doc_id, text, any others) with texts that lack their repeated lines.
+
+    Other columns come back as they are, whatever their names.
+    """
+    plain, back = plain_names(docs, ("doc_id", "text"))
+    own, _ = own_rows(plain, "doc_id", "text", share=True)
+    with passing_tables(docs.sparkSession):
+        gone = settle_outside(_repeated(own, rule, "_row", "text"), "gone")
     cuts = gone.groupBy("doc").agg(F.array_sort(F.collect_set("line")).alias("cuts"))
-    columns = [F.col(c).alias(f"c{i}") for i, c in enumerate(docs.columns)]
-    rows = own.select(*columns, F.col("_row").alias("doc"), F.col("text").cast("string").alias("text"))
+    rows = own.withColumnRenamed("_row", "doc").withColumn("text", F.col("text").cast("string"))
 
     def without(parts: Column) -> Column:
         """Lines between the cuts; starts of pieces are the places after a cut."""
@@ -374,7 +378,4 @@ def dedup_lines(docs: DataFrame, rule: LineDedup = LineDedup()) -> DataFrame:
     cut = F.when(F.col("cuts").isNull(), F.col("text")).otherwise(
         let(F.split("text", "\n"), without)
     )
-    names = [
-        cut.alias(c) if c == "text" else F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)
-    ]
-    return rows.join(cuts, "doc", "left").select(*names)
+    return rows.join(cuts, "doc", "left").withColumn("text", cut).select(*back)

@@ -41,10 +41,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerleaf.llm.common import by_size, own_rows
+from ledgerleaf.llm.common import by_size, own_rows, plain_names
 from ledgerleaf.llm.components import connected_components
 from ledgerleaf.llm.shingles import RunHashes, WordHashes, mix
-from ledgerleaf.scratch import settle
+from ledgerleaf.scratch import passing_tables, settle, settle_outside
 
 SHINGLE = 5
 BLOCK = 2048
@@ -423,13 +423,16 @@ def keep_one(docs: DataFrame, join: SimilarityJoin = SimilarityJoin()) -> DataFr
     """The rows of ``docs`` (doc_id, text, any others) without near duplicates.
 
     The smallest id of a component stays, and one row of those that repeat it, id and
-    text. Rows without an id come after all others, each as a document of its own.
+    text. Rows without an id come after all others, each as a document of its own. Other
+    columns come back as they are, whatever their names.
     """
-    rows, numbered = own_rows(docs, "doc_id", "text", share=True)
-    found = _linked_rows(rows, join, "_row", "text")
-    gone = settle(found.where("_row <> component_id").select("_row").distinct(), "gone")
+    plain, back = plain_names(docs, ("doc_id", "text"))
+    rows, numbered = own_rows(plain, "doc_id", "text", share=True)
+    with passing_tables(docs.sparkSession):
+        found = _linked_rows(rows, join, "_row", "text")
+        gone = settle_outside(found.where("_row <> component_id").select("_row").distinct(), "gone")
     kept = rows.join(gone, "_row", "left_anti")
     if not numbered:
-        return kept.select(*docs.columns)
+        return kept.select(*back)
     number = F.row_number().over(Window.partitionBy("_row").orderBy(F.xxhash64("text")))
-    return kept.withColumn("_number", number).where("_number = 1").select(*docs.columns)
+    return kept.withColumn("_number", number).where("_number = 1").select(*back)
