@@ -3,8 +3,8 @@
 Two lines match when the sets of their words (lower case, between blanks) have a
 Jaccard similarity of ``percent`` or more. A line goes when any earlier line
 matches it: one of a document with a smaller id, or higher up in the same
-document. Lines are judged on the input, and lines with fewer than ``min_words``
-different words are not judged.
+document. Lines are judged on the input, all those with a word (``min_words`` more, where
+asked); blank lines stay.
 
 Method: exact set-similarity join.
 
@@ -14,11 +14,13 @@ Method: exact set-similarity join.
   2**22 buckets, whose occurrences are counted over the whole corpus. The
   logarithm of that number takes the place of the highest bits of the hash, so a
   word stays a single number that sorts by rarity.
-* Prefix filter: similar sets share one of their first ``n - ceil(t * n) + 1``
-  words. Classes meet in a join on these words; a frequent word is joined together
-  with the next shared one, which is among the first words as well. In lines of many
-  different words it is joined together with the band of their number instead, so
-  keys grow in proportion to the words.
+* Prefix filter: the larger of two similar sets has a shared word among its first
+  ``n - ceil(t * n) + 1`` words, the smaller one among fewer, its first
+  ``n - ceil(2 * t / (1 + t) * n) + 1``. Classes meet in a join of the latter with the
+  former; a frequent word is joined together with the next shared one, which is
+  among the first words as well. In lines of many different words it is joined
+  together with the band of their number instead, so keys grow in proportion to the
+  words. Sets too small to be similar to any but their equals have no keys.
 * Length and positional filters drop pairs whose sizes or remaining words cannot
   reach the similarity, and so does a bound by 64 bits that words flip.
 * The remaining pairs are verified on the words of their lines.
@@ -61,7 +63,7 @@ class LineDedup:
     """Least similarity in percent, and the fewest different words of a judged line."""
 
     percent: int = 80
-    min_words: int = 5
+    min_words: int = 1
 
 
 def _words(content: Column) -> Column:
@@ -121,16 +123,17 @@ def _as_array(listed: DataFrame, place: str, value: str) -> DataFrame:
 
 
 def _class_id(tokens: Column) -> list[Column]:
-    """What names a set of hashes: all of them in one, the least, and the largest."""
+    """What names a set of hashes: all of them in one, the least, the largest, their number."""
     mixed = F.aggregate(tokens, F.lit(0).cast("long"), lambda x, t: x.bitwiseXOR(t))
     return [
         mixed.alias("mixed"),
         F.array_min(tokens).alias("low"),
         F.array_max(tokens).alias("high"),
+        F.size(tokens).alias("n"),
     ]
 
 
-CLASS = ("mixed", "low", "high")
+CLASS = ("mixed", "low", "high", "n")
 
 
 def _places(lines: DataFrame) -> DataFrame:
@@ -139,7 +142,7 @@ def _places(lines: DataFrame) -> DataFrame:
 
 
 def _classes(lines: DataFrame, codes: Column, rule: LineDedup) -> DataFrame:
-    """Classes of equal word sets: mixed, low, high, n, at (first line), copies, prefix, bits."""
+    """Classes of equal word sets: mixed, low, high, n, at (first line), copies, bits, prefix."""
 
     def ranked(token: Column) -> Column:
         code = F.element_at(F.col("codes"), (_bucket(token) + 1).cast("int")).cast("long")
@@ -155,14 +158,13 @@ def _classes(lines: DataFrame, codes: Column, rule: LineDedup) -> DataFrame:
     rows = lines.withColumn("codes", codes).select(
         *_class_id(F.col("tokens")),
         F.struct("doc", "line").alias("at"),
-        n.alias("n"),
         bits.alias("bits"),
         F.slice(ordered, F.lit(1), n - _needed(rule.percent, n) + 2).alias("prefix"),
     )
     return rows.groupBy(*CLASS).agg(
         F.min("at").alias("at"),
         F.count("*").alias("copies"),
-        *[F.first(c).alias(c) for c in ("n", "bits", "prefix")],
+        *[F.first(c).alias(c) for c in ("bits", "prefix")],
     )
 
 
@@ -171,6 +173,11 @@ def _needed(percent: int, n: Column) -> Column:
     return F.floor((percent * n + 99) / 100).cast("int")
 
 
+def _needed_of_larger(percent: int, n: Column) -> Column:
+    """Words that a set of ``n`` shares with a similar one of its size or more."""
+    return F.ceil(2 * percent * n / (100 + percent)).cast("int")
+
+
 def _one_bit(place: Column) -> Column:
     """A long with the bit set that the last six bits of ``place`` name."""
     return F.call_function(
@@ -178,19 +185,24 @@ def _one_bit(place: Column) -> Column:
     )
 
 
-def _keys(longer: Column, n: Column, percent: int) -> Column:
-    """What a set of ``n`` is found by: (key, place) for its prefix; ``longer`` has one word more.
+def _keys(longer: Column, n: Column, percent: int, index: bool) -> Column:
+    """What a set of ``n`` is found by: (key, place) for its prefix, as the smaller set
+    of a pair (``index``) or as the larger one.
 
+    ``longer`` has the first words, as many as the prefix of the larger set and one more.
     A rare word is a key by itself. A frequent one is a key together with each
-    word after it: similar sets share a second word within the longer prefix. In
-    a long line it is a key with the band of ``n``, and the next one: sizes of
-    similar sets are less than a band apart. Lines that may be similar to both
-    kinds have the keys of both.
+    word after it: similar sets share a second word within the prefix that is longer by
+    one, if they share two. In a long line it is a key with the band of ``n``, and the
+    next one: sizes of similar sets are less than a band apart. Lines that may be similar
+    to both kinds have the keys of both.
     """
     width = math.log(1.01 * 100 / percent)
     band = F.floor(F.log(n.cast("double")) / width)
     bands = F.array(band, band + 1)
     only_long = percent * n > 100 * LONG_LINE
+    shared = _needed_of_larger(percent, n) if index else _needed(percent, n)
+    first = n - shared + 1
+    one_shared = _needed(percent, n) < 2
 
     def keys(words: Column) -> Column:
         def of(token: Column, i: Column) -> Column:
@@ -202,13 +214,19 @@ def _keys(longer: Column, n: Column, percent: int) -> Column:
             banded = F.transform(
                 bands, lambda b: F.struct(F.xxhash64(token, b).alias("key"), i.alias("place"))
             )
-            by_size = F.when(only_long, banded).when(n < LONG_LINE, paired)
+            by_size = (
+                F.when(one_shared, F.concat(alone, paired))
+                .when(only_long, banded)
+                .when(n < LONG_LINE, paired)
+                .otherwise(F.concat(paired, banded))
+            )
             frequent = F.shiftright(token, HASH_BITS) >= FREQUENT
-            return F.when(frequent, by_size.otherwise(F.concat(paired, banded))).otherwise(alone)
+            return F.when(frequent, by_size).otherwise(alone)
 
-        return F.flatten(F.transform(F.slice(words, 1, F.size(words) - 1), of))
+        return F.flatten(F.transform(F.slice(words, 1, first), of))
 
-    return let(longer, keys)
+    has_others = (100 * n >= percent * (n + 1)) | (100 * (n - 1) >= percent * n)
+    return F.when(has_others, let(F.slice(longer, 1, first + 1), keys))
 
 
 def _possible(a_n: Column, b_n: Column, a_bits: Column, b_bits: Column, percent: int) -> Column:
@@ -221,20 +239,24 @@ def _possible(a_n: Column, b_n: Column, a_bits: Column, b_bits: Column, percent:
 
 def _prefix_pairs(classes: DataFrame, rule: LineDedup) -> DataFrame:
     """(x, y): an earlier class and a later one, when they pass all filters."""
-    keys = _keys(F.col("prefix"), F.col("n"), rule.percent)
-    words = classes.select("at.doc", "at.line", "n", "bits", F.inline(keys))
-    a, b = words.alias("a"), words.alias("b")
+
+    def words(index: bool) -> DataFrame:
+        keys = _keys(F.col("prefix"), F.col("n"), rule.percent, index)
+        return classes.select("at", "n", "bits", F.inline(keys))
+
+    a, b = words(True).alias("a"), words(False).alias("b")
     na, nb = F.col("a.n"), F.col("b.n")
     # Shared words are at most those left behind both places, this one included.
     room = F.least(na - F.col("a.place"), nb - F.col("b.place"))
     enough = (100 + rule.percent) * room >= rule.percent * (na + nb)
     near = _possible(na, nb, F.col("a.bits"), F.col("b.bits"), rule.percent)
-    earlier = (F.col("a.doc") < F.col("b.doc")) | (
-        (F.col("a.doc") == F.col("b.doc")) & (F.col("a.line") < F.col("b.line"))
-    )
+    smaller = (na < nb) | ((na == nb) & (F.col("a.at") < F.col("b.at")))
     return (
-        a.join(b, (F.col("a.key") == F.col("b.key")) & earlier & enough & near)
-        .select(F.struct("a.doc", "a.line").alias("x"), F.struct("b.doc", "b.line").alias("y"))
+        a.join(b, (F.col("a.key") == F.col("b.key")) & smaller & enough & near)
+        .select(
+            F.least("a.at", "b.at").alias("x"),
+            F.greatest("a.at", "b.at").alias("y"),
+        )
         .distinct()
     )
 

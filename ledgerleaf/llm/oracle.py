@@ -18,7 +18,7 @@ sets AS (
   FROM lines),
 judged AS (
   SELECT row_number() OVER (ORDER BY doc_id, line_no) AS id, *, len(words) AS n
-  FROM sets WHERE len(words) >= 5),
+  FROM sets WHERE len(words) >= 1),
 tokens AS (SELECT id, n, unnest(words) AS word FROM judged),
 counted AS (SELECT *, count(*) OVER (PARTITION BY word) AS c FROM tokens),
 placed AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY c, word) AS place FROM counted),

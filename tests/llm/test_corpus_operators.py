@@ -187,7 +187,7 @@ def gone_lines(rows, percent=80):
     for i, text in sorted(rows):
         for k, line in enumerate(text.split("\n") if text is not None else []):
             words = set(line.lower().split())
-            if len(words) < 5:
+            if not words:
                 continue
             if any(100 * len(words & w) >= percent * len(words | w) for w in before):
                 gone.add((i, k))
@@ -195,6 +195,9 @@ def gone_lines(rows, percent=80):
     return gone
 
 
+SHORT_LINES = ["p", "p q", "q", "p q r", "r q", "p q r s", "p q r s t", "s", "q p", "\t", "p p p"]
+
+
 def line_documents(count, seed):
     random.seed(seed)
     lines, rows = ["A b c d e f", "tiny line"], []
@@ -228,11 +231,19 @@ def test_lines_against_brute_force(spark):
         assert cut[i] == "\n".join(left)
 
 
-def test_frequent_words_are_joined_by_two(spark, monkeypatch):
+@pytest.mark.parametrize("percent", [50, 67, 80, 95])
+def test_frequent_words_are_joined_by_two(spark, monkeypatch, percent):
     monkeypatch.setattr(line_dedup, "FREQUENT", 0)
-    rows = line_documents(80, 7)
-    found = line_dedup.repeated_lines(docs_of(spark, rows)).collect()
-    assert {(r.doc, r.line) for r in found} == gone_lines(rows)
+    rows = line_documents(80, 7) + [(900 + i, line) for i, line in enumerate(SHORT_LINES)]
+    rule = line_dedup.LineDedup(percent)
+    found = line_dedup.repeated_lines(docs_of(spark, rows), rule).collect()
+    assert {(r.doc, r.line) for r in found} == gone_lines(rows, percent)
+
+
+def test_short_lines_are_judged(spark):
+    docs = docs_of(spark, [(1, "Les.\nLes.\n\n\nyes no\nno yes"), (2, "les.\nyes\na b c d\nd c b a e")])
+    cut = {r.doc_id: r.text for r in line_dedup.dedup_lines(docs).collect()}
+    assert cut == {1: "Les.\n\n\nyes no", 2: "yes\na b c d"}
 
 
 @pytest.mark.parametrize("long", [1, 8, 14])
@@ -264,7 +275,7 @@ def test_all_links_between_line_classes(spark):
     places = {}
     for i, text in rows:
         for k, line in enumerate(text.split("\n")):
-            if len(words := frozenset(line.split())) >= 5:
+            if words := frozenset(line.split()):
                 places.setdefault(words, []).append((i, k))
     wanted = {}
     for words, own in places.items():
@@ -282,7 +293,7 @@ def test_first_line_is_the_earliest_match(spark):
     for i, text in rows:
         for k, line in enumerate(text.split("\n")):
             words = frozenset(line.lower().split())
-            if len(words) < 5:
+            if not words:
                 continue
             equal = [at for at, w in before if w == words]
             near = [at for at, w in before if 100 * len(words & w) >= 80 * len(words | w)]
