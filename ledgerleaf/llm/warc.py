@@ -16,7 +16,8 @@ Reading: a file is walked from record to record. Every record has to have a
 version line, a header, a block of the stated length, an end, and the digest its
 header names. After a failed check the reader searches for the next gzip member
 or version line that starts a valid record, goes on from there, and logs the
-bytes between as a gap with the reason.
+bytes between as a gap with the reason. Records leave as they are found, and a member is
+unpacked from windows of the file, so the work is linear in its size.
 
 A null html is an empty payload. A null id is larger than any other and is
 written as an empty id; pages that share the smallest id (repeated rows) are all
@@ -43,6 +44,7 @@ VERSION_LINE = re.compile(rb"WARC/1\.[01]\r\n")
 GZIP_START = b"\x1f\x8b\x08"
 ID_PREFIX, ID_SUFFIX = "<urn:page:", ">"
 DATE = "2020-01-01T00:00:00Z"
+WINDOW = 1 << 18
 VOLUME_BYTES = 16 << 20
 HTTP_HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 
@@ -189,15 +191,23 @@ def _parse(data: bytes, at: int) -> Record:
 
 
 def _member(data: bytes, at: int) -> tuple[bytes, int]:
-    """Content and end of the gzip member that starts at ``at``."""
+    """Content and end of the gzip member that starts at ``at``.
+
+    Windows of the file are unpacked one by one, as what follows the member is copied.
+    """
     unpacker = zlib.decompressobj(31)
+    view, parts, stop = memoryview(data), [], at
     try:
-        content = unpacker.decompress(memoryview(data)[at:]) + unpacker.flush()
+        while not unpacker.eof and stop < len(data):
+            window = view[stop : stop + WINDOW]
+            parts.append(unpacker.decompress(window))
+            stop += len(window)
+        parts.append(unpacker.flush())
     except zlib.error as error:
         raise ValueError("damaged gzip member") from error
     if not unpacker.eof:
         raise ValueError("gzip member without end")
-    return content, len(data) - len(unpacker.unused_data)
+    return b"".join(parts), stop - len(unpacker.unused_data)
 
 
 def _step(data: bytes, at: int) -> tuple[list[Record], int, list[tuple[int, int, str]]]:
@@ -219,9 +229,11 @@ def _next_start(data: bytes, at: int) -> int:
     return min(line.start() if line else len(data), member if member >= 0 else len(data))
 
 
-def walk(data: bytes) -> Walk:
-    """All valid records of ``data``, and the gaps that hold anything else."""
-    found = Walk()
+Found = tuple[int, int, Record | str]
+
+
+def scan(data: bytes) -> Iterator[Found]:
+    """(start, stop, record), or (start, stop, reason) of a gap, as they are met in ``data``."""
     at, gap, reason = 0, None, ""
     while at < len(data):
         try:
@@ -232,13 +244,24 @@ def walk(data: bytes) -> Walk:
             at = _next_start(data, at + 1)
             continue
         if gap is not None:
-            found.gaps.append((gap, at, reason))
+            yield gap, at, reason
             gap = None
-        found.records += [(at, stop - at, record) for record in records]
-        found.gaps += inner
+        for record in records:
+            yield at, stop, record
+        yield from inner
         at = stop
     if gap is not None:
-        found.gaps.append((gap, len(data), reason))
+        yield gap, len(data), reason
+
+
+def walk(data: bytes) -> Walk:
+    """All valid records of ``data``, and the gaps that hold anything else."""
+    found = Walk()
+    for start, stop, what in scan(data):
+        if isinstance(what, Record):
+            found.records.append((start, stop - start, what))
+        else:
+            found.gaps.append((start, stop, what))
     return found
 
 
@@ -255,7 +278,9 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
             for name, content in zip(*(batch.column(i) for i in (0, 1)), strict=True):
                 rows: list[tuple] = []
                 held = 0
-                for offset, stored, record in walk(content.as_py()).records:
+                for offset, stop, record in scan(content.as_py()):
+                    if not isinstance(record, Record):
+                        continue
                     h, payload = record.headers, record.payload()
                     digest = h.get("warc-payload-digest", "").removeprefix("sha1:")
                     length = h.get("warc-payload-length", "")
@@ -264,7 +289,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
                         (
                             name.as_py(),
                             offset,
-                            stored,
+                            stop - offset,
                             h.get("warc-type"),
                             h.get("warc-record-id"),
                             h.get("warc-target-uri"),
@@ -297,7 +322,7 @@ def read_gaps(spark: SparkSession, path: str) -> DataFrame:
     def gaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for name, content in zip(*(batch.column(i) for i in (0, 1)), strict=True):
-                found = walk(content.as_py()).gaps
+                found = [g for g in scan(content.as_py()) if not isinstance(g[2], Record)]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([name.as_py()] * len(found), pa.string()),

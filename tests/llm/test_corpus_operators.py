@@ -4,6 +4,7 @@ import base64
 import hashlib
 import math
 import random
+import time
 from collections import defaultdict
 
 import numpy as np
@@ -448,3 +449,43 @@ def test_no_pages(spark):
     path = scratch_path(spark, "warc")
     warc.write_warc(pages, path)
     assert warc.read_warc(spark, path).count() == 0
+
+
+def test_work_of_the_reader_is_linear():
+    record = warc.gzip_member(warc.record_bytes(1, "u", random.Random(1).randbytes(900), None) + b"\r\n\r\n")
+    took = []
+    for count in (4000, 16000):
+        data = record * count
+        start = time.process_time()
+        found = warc.walk(data)
+        took.append(time.process_time() - start)
+        assert len(found.records) == count and found.gaps == []
+    assert took[1] < 8 * took[0]
+
+
+def test_members_longer_than_a_window(monkeypatch):
+    end = warc.RECORD_END.encode()
+    stored = [warc.gzip_member(warc.record_bytes(i, "u", random.Random(i).randbytes(50), None) + end) for i in range(9)]
+    monkeypatch.setattr(warc, "WINDOW", 7)
+    found = warc.walk(b"".join(stored) + b"rest")
+    sizes = [len(m) for m in stored]
+    assert [(a, n) for a, n, _ in found.records] == [(sum(sizes[:i]), sizes[i]) for i in range(9)]
+    assert found.gaps == [(sum(sizes), sum(sizes) + 4, "no version line")]
+
+
+def test_archives_are_salvaged_through_spark(spark, tmp_path):
+    end = warc.RECORD_END.encode()
+    stored = [warc.gzip_member(warc.record_bytes(i, f"u{i}", b"x%d" % i, None) + end) for i in range(40)]
+    starts = [sum(map(len, stored[:i])) for i in range(41)]
+    data = bytearray(b"".join(stored))
+    for i in (3, 4, 20):
+        data[starts[i] + len(stored[i]) // 2] ^= 0xFF
+    (tmp_path / "a.warc.gz").write_bytes(data)
+    (tmp_path / "b.warc.gz").write_bytes(stored[0])
+    found = warc.read_warc(spark, str(tmp_path)).select(warc.page_id_of("record_id").alias("i"), "file", "offset").collect()
+    assert sorted((r.i, r.offset) for r in found if "a.warc" in r.file) == [
+        (i, starts[i]) for i in range(40) if i not in (3, 4, 20)
+    ]
+    assert [r.i for r in found if "b.warc" in r.file] == [0]
+    gaps = warc.read_gaps(spark, str(tmp_path)).collect()
+    assert sorted((r.start, r.stop) for r in gaps) == [(starts[3], starts[5]), (starts[20], starts[21])]
