@@ -8,7 +8,9 @@ proportion to the item. A copy of a passage of ``m`` characters with at most ``e
 edits shares ``m - q + 1 - q * e`` of its q-grams with the passage, all on diagonals
 (place in the text minus place in the passage) that differ by at most ``e``. So
 shared q-grams are counted in overlapping bands of ``2 * (e + 1)`` diagonals,
-bands that reach the bound are kept, and a banded alignment verifies them.
+bands that reach the bound are kept, and a banded alignment verifies them. A passage of
+fewer than ``short`` characters has to be found as whole words; characters of scripts
+without blanks are words of their own.
 
 The benchmark is the stated set of queries. It goes to the tasks in blocks of a
 bounded number of characters, one pass over the documents for each block; the
@@ -33,6 +35,8 @@ from pyspark.sql import functions as F
 BASE = np.uint64(0x9E3779B97F4A7C15)
 TABLE_BITS = 20
 BLOCK_CHARS = 2_000_000
+# Ranges of code points whose scripts are written without blanks.
+NO_BLANKS = ((0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x2E80, 0xA4CF), (0xAC00, 0xFAFF))
 HITS = "array<struct<item:bigint,start:bigint,stop:bigint,edits:int>>"
 
 
@@ -52,6 +56,7 @@ class Decontamination:
     whole_edits: float = 0.10
     excerpt: int = 60
     stride: int = 10
+    short: int = 25
 
     def budget(self, length: int, share: float | None = None) -> int:
         """Most edits of a passage; at least one q-gram has to be left."""
@@ -82,6 +87,18 @@ def _reduce(text: str) -> tuple[np.ndarray, np.ndarray]:
     return letters[places], places
 
 
+def _limits(letters: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Whether a word begins or ends before each letter, and after the last one."""
+    limits = np.ones(len(letters) + 1, bool)
+    limits[1:-1] = np.diff(places) > 1
+    if letters.dtype != np.uint8 and len(letters) and letters.max() >= NO_BLANKS[0][0]:
+        for low, high in NO_BLANKS:
+            alone = (letters >= low) & (letters <= high)
+            limits[:-1] |= alone
+            limits[1:] |= alone
+    return limits
+
+
 def _grams(letters: np.ndarray, q: int) -> np.ndarray:
     """A hash of each run of ``q`` letters, put together from runs of powers of two."""
     n = len(letters) - q + 1
@@ -180,16 +197,20 @@ class PassageIndex:
     def find(self, text: str) -> list[tuple[int | None, int, int, int]]:
         """(item, start, stop, edits) of verified passages, joined for each item."""
         letters, places = _reduce(text)
+        limits = _limits(letters, places)
         best: dict[int, tuple[int, int, int]] = {}
         for number, diagonal in zip(*self._regions(_grams(letters, self.rule.q)), strict=True):
             passage, budget = self.passages[number], int(self.budget[number])
             width = 2 * (budget + 1)
-            found = exact_match(passage, letters, int(diagonal), width) or banded_match(
-                passage, letters, int(diagonal), width, budget
-            )
+            words = limits if len(passage) < self.rule.short else None
+            found = exact_match(passage, letters, int(diagonal), width, words)
+            if found is None and budget:
+                found = banded_match(passage, letters, int(diagonal), width, budget)
             if found is None:
                 continue
             edits, first, last = found
+            if words is not None and not (words[first] and words[last]):
+                continue
             item = int(self.owner[number])
             start, stop = int(places[first]), int(places[last - 1]) + 1
             old = best.get(item, (start, stop, edits))
@@ -199,14 +220,24 @@ class PassageIndex:
 
 
 def exact_match(
-    passage: np.ndarray, letters: np.ndarray, diagonal: int, width: int
+    passage: np.ndarray,
+    letters: np.ndarray,
+    diagonal: int,
+    width: int,
+    limits: np.ndarray | None = None,
 ) -> tuple[int, int, int] | None:
-    """(0, start, stop) of an exact copy on the diagonals of a band, as no alignment is needed."""
+    """(0, start, stop) of an exact copy on the diagonals of a band, as no alignment is needed.
+
+    With ``limits`` it has to begin and end at one of them.
+    """
     low, high = max(0, diagonal), min(len(letters) - len(passage), diagonal + width - 1)
     if high < low:
         return None
     runs = np.lib.stride_tricks.sliding_window_view(letters[low : high + len(passage)], len(passage))
-    same = np.flatnonzero((runs == passage).all(axis=1))
+    equal = (runs == passage).all(axis=1)
+    if limits is not None:
+        equal &= limits[low : high + 1] & limits[low + len(passage) : high + len(passage) + 1]
+    same = np.flatnonzero(equal)
     return (0, low + int(same[0]), low + int(same[0]) + len(passage)) if len(same) else None
 
 

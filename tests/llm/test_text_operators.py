@@ -270,3 +270,20 @@ def test_benchmark_in_blocks(spark, monkeypatch):
     benchmark = spark.createDataFrame([*enumerate(items)], "item_id long, text string")
     found = decontaminate.contaminated(docs_of(spark, items), benchmark).collect()
     assert {(i, i) for i in range(3)} <= {(r.doc_id, r.item_id) for r in found}
+
+
+def test_short_items_are_found_as_whole_words():
+    items = ["the river", "question", "the quick brown fox jum", "東京都の天気は晴れです"]
+    index = decontaminate.PassageIndex([*enumerate(items)], decontaminate.Decontamination())
+
+    def found(text):
+        return [hit[0] for hit in index.find(text)]
+
+    assert found("Breathe, riverside towns are questionable") == []
+    assert found("Breathe riverside, the river: a question") == [0, 1]
+    assert found("question") == [1]
+    assert found("_the river_") == [0]
+    assert found("clothe quick brown fox jumps") == []
+    assert found("so the quick brown fax jum ends") == [2]
+    assert found("今日東京都の天気は晴れですね") == [3]
+    assert found("") == []
