@@ -35,6 +35,7 @@ from pyspark.sql.datasource import (
 
 from ledgerleaf.functions.names import check_unique, quoted
 from ledgerleaf.scratch import qualified
+from ledgerleaf.sources import manifest
 from ledgerleaf.sources.dbf_layout import (
     DELETED_FLAG,
     END_OF_FILE,
@@ -82,8 +83,8 @@ class _Pieces(InputPartition):
 
 
 class _Written(WriterCommitMessage):
-    def __init__(self, names: list[str]) -> None:
-        self.names = names
+    def __init__(self, files: list[tuple[str, int]]) -> None:
+        self.files = files
 
 
 class _RecordReader(DataSourceReader):
@@ -142,30 +143,39 @@ class _RecordReader(DataSourceReader):
 
 
 class _RecordWriter(DataSourceArrowWriter):
-    """Every task writes whole files into a staging folder; a commit moves them."""
+    """Every task writes whole files into the folder; a commit lists those that count.
+
+    ``keepVersions`` earlier versions stay for readers that have begun.
+    """
 
     def __init__(self, options: dict[str, str], overwrite: bool) -> None:
         self.path = options["path"].rstrip("/")
         self.fields = [DbfField(**f) for f in json.loads(options["fields"])]
         self.file_bytes = int(options.get("filebytes", FILE_BYTES))
+        self.keep_versions = int(options.get("keepversions", 0))
         self.overwrite = overwrite
-        self.staging = f"{self.path}/_staging-{uuid.uuid4().hex}"
-
-    def _store(self, body: list[bytes], count: int) -> str:
-        name = f"part-{uuid.uuid4().hex}.dbf"
-        system, folder = open_path(self.staging)
-        system.create_dir(folder, recursive=True)
+        self.mark = f"part-{uuid.uuid4().hex}-"
+        # Until the commit, what is there now counts, and nothing of this write.
+        system, target = open_path(self.path)
+        system.create_dir(target, recursive=True)
+        self.first = 0
+        if manifest.current_files(system, target) is None:
+            found = [(path[len(target) + 1 :], size) for path, size in list_dbf(self.path)]
+            self.first = manifest.publish(system, target, found)
+
+    def _store(self, body: list[bytes], count: int) -> tuple[str, int]:
+        name = f"{self.mark}{uuid.uuid4().hex}.dbf"
+        system, folder = open_path(self.path)
+        pieces = [header_bytes(self.fields, count, datetime.date.today()), *body, END_OF_FILE]
         with system.open_output_stream(f"{folder}/{name}") as out:
-            out.write(header_bytes(self.fields, count, datetime.date.today()))
-            for piece in body:
+            for piece in pieces:
                 out.write(piece)
-            out.write(END_OF_FILE)
-        return name
+        return name, sum(len(piece) for piece in pieces)
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
         width = record_length(self.fields)
         limit = max(1, self.file_bytes // width)
-        names: list[str] = []
+        files: list[tuple[str, int]] = []
         body: list[bytes] = []
         held = 0
         for batch in iterator:
@@ -179,29 +189,34 @@ class _RecordWriter(DataSourceArrowWriter):
                 held += len(part)
                 at += len(part)
                 if held == limit:
-                    names.append(self._store(body, held))
+                    files.append(self._store(body, held))
                     body, held = [], 0
         if held:
-            names.append(self._store(body, held))
-        return _Written(names)
+            files.append(self._store(body, held))
+        return _Written(files)
+
+    def _remove_own(self, but: set[str]) -> None:
+        """Remove files of this write that no successful attempt has named."""
+        system, target = open_path(self.path)
+        entries = system.get_file_info(fs.FileSelector(target))
+        own = [f.path for f in entries if f.base_name.startswith(self.mark)]
+        manifest.remove(system, [path for path in own if path.rsplit("/", 1)[-1] not in but])
 
     def commit(self, messages: list[WriterCommitMessage | None]) -> None:
         system, target = open_path(self.path)
-        _, staging = open_path(self.staging)
-        names = [name for message in messages if message for name in message.names]
-        if not names:
-            names = [self._store([], 0)]
-        old = [path for path, _ in list_dbf(self.path)] if self.overwrite else []
-        for name in names:
-            system.move(f"{staging}/{name}", f"{target}/{name}")
-        for path in old:
-            system.delete_file(path)
-        system.delete_dir(staging)
+        files = [file for message in messages if message for file in message.files]
+        if not files:
+            files = [self._store([], 0)]
+        before = [] if self.overwrite else manifest.current_files(system, target) or []
+        number = manifest.publish(system, target, [*before, *files])
+        manifest.remove_before(system, target, number - self.keep_versions)
+        self._remove_own(but={name for name, _ in files})
 
     def abort(self, messages: list[WriterCommitMessage | None]) -> None:
-        system, staging = open_path(self.staging)
-        if system.get_file_info(staging).type == fs.FileType.Directory:
-            system.delete_dir(staging)
+        self._remove_own(but=set())
+        if self.first:
+            system, target = open_path(self.path)
+            manifest.withdraw(system, target, self.first)
 
 
 class DbfRecords(DataSource):
@@ -427,19 +442,30 @@ def encode_records(
     return df.select(F.encode(F.concat(flag, *parts), "ISO-8859-1").alias("record"))
 
 
-def write_records(records: DataFrame, fields: list[DbfField], path: str) -> None:
-    """Replace the DBF files below ``path`` by the given records."""
+def write_records(
+    records: DataFrame, fields: list[DbfField], path: str, keep_versions: int = 0
+) -> None:
+    """Replace the DBF files below ``path`` by the given records.
+
+    Readers see the old files until the write ends, then the new ones. Old files are removed
+    then, but for those of the last ``keep_versions`` writes, which jobs that are
+    reading them need.
+    """
     short = [replace(f, name=f.name[:NAME_LENGTH]) for f in fields]
     check_unique([f.name for f in short])
     spark = records.sparkSession
     spark.dataSource.register(DbfRecords)
     records.write.format(DbfRecords.name()).mode("overwrite").options(
-        fields=_fields_json(short)
+        fields=_fields_json(short), keepVersions=keep_versions
     ).save(qualified(spark, path))
 
 
 def write_dbf(
-    df: DataFrame, path: str, specs: dict[str, dict] | None = None, cut: bool | None = None
+    df: DataFrame,
+    path: str,
+    specs: dict[str, dict] | None = None,
+    cut: bool | None = None,
+    keep_versions: int = 0,
 ) -> None:
     """Write ``df`` as a folder of DBF files, replacing those already there.
 
@@ -447,11 +473,11 @@ def write_dbf(
     inferred. Names are cut to 10 characters. Values that do not fit their field
     are an error; with ``cut``, and by default with given ``specs``, texts are cut
     to their field and numbers rounded to its decimals. Without rows, one file
-    with only a header is written.
+    with only a header is written. ``keep_versions`` is that of :func:`write_records`.
     """
     cut = specs is not None if cut is None else cut
     fields = infer_fields(df, cut) if specs is None else _fields_from_specs(df, specs)
-    write_records(encode_records(df, fields, cut=cut), fields, path)
+    write_records(encode_records(df, fields, cut=cut), fields, path, keep_versions)
 
 
 _CATALOG_SCHEMA = """

@@ -14,6 +14,8 @@ from dataclasses import dataclass
 from pyarrow import fs
 from pyspark import cloudpickle
 
+from ledgerleaf.sources.manifest import current_files
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Sizes and marks of the format.
@@ -63,13 +65,19 @@ def open_path(path: str) -> tuple[fs.FileSystem, str]:
 
 
 def list_dbf(path: str) -> list[tuple[str, int]]:
-    """(path, size) of a DBF file, or of all below a folder; scheme left out."""
+    """(path, size) of a DBF file, or of all below a folder; scheme left out.
+
+    A folder that a write has listed holds the files of its list.
+    """
     system, inner = open_path(path)
     info = system.get_file_info(inner)
     if info.type == fs.FileType.NotFound:
         raise FileNotFoundError(path)
     if info.type == fs.FileType.File:
         return [(info.path, info.size)]
+    listed = current_files(system, inner)
+    if listed is not None:
+        return sorted((f"{inner.rstrip('/')}/{name}", size) for name, size in listed)
     found = system.get_file_info(fs.FileSelector(inner, recursive=True))
     return sorted(
         (f.path, f.size)

@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from ledgerleaf.sources import dbf
+from ledgerleaf.sources import dbf, manifest
 
 SAMPLE = [
     (11, "Quay", 61, 1250.5, False, datetime.date(1999, 12, 31)),
@@ -260,3 +260,55 @@ def test_exact_values_come_back(spark, tmp_path):
     back = dbf.read_dbf(spark, str(tmp_path)).first()
     assert (back.T, back.D, back.M) == ("é", 1.23456789, 12.345)
     assert back.S == "2020-01-02 03:04:05.678901" and back.L == "[a, b]"
+
+
+# --- writes are seen as a whole ----------------------------------------------
+
+
+def numbers_of(spark, path):
+    return sorted(r.ID for r in dbf.read_dbf(spark, str(path)).collect())
+
+
+def test_files_without_a_list_entry_do_not_count(spark, tmp_path):
+    dbf.write_dbf(spark.range(3).withColumnRenamed("id", "ID"), str(tmp_path))
+    (tmp_path / "part-other.dbf").write_bytes(next(tmp_path.glob("*.dbf")).read_bytes())
+    assert numbers_of(spark, tmp_path) == [0, 1, 2]
+
+
+def test_reading_during_an_overwrite(spark, tmp_path):
+    old = spark.range(8).withColumnRenamed("id", "ID")
+    dbf.write_dbf(old.repartition(4), str(tmp_path))
+    fields = dbf.infer_fields(old)
+    new = dbf.encode_records(spark.range(20, 25).withColumnRenamed("id", "ID"), fields)
+    options = {"path": str(tmp_path), "fields": dbf._fields_json(fields), "keepversions": "1"}
+    writer = dbf._RecordWriter(options, overwrite=True)
+    begun = dbf._RecordReader({"path": str(tmp_path), "fields": options["fields"], "rangebytes": "999"})
+    parts = begun.partitions()
+    written = [writer.write(iter([batch])) for batch in new.toArrow().to_batches()]
+    writer.write(iter(new.toArrow().to_batches()))  # an attempt whose result is not used
+    assert numbers_of(spark, tmp_path) == list(range(8))
+    writer.commit(written)
+    assert numbers_of(spark, tmp_path) == list(range(20, 25))
+    assert sum(batch.num_rows for part in parts for batch in begun.read(part)) == 8
+    dbf.write_dbf(old.limit(2), str(tmp_path))
+    listed = manifest.current_files(*dbf.open_path(str(tmp_path)))
+    assert {p.name for p in tmp_path.glob("*.dbf")} == {name for name, _ in listed}
+    assert len(list(tmp_path.glob("_*"))) == 1
+
+
+def test_append_and_abort(spark, tmp_path):
+    first = spark.range(3).withColumnRenamed("id", "ID")
+    fields = dbf.infer_fields(first)
+    plain = tmp_path / "sub"
+    dbf.write_dbf(first, str(plain))
+    next(plain.glob("_manifest*")).unlink()  # files that no list names, in a folder below
+    options = {"path": str(tmp_path), "fields": dbf._fields_json(fields)}
+    batches = dbf.encode_records(first, fields).toArrow().to_batches()
+    failed = dbf._RecordWriter(options, overwrite=True)
+    failed.write(iter(batches))
+    failed.abort([])
+    assert not list(tmp_path.glob("*.dbf")) and not list(tmp_path.glob("_*"))
+    assert numbers_of(spark, tmp_path) == [0, 1, 2]
+    added = dbf._RecordWriter(options, overwrite=False)
+    added.commit([added.write(iter(batches))])
+    assert numbers_of(spark, tmp_path) == [0, 0, 1, 1, 2, 2]
