@@ -242,7 +242,7 @@ def _prefix_pairs(classes: DataFrame, rule: LineDedup) -> DataFrame:
 
     def words(index: bool) -> DataFrame:
         keys = _keys(F.col("prefix"), F.col("n"), rule.percent, index)
-        return classes.select("at", "n", "bits", F.inline(keys))
+        return classes.select("at.doc", "at.line", "n", "bits", F.inline(keys))
 
     a, b = words(True).alias("a"), words(False).alias("b")
     na, nb = F.col("a.n"), F.col("b.n")
@@ -250,13 +250,11 @@ def _prefix_pairs(classes: DataFrame, rule: LineDedup) -> DataFrame:
     room = F.least(na - F.col("a.place"), nb - F.col("b.place"))
     enough = (100 + rule.percent) * room >= rule.percent * (na + nb)
     near = _possible(na, nb, F.col("a.bits"), F.col("b.bits"), rule.percent)
-    smaller = (na < nb) | ((na == nb) & (F.col("a.at") < F.col("b.at")))
+    at_a, at_b = F.struct("a.doc", "a.line"), F.struct("b.doc", "b.line")
+    smaller = (na < nb) | ((na == nb) & (at_a < at_b))
     return (
         a.join(b, (F.col("a.key") == F.col("b.key")) & smaller & enough & near)
-        .select(
-            F.least("a.at", "b.at").alias("x"),
-            F.greatest("a.at", "b.at").alias("y"),
-        )
+        .select(F.least(at_a, at_b).alias("x"), F.greatest(at_a, at_b).alias("y"))
         .distinct()
     )
 
