@@ -5,6 +5,8 @@ be known before a join, are written here as Parquet. The table is read back
 from the shared folder, so losing an executor never loses the result, and the
 optimizer sees its true size: a side below
 ``spark.sql.autoBroadcastJoinThreshold`` is broadcast, a larger one is shuffled.
+Once a table is stored, Spark removes the shuffle files behind it, which otherwise
+stay until the driver collects garbage.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ from contextvars import ContextVar
 from pyspark.sql import DataFrame, SparkSession
 
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
+_REMOVE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _local_roots: dict[str, str] = {}
 # Paths of the tables of each open block of :func:`passing_tables`, innermost last.
 _blocks: ContextVar[tuple[list[str], ...]] = ContextVar("blocks", default=())
@@ -57,13 +60,28 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def _shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of what is run inside go as soon as it has ended."""
+    before = spark.conf.get(_REMOVE_SHUFFLES, None)
+    spark.conf.set(_REMOVE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_REMOVE_SHUFFLES)
+        else:
+            spark.conf.set(_REMOVE_SHUFFLES, before)
+
+
 def settle(df: DataFrame, label: str = "table") -> DataFrame:
     """Write ``df`` to the shared folder and return the stored table."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
     for block in _blocks.get()[-1:]:
         block.append(path)
-    df.write.parquet(path)
+    with _shuffles_removed(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
