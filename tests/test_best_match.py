@@ -3,6 +3,7 @@
 import random
 
 from ledgerleaf.functions.text import subsequence_length
+from ledgerleaf.operators import best_match
 from ledgerleaf.operators.best_match import lcs_best
 
 LEFT = "id int, name string, area string, key string"
@@ -71,3 +72,24 @@ def test_a_large_block_compares_few_pairs(spark):
     assert sum(r.n_tested for r in rows) < 0.06 * len(left) * len(right)
     some = {r.id: (r.best_key, r.best_length) for r in rows if r.id < 30}
     assert some == brute_force(left[:30], right)
+
+
+def test_texts_of_a_large_block_travel_in_chunks(spark, monkeypatch):
+    random.seed(11)
+    right = [(i, f"Supplier#{random.randrange(10**6):09d}", "p") for i in range(700)]
+    left = [(i, f"Customer#{i:09d}", "p") for i in range(300)]
+    moved = []
+    compare = best_match._best
+
+    def noted(chunks, pieces):
+        moved.append((chunks.count(), pieces.count()))
+        return compare(chunks, pieces)
+
+    monkeypatch.setattr(best_match, "_best", noted)
+    monkeypatch.setattr(best_match, "CHUNK", 64)
+    monkeypatch.setattr(best_match, "PIECE", 128)
+    found = matched(spark, left, right)
+    assert {r.id: (r.best_key, r.best_length) for r in found.collect()} == brute_force(left, right)
+    # Rows that carry texts of both sides: not one for each left text and leaf of the right.
+    chunks, pieces = moved[0]
+    assert chunks <= 300 // 64 + 9 and pieces <= 700 // 128 + 9
