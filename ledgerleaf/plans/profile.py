@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerleaf.functions.durations import (
     add_seconds,
@@ -17,7 +18,7 @@ from ledgerleaf.operators.mapping import exists_flag, literal_map
 from ledgerleaf.operators.running import largest, repeat_rows, running_total_before
 from ledgerleaf.scratch import settle
 from ledgerleaf.sources.csv import write_csv
-from ledgerleaf.sources.json_array import write_json_array
+from ledgerleaf.sources.json_array import read_json_array, write_json_array
 
 # Event numbers of the log.
 START_CODE = 8169
@@ -215,3 +216,8 @@ def write_trace(trace: DataFrame, path: str) -> None:
 def write_trace_array(trace: DataFrame, path: str) -> None:
     """Trace rows as one file with one JSON array, earliest first, as trace viewers read it."""
     write_json_array(trace, path, ["ts", "name"])
+
+
+def read_trace_array(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Trace rows of a file of :func:`write_trace_array`, in no order."""
+    return read_json_array(spark, path, schema)

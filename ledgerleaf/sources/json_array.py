@@ -1,8 +1,9 @@
-"""All rows as one JSON array in one file, written by many tasks at once.
+"""All rows as one JSON array in one file, written and read by many tasks at once.
 
 Rows are cut by range, so no task sorts all of them. The sizes of the ranges give the
 offset of each in the file, and every task writes its rows there. A task that runs again
-writes the same bytes to the same place.
+writes the same bytes to the same place. Every object has a line of its own, so the file is
+also read in ranges of bytes, where a reader of whole arrays holds all rows in one task.
 """
 
 from __future__ import annotations
@@ -16,8 +17,9 @@ from pathlib import Path
 
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerleaf.scratch import settle
 
@@ -101,3 +103,15 @@ def write_json_array(df: DataFrame, path: str, order: list[str]) -> None:
         os.replace(draft, target)
     finally:
         Path(draft).unlink(missing_ok=True)
+
+
+def read_json_array(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Rows of a file that :func:`write_json_array` wrote, by parts of the file.
+
+    Fields that are missing are null. A line that is neither one object nor a bracket is
+    an error.
+    """
+    lines = spark.read.option("lineSep", "\n").text(path).where(~F.col("value").isin("[", "]", "[]"))
+    # The comma behind an object stands at the end of its line.
+    rows = F.from_json(F.rtrim("value", F.lit(",")), schema, {"mode": "FAILFAST"})
+    return lines.select(rows.alias("row")).select("row.*")

@@ -337,7 +337,7 @@ def trace_written(spark: SparkSession, sf_dir: str) -> DataFrame:
     trace = profile.to_trace(settle(profile.batch_events(*_profile_inputs(spark, sf_dir))))
     path = scratch_path(spark, "trace") + ".json"
     profile.write_trace_array(trace, path)
-    return spark.read.schema(trace.schema).option("multiLine", True).json(path)
+    return profile.read_trace_array(spark, path, trace.schema)
 
 
 # --- reserves ----------------------------------------------------------------

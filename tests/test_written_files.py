@@ -6,7 +6,8 @@ import random
 import pytest
 
 from ledgerleaf.sources import csv
-from ledgerleaf.sources.json_array import write_json_array
+from ledgerleaf.plans import profile
+from ledgerleaf.sources.json_array import read_json_array, write_json_array
 from ledgerleaf.sources.load_once import file_digests, load_once
 
 
@@ -28,6 +29,34 @@ def test_json_array_is_one_sorted_array(spark, tmp_path, parts):
     assert sorted(map(str, again.collect())) == sorted(map(str, df.collect()))
 
 
+def test_json_array_is_read_by_several_tasks(spark, tmp_path):
+    names = ['a"b,', "é\n", None, "漢,[]", "[", "]", "},", ""]
+    rows = [(i, names[i % len(names)], None if i % 3 else i / 7) for i in range(20_000)]
+    df = spark.createDataFrame(rows, "ts long, name string, d double").repartition(4)
+    path = str(tmp_path / "a.json")
+    write_json_array(df, path, ["ts"])
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100k")
+    try:
+        found = read_json_array(spark, path, df.schema)
+        assert found.rdd.getNumPartitions() > 4
+        assert found.columns == df.columns
+        assert sorted(map(str, found.collect())) == sorted(map(str, df.collect()))
+        trace = profile.read_trace_array(spark, path, df.schema)
+        assert trace.rdd.getNumPartitions() > 4
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    write_json_array(df.limit(0), path, ["ts"])
+    assert read_json_array(spark, path, df.schema).count() == 0
+
+
+def test_a_line_that_is_no_object_is_an_error(spark, tmp_path):
+    (tmp_path / "a.json").write_text('[\n{"ts":1},\n{"ts":\n]\n')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        schema = spark.range(1).withColumnRenamed("id", "ts").schema
+        read_json_array(spark, str(tmp_path / "a.json"), schema).collect()
+
+
 def test_json_array_without_rows(spark, tmp_path):
     write_json_array(spark.createDataFrame([], "ts long"), f"file://{tmp_path}/a.json", ["ts"])
     assert json.loads((tmp_path / "a.json").read_text()) == []
