@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerleaf.sources.csv_ranges import RANGE_BYTES as RANGE_BYTES
 from ledgerleaf.sources.csv_ranges import read_csv_ranges
 
 # Blanks at the ends, empty texts and fractions of a second have to come back as

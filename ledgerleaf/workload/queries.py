@@ -502,7 +502,7 @@ def csv_text_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = frames.table(spark, sf_dir, "conversations")
     path = scratch_path(spark, "turns-csv")
     csv.write_csv(turns, path)
-    return csv.read_csv(spark, path, turns.schema)
+    return csv.read_csv(spark, path, turns.schema, range_bytes=csv.RANGE_BYTES)
 
 
 @query
@@ -511,7 +511,7 @@ def bulk_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     csv.write_csv(frames.table(spark, sf_dir, "customer"), path)
     name = "bulk_" + table_path.rsplit("-", 1)[1]
     schema = frames.table(spark, sf_dir, "customer").schema
-    return csv.csv_to_table(spark, path, name, schema, path=table_path)
+    return csv.csv_to_table(spark, path, name, schema, path=table_path, range_bytes=csv.RANGE_BYTES)
 
 
 @query
@@ -528,7 +528,7 @@ def csv_whitespace(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     path = scratch_path(spark, "blanks-csv")
     csv.write_csv(texts, path)
-    return csv.read_csv(spark, path, texts.schema)
+    return csv.read_csv(spark, path, texts.schema, range_bytes=csv.RANGE_BYTES)
 
 
 @query
@@ -547,8 +547,8 @@ def bulk_load_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, table_path = scratch_path(spark, "load-csv"), scratch_path(spark, "load-table")
     csv.write_csv(turns, path)
     name = "bulk_" + table_path.rsplit("-", 1)[1]
-    csv.csv_to_table(spark, path, name, turns.schema, path=table_path)
-    return csv.csv_to_table(spark, path, name)
+    csv.csv_to_table(spark, path, name, turns.schema, path=table_path, range_bytes=csv.RANGE_BYTES)
+    return csv.csv_to_table(spark, path, name, range_bytes=csv.RANGE_BYTES)
 
 
 @query

@@ -118,3 +118,21 @@ def test_bulk_load_in_ranges(spark, tmp_path):
         assert sorted(map(tuple, table.collect())) == [(1, "two\nlines", "x"), (2, "plain", None)]
     finally:
         spark.sql("DROP TABLE IF EXISTS ranges")
+
+
+def test_queries_read_files_with_line_breaks_by_ranges(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(csv, "RANGE_BYTES", 20_000)
+    cut = []
+    read = csv.read_csv_ranges
+
+    def noted(spark, path, schema, options, range_bytes):
+        cut.append(range_bytes)
+        return read(spark, path, schema, options, range_bytes)
+
+    monkeypatch.setattr(csv, "read_csv_ranges", noted)
+    from ledgerleaf.workload.queries import QUERIES
+
+    for name, table in (("csv_whitespace", "documents"), ("csv_text_roundtrip", "conversations")):
+        rows = spark.read.parquet(f"{sf_dir}/{table}.parquet")
+        assert QUERIES[name](spark, sf_dir).select(rows.columns[0]).count() == rows.count()
+    assert cut == [20_000, 20_000]
