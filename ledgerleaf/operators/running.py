@@ -10,6 +10,13 @@ from ledgerleaf.scratch import settle
 
 _OWN = ("_value", "_copies", "_block", "_inside", "_before", "_total", "_copy", "_from")
 COPIES_PER_TASK = 100_000
+# Rows that a task counts or adds up; by their bytes, which are few, many more would meet in one.
+ROWS_PER_TASK = 250_000
+
+
+def row_tasks(df: DataFrame) -> int:
+    """Tasks for the rows of a stored table, of ``ROWS_PER_TASK`` each."""
+    return -(-max(1, df.count()) // ROWS_PER_TASK)
 
 
 def repeat_rows(df: DataFrame, copies: str, index: str, most: int) -> DataFrame:
@@ -57,21 +64,21 @@ def running_total_before(
     about the same number of rows, and rows are added up inside their part. Only
     groups that reach into a second part need the totals of earlier parts, which
     are fewer than there are parts. ``blocks`` is the number of parts; without
-    it the size of the data decides. The counted rows are stored in the shared
-    folder, as all these steps read them.
+    it the number of rows decides. The rows and the counted rows are stored in the
+    shared folder, as all these steps read them.
     """
     columns = df.columns
     check_unique([*columns, *_OWN])
     group = [quoted(k) for k in keys]
     ties = [quoted(c) for c in columns if c != order and c not in keys]
     sequence = [quoted(order).asc_nulls_last(), *ties, F.col("_value")]
-    counted = (
-        df.withColumn("_value", F.coalesce(value, F.lit(0)))
-        .groupBy(*[quoted(c) for c in columns], F.col("_value"))
-        .agg(F.count(F.lit(1)).alias("_copies"))
-    )
+    valued = settle(df.withColumn("_value", F.coalesce(value, F.lit(0))), "valued")
+    whole = [*[quoted(c) for c in columns], F.col("_value")]
+    tasks = row_tasks(valued)
+    copies = F.count(F.lit(1)).alias("_copies")
+    counted = valued.repartition(tasks, *whole).groupBy(*whole).agg(copies)
     ranges = [*group, *sequence]
-    cut = counted.repartitionByRange(*([blocks] if blocks else []), *ranges)
+    cut = counted.repartitionByRange(blocks or tasks, *ranges)
     counted = settle(cut.withColumn("_block", F.spark_partition_id()), "counted")
 
     amount = F.col("_value") * F.col("_copies")
@@ -79,7 +86,8 @@ def running_total_before(
     past = (Window.unboundedPreceding, -1)
     earlier_rows = Window.partitionBy(*group, "_block").orderBy(*sequence).rowsBetween(*past)
     earlier_blocks = Window.partitionBy(*group).orderBy("_block").rowsBetween(*past)
-    inside = counted.withColumn("_inside", F.coalesce(F.sum(amount).over(earlier_rows), zero))
+    dealt = counted.repartition(tasks, *group, "_block")
+    inside = dealt.withColumn("_inside", F.coalesce(F.sum(amount).over(earlier_rows), zero))
     totals = (
         counted.groupBy(*group, "_block")
         .agg(F.sum(amount).alias("_total"))

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerleaf.functions.stat_code import ESTI, FLEX, MIPS_BY_STATUS, MIPS_PAID, SCHD
+from ledgerleaf.operators.running import row_tasks
 from ledgerleaf.plans.profile import FINISH_CODE, START_CODE
 from ledgerleaf.plans.valuation import ValuationConfig
 
@@ -216,8 +217,10 @@ def batch_step_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.floor(F.pmod(seconds, F.lit(3600)) / 60),
         F.pmod(seconds, F.lit(60)),
     )
+    items = table(spark, sf_dir, "lineitem")
+    # One shuffle by what the steps are joined by, too.
     return (
-        table(spark, sf_dir, "lineitem")
+        items.repartition(row_tasks(items), "l_orderkey")
         .groupBy(F.col("l_orderkey").alias("Id"), F.col("l_suppkey").alias("Reference"))
         .agg(
             F.max("l_linenumber").alias("Act"),

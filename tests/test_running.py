@@ -76,3 +76,23 @@ def test_running_total_with_many_copies(spark, monkeypatch):
     result = running.running_total_before(df, ["id"], "ref", F.col("secs"), "before")
     found = sorted((r.ref, r.before) for r in result.collect())
     assert found == [(1, 3 * i) for i in range(25)] + [(2, 75)]
+
+
+def test_tasks_follow_the_number_of_rows(spark, monkeypatch):
+    monkeypatch.setattr(running, "ROWS_PER_TASK", 10)
+    rows = [(i % 7, i // 7, i % 5) for i in range(700)]
+    df = spark.createDataFrame(rows, "g int, at int, v int")
+    stored = []
+    settle = running.settle
+
+    def noted(df, label="table"):
+        found = settle(df, label)
+        stored.append((label, df.rdd.getNumPartitions()))
+        return found
+
+    monkeypatch.setattr(running, "settle", noted)
+    found = running.running_total_before(df, ["g"], "at", F.col("v"), "before")
+    wanted = {(g, at): sum(v for h, b, v in rows if h == g and b < at) for g, at, _ in rows}
+    assert {(r.g, r.at): r.before for r in found.collect()} == wanted
+    # Not by bytes, of which all of these rows have too few for a second task.
+    assert dict(stored)["counted"] >= 35
