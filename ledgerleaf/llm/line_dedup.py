@@ -8,29 +8,40 @@ asked); blank lines stay.
 
 Method: exact set-similarity join.
 
+* Texts are split into words once. What later steps need of a line, its place and the
+  64-bit hashes of its words, is stored.
 * Lines of equal word sets form one class, found by aggregation, so a line that a
   third of all documents hold is one row.
-* Words are 64-bit hashes, ordered by rarity: some bits of a hash name one of
-  2**22 buckets, whose occurrences are counted over the whole corpus. The
-  logarithm of that number takes the place of the highest bits of the hash, so a
-  word stays a single number that sorts by rarity.
+* Words are ordered by rarity: some bits of a hash name one of 2**22 buckets, whose
+  lines are counted over the whole corpus. The logarithm of that number takes the
+  place of the highest bits of the hash, so a word stays a single number that sorts
+  by rarity.
 * Prefix filter: the larger of two similar sets has a shared word among its first
   ``n - ceil(t * n) + 1`` words, the smaller one among fewer, its first
-  ``n - ceil(2 * t / (1 + t) * n) + 1``. Classes meet in a join of the latter with the
-  former; a frequent word is joined together with the next shared one, which is
-  among the first words as well. In lines of many different words it is joined
-  together with the band of their number instead, so keys grow in proportion to the
-  words. Sets too small to be similar to any but their equals have no keys.
+  ``n - ceil(2 * t / (1 + t) * n) + 1``. A frequent word is taken together with the
+  next shared one, which is among the first words as well. In lines of many different
+  words it is taken together with the band of their number instead, so keys grow in
+  proportion to the words. Sets too small to be similar to any but their equals have
+  no keys.
 * Length and positional filters drop pairs whose sizes or remaining words cannot
   reach the similarity, and so does a bound by 64 bits that words flip.
-* The remaining pairs are verified on the words of their lines.
+* The remaining pairs are verified on the hashes of all words of their lines.
 
-All classes take part in the join, so every link between two classes is found:
-``line_classes`` counts them, ``repeated_lines`` takes the earliest. A group of
-``m`` variants that are all similar has ``m * (m - 1) / 2`` links.
+``line_classes`` counts all links between classes. A group of ``m`` variants that are
+all similar has ``m * (m - 1) / 2`` of them, so ``repeated_lines``, which takes the
+earliest for each class, does not list them:
+
+* Each class first meets the earliest class with the same mark. Marks are a few pairs of
+  neighbours among its first words, without words in fewer than 32, 256 or 2048
+  lines: words of one variant alone are passed over, those of the whole group stay.
+  That is at most one pair for each mark, and what is verified gives the class a bound.
+* The join of the prefixes then looks for earlier classes before the bound only (before
+  the class itself, where nothing was verified), so the result is exact, whatever the
+  marks have found. In a group of variants the bound is mostly the first of them, and
+  hardly any pair is left.
 
 Only built-in functions are used. The tables of counts and of bits have a fixed
-size. Hot keys are split by adaptive execution.
+size. Hot keys are split by adaptive execution, the firsts of marks are aggregated.
 
 Null texts have no lines, an empty text has one empty line. Rows with equal id and
 text count as one document: they do not repeat each other. Rows that share an id
@@ -55,6 +66,8 @@ REDUCER_BITS = 23
 FREQUENT = 40  # code of words in about 1,000 lines or more
 LONG_LINE = 200  # different words from which frequent ones are joined by bands of sizes
 HASH_BITS = 56  # the 7 bits above them hold the frequency
+MARK_CODES = (20, 32, 44)  # of words in 32, 256, 2048 lines
+DICTIONARY_BYTES = 8 << 20  # hashes of words repeat, a million of them fit a dictionary
 LAST_ID = (1 << 63) - 1
 
 
@@ -66,11 +79,6 @@ class LineDedup:
     min_words: int = 1
 
 
-def _words(content: Column) -> Column:
-    """The different words of a line of :func:`_lines`."""
-    return F.array_remove(F.array_distinct(F.split(content, " ")), "")
-
-
 def _lines(docs: DataFrame, key: str, text: str) -> DataFrame:
     """(doc, line, content) of every line, in lower case and with plain blanks only."""
     doc = F.coalesce(F.col(key).cast("long"), F.lit(LAST_ID)).alias("doc")
@@ -81,14 +89,24 @@ def _lines(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def _token_lines(docs: DataFrame, rule: LineDedup, key: str, text: str) -> DataFrame:
-    """(doc, line, tokens): the different words of every judged line, as hashes."""
+    """(doc, line, h1, h2, n, tokens) of every judged line, stored.
 
+    ``tokens`` are the different words as hashes, in order; ``h1`` and ``h2`` name the set.
+    """
     hashes = F.array_distinct(F.transform(F.split("content", " "), lambda w: F.xxhash64(w)))
-    tokens = F.array_remove(hashes, F.xxhash64(F.lit("")))
+    tokens = F.sort_array(F.array_remove(hashes, F.xxhash64(F.lit(""))))
     lines = _lines(docs, key, text).select("doc", "line", tokens.alias("tokens"))
     # In a generator, so that the words are not split once more for the filter.
     judged = F.when(F.size("tokens") >= rule.min_words, F.array("tokens"))
-    return lines.select("doc", "line", F.explode(judged).alias("tokens"))
+    rows = lines.select("doc", "line", F.explode(judged).alias("tokens")).select(
+        "doc",
+        "line",
+        F.xxhash64("tokens").alias("h1"),
+        F.xxhash64(F.lit(1), "tokens").alias("h2"),
+        F.size("tokens").alias("n"),
+        "tokens",
+    )
+    return settle(rows, "tokens", {"parquet.dictionary.page.size": DICTIONARY_BYTES})
 
 
 def _bucket(token: Column) -> Column:
@@ -98,12 +116,11 @@ def _bucket(token: Column) -> Column:
 def bucket_codes(lines: DataFrame) -> DataFrame:
     """One row with an array: for each bucket of hashes, how frequent its words are, 0 to 127.
 
-    Codes are four times the binary logarithm of the number of occurrences.
+    Codes are four times the binary logarithm of the number of lines.
     """
     counts = (
-        lines.select(F.explode(F.split("content", " ")).alias("word"))
-        .where("word <> ''")
-        .groupBy(_bucket(F.xxhash64("word")).alias("bucket"))
+        lines.select(F.explode("tokens").alias("token"))
+        .groupBy(_bucket(F.col("token")).alias("bucket"))
         .agg(F.count("*").alias("count"))
     )
     every = lines.sparkSession.range(1 << BUCKET_BITS).select(F.col("id").alias("bucket"))
@@ -122,41 +139,25 @@ def _as_array(listed: DataFrame, place: str, value: str) -> DataFrame:
     return groups.agg(F.flatten(parts).alias("values"))
 
 
-def _class_id(tokens: Column) -> list[Column]:
-    """What names a set of hashes: all of them in one, the least, the largest, their number."""
-    mixed = F.aggregate(tokens, F.lit(0).cast("long"), lambda x, t: x.bitwiseXOR(t))
-    return [
-        mixed.alias("mixed"),
-        F.array_min(tokens).alias("low"),
-        F.array_max(tokens).alias("high"),
-        F.size(tokens).alias("n"),
-    ]
-
-
-CLASS = ("mixed", "low", "high", "n")
-
-
-def _places(lines: DataFrame) -> DataFrame:
-    """The class of every judged line, and where it is."""
-    return lines.select(*_class_id(F.col("tokens")), "doc", "line")
+CLASS = ("h1", "h2", "n")
 
 
 def _classes(lines: DataFrame, codes: Column, rule: LineDedup) -> DataFrame:
-    """Classes of equal word sets: mixed, low, high, n, at (first line), copies, bits, prefix."""
+    """Classes of equal word sets: h1, h2, n, at (first line), copies, bits, prefix."""
 
     def ranked(token: Column) -> Column:
         code = F.element_at(F.col("codes"), (_bucket(token) + 1).cast("int")).cast("long")
         low = token.bitwiseAND(F.lit((1 << HASH_BITS) - 1))
         return F.shiftleft(code, HASH_BITS).bitwiseOR(low)
 
-    n = F.size("tokens")
+    n = F.col("n")
     bits = F.aggregate(
         "tokens", F.lit(0).cast("long"), lambda bits, t: bits.bitwiseXOR(_one_bit(t))
     )
     # One use of the codes: they are looked up where they are, not copied to each row.
     ordered = F.sort_array(F.transform("tokens", ranked))
     rows = lines.withColumn("codes", codes).select(
-        *_class_id(F.col("tokens")),
+        *CLASS,
         F.struct("doc", "line").alias("at"),
         bits.alias("bits"),
         F.slice(ordered, F.lit(1), n - _needed(rule.percent, n) + 2).alias("prefix"),
@@ -238,11 +239,16 @@ def _possible(a_n: Column, b_n: Column, a_bits: Column, b_bits: Column, percent:
 
 
 def _prefix_pairs(classes: DataFrame, rule: LineDedup) -> DataFrame:
-    """(x, y): an earlier class and a later one, when they pass all filters."""
+    """(x, y): an earlier class and a later one, when they pass all filters.
+
+    ``classes`` may have a ``bound``: then only those before it are earlier ones, where
+    it is not null.
+    """
+    bound = ["bound"] if "bound" in classes.columns else []
 
     def words(index: bool) -> DataFrame:
         keys = _keys(F.col("prefix"), F.col("n"), rule.percent, index)
-        return classes.select("at.doc", "at.line", "n", "bits", F.inline(keys))
+        return classes.select("at.doc", "at.line", "n", "bits", *bound, F.inline(keys))
 
     a, b = words(True).alias("a"), words(False).alias("b")
     na, nb = F.col("a.n"), F.col("b.n")
@@ -252,13 +258,63 @@ def _prefix_pairs(classes: DataFrame, rule: LineDedup) -> DataFrame:
     near = _possible(na, nb, F.col("a.bits"), F.col("b.bits"), rule.percent)
     at_a, at_b = F.struct("a.doc", "a.line"), F.struct("b.doc", "b.line")
     smaller = (na < nb) | ((na == nb) & (at_a < at_b))
+    open_pair = F.lit(True)
+    if bound:
+        before_a = F.col("a.bound").isNull() | (at_b < F.col("a.bound"))
+        before_b = F.col("b.bound").isNull() | (at_a < F.col("b.bound"))
+        open_pair = F.when(at_a < at_b, before_b).otherwise(before_a)
     return (
-        a.join(b, (F.col("a.key") == F.col("b.key")) & smaller & enough & near)
+        a.join(b, (F.col("a.key") == F.col("b.key")) & smaller & enough & near & open_pair)
         .select(F.least(at_a, at_b).alias("x"), F.greatest(at_a, at_b).alias("y"))
         .distinct()
     )
 
 
+def _marked_pairs(classes: DataFrame, rule: LineDedup) -> DataFrame:
+    """(x, y): classes and the earliest one that shares a mark, when they pass the filters."""
+
+    def marks(code: int) -> Column:
+        words = F.filter("prefix", lambda t: F.shiftright(t, HASH_BITS) >= code)
+        return let(
+            F.slice(words, 1, 4),
+            lambda w: F.filter(
+                F.transform(
+                    F.sequence(F.lit(0), F.lit(2)),
+                    lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1), F.lit(0)),
+                ),
+                lambda _, i: i + 1 < F.size(w),
+            ),
+        )
+
+    every = F.array_distinct(F.flatten(F.array(*[marks(code) for code in MARK_CODES])))
+    rows = classes.select(F.explode(every).alias("mark"), "at", "n", "bits")
+    firsts = rows.groupBy("mark").agg(
+        F.min(F.struct("at", "n", "bits")).alias("first"), F.count("*").alias("count")
+    )
+    first = F.col("first")
+    near = _possible(first["n"], F.col("n"), first["bits"], F.col("bits"), rule.percent)
+    return (
+        rows.join(firsts.where("count > 1").drop("count"), "mark")
+        .where((first["at"] < F.col("at")) & near)
+        .select(first["at"].alias("x"), F.col("at").alias("y"))
+        .distinct()
+    )
+
+
+def _earliest(classes: DataFrame, lines: DataFrame, rule: LineDedup) -> DataFrame:
+    """(y, x): every class that is similar to an earlier one, and the earliest of these."""
+
+    def nearest(pairs: DataFrame) -> DataFrame:
+        found = _verified(settle(pairs, "pairs"), lines, rule)
+        return settle(found.groupBy("y").agg(F.min("x").alias("x")), "near")
+
+    near = nearest(_marked_pairs(classes, rule))
+    bounds = near.select(F.col("y").alias("at"), F.col("x").alias("bound"))
+    open_classes = classes.select("at", "n", "bits", "prefix").join(bounds, "at", "left")
+    nearer = nearest(_prefix_pairs(open_classes, rule))
+    return near.unionByName(nearer).groupBy("y").agg(F.min("x").alias("x"))
+
+
 def _reducer(places: DataFrame) -> Column:
     """Bits that are set for the places of ``places``, as an array of fixed size."""
     slot = F.xxhash64("at").bitwiseAND(F.lit((1 << REDUCER_BITS) - 1))
@@ -272,17 +328,17 @@ def _reducer(places: DataFrame) -> Column:
     return settle(_as_array(listed, "word", "bits"), "reducer").scalar()
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, rule: LineDedup, key: str, text: str) -> DataFrame:
+def _verified(pairs: DataFrame, lines: DataFrame, rule: LineDedup) -> DataFrame:
     """The pairs whose lines are similar enough, compared word by word.
 
     A set of bits of fixed size drops most other lines before they are shuffled.
     """
     places = pairs.select(F.explode(F.array("x", "y")).alias("at")).distinct()
-    lines = _lines(docs, key, text).select(F.struct("doc", "line").alias("at"), "content")
+    lines = lines.select(F.struct("doc", "line").alias("at"), "tokens")
     slot = F.xxhash64("at").bitwiseAND(F.lit((1 << REDUCER_BITS) - 1))
     word = F.element_at(_reducer(places), (F.shiftright(slot, 6) + 1).cast("int"))
     found = lines.where(word.bitwiseAND(_one_bit(slot)) != 0).join(places, "at", "left_semi")
-    found = settle(found.select("at", _words(F.col("content")).alias("words")), "lines")
+    found = settle(found.withColumnRenamed("tokens", "words"), "lines")
     x = found.select(F.col("at").alias("x"), F.col("words").alias("wx"))
     y = found.select(F.col("at").alias("y"), F.col("words").alias("wy"))
     shared = F.size(F.array_intersect("wx", "wy"))
@@ -296,15 +352,13 @@ def _verified(pairs: DataFrame, docs: DataFrame, rule: LineDedup, key: str, text
     )
 
 
-def _joined(
+def _classed(
     docs: DataFrame, rule: LineDedup, key: str, text: str
-) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Judged lines, their classes, and all links (x, y) from earlier to later classes."""
+) -> tuple[DataFrame, DataFrame]:
+    """Judged lines and their classes."""
     lines = _token_lines(docs, rule, key, text)
-    codes = settle(bucket_codes(_lines(docs, key, text)), "codes").scalar()
-    classes = settle(_classes(lines, codes, rule), "classes")
-    pairs = settle(_prefix_pairs(classes, rule), "pairs")
-    return lines, classes, settle(_verified(pairs, docs, rule, key, text), "links")
+    codes = settle(bucket_codes(lines), "codes").scalar()
+    return lines, settle(_classes(lines, codes, rule), "classes")
 
 
 def line_classes(
@@ -316,11 +370,13 @@ def line_classes(
     of its lines, ``n_links`` the number of other classes that are similar to it.
     The key has to tell the documents apart.
     """
-    lines, classes, links = _joined(docs, rule, key, text)
+    lines, classes = _classed(docs, rule, key, text)
+    pairs = settle(_prefix_pairs(classes, rule), "pairs")
+    links = settle(_verified(pairs, lines, rule), "links")
     ends = links.select(F.explode(F.array("x", "y")).alias("at")).groupBy("at")
     counts = ends.agg(F.count("*").alias("n_links"))
     named = classes.select(*CLASS, "at", "copies").join(counts, "at", "left")
-    return _places(lines).join(named, list(CLASS)).select(
+    return lines.select(*CLASS, "doc", "line").join(named, list(CLASS)).select(
         "doc",
         "line",
         F.col("at.doc").alias("class_doc"),
@@ -357,11 +413,11 @@ def repeated_lines(
 
 def _repeated(docs: DataFrame, rule: LineDedup, key: str, text: str) -> DataFrame:
     """:func:`repeated_lines` of documents that ``key`` tells apart."""
-    lines, classes, links = _joined(docs, rule, key, text)
-    near = links.groupBy("y").agg(F.min("x").alias("x"))
+    lines, classes = _classed(docs, rule, key, text)
+    near = _earliest(classes, lines, rule)
     copies = classes.where("copies > 1").select(*CLASS, F.col("at").alias("x"))
     equal = (
-        _places(lines)
+        lines.select(*CLASS, "doc", "line")
         .join(copies, list(CLASS))
         .select("x", F.struct("doc", "line").alias("y"))
         .where("x <> y")

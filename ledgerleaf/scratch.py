@@ -74,14 +74,16 @@ def _shuffles_removed(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(_REMOVE_SHUFFLES, before)
 
 
-def settle(df: DataFrame, label: str = "table") -> DataFrame:
-    """Write ``df`` to the shared folder and return the stored table."""
+def settle(
+    df: DataFrame, label: str = "table", options: dict[str, int] | None = None
+) -> DataFrame:
+    """Write ``df`` to the shared folder, with Parquet ``options``, and return the stored table."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
     for block in _blocks.get()[-1:]:
         block.append(path)
     with _shuffles_removed(spark):
-        df.write.parquet(path)
+        df.write.options(**(options or {})).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

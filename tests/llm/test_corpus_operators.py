@@ -12,7 +12,7 @@ import pytest
 
 from ledgerleaf.llm import line_dedup, near_dedup, substring_dedup, url_filter, warc
 from ledgerleaf.llm.components import connected_components
-from ledgerleaf.scratch import scratch_path
+from ledgerleaf.scratch import scratch_path, settle
 
 DOCS = "doc_id long, text string, n string, doc string, at string, node string"
 
@@ -288,6 +288,31 @@ def test_all_links_between_line_classes(spark):
     } == wanted
 
 
+def test_group_of_variants_meets_few_pairs(spark, monkeypatch):
+    random.seed(14)
+    base = [f"b{i}" for i in range(30)]
+    rows = []
+    for i in range(80):
+        words = list(base)
+        words[random.randrange(30)] = f"own{i}"
+        rows.append((i, " ".join(words)))
+    pairs = []
+
+    def noted(df, label="table", *options):
+        stored = settle(df, label, *options)
+        if label == "pairs":
+            pairs.append(stored.count())
+        return stored
+
+    monkeypatch.setattr(line_dedup, "settle", noted)
+    found = line_dedup.repeated_lines(docs_of(spark, rows)).collect()
+    assert {(r.doc, r.line, r.first_doc, r.first_line) for r in found} == {
+        (i, 0, 0, 0) for i in range(1, 80)
+    }
+    # All links are 80 * 79 / 2 = 3160.
+    assert sum(pairs) < 4 * len(rows)
+
+
 def test_first_line_is_the_earliest_match(spark):
     rows = line_documents(120, 13)
     firsts, before = {}, []
