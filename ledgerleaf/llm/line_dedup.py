@@ -305,8 +305,9 @@ def _earliest(classes: DataFrame, lines: DataFrame, rule: LineDedup) -> DataFram
     """(y, x): every class that is similar to an earlier one, and the earliest of these."""
 
     def nearest(pairs: DataFrame) -> DataFrame:
-        found = _verified(settle(pairs, "pairs"), lines, rule)
-        return settle(found.groupBy("y").agg(F.min("x").alias("x")), "near")
+        with passing_tables(lines.sparkSession):
+            found = _verified(settle(pairs, "pairs"), lines, rule)
+            return settle_outside(found.groupBy("y").agg(F.min("x").alias("x")), "near")
 
     near = nearest(_marked_pairs(classes, rule))
     bounds = near.select(F.col("y").alias("at"), F.col("x").alias("bound"))
