@@ -16,15 +16,16 @@ Method: exact set-similarity join.
   lines are counted over the whole corpus. The logarithm of that number takes the
   place of the highest bits of the hash, so a word stays a single number that sorts
   by rarity.
-* Prefix filter: the larger of two similar sets has a shared word among its first
-  ``n - ceil(t * n) + 1`` words, the smaller one among fewer, its first
-  ``n - ceil(2 * t / (1 + t) * n) + 1``. A frequent word is taken together with the
+* Prefix filter: two similar sets have a shared word among the first
+  ``n - ceil(t * n) + 1`` words of each. One table of keys serves both sides of the
+  join, so it is shuffled once, and words take turns. A frequent word is taken together with the
   next shared one, which is among the first words as well. In lines of many different
   words it is taken together with the band of their number instead, so keys grow in
-  proportion to the words. Sets too small to be similar to any but their equals have
-  no keys.
+  proportion to the words. Words of a single line are no keys, nor have sets any that
+  are too small to be similar to any but their equals.
 * Length and positional filters drop pairs whose sizes or remaining words cannot
-  reach the similarity, and so does a bound by 64 bits that words flip.
+  reach the similarity, and so does a bound by bits that words flip: 64 of them, 128
+  in lines of more than 48 words, which flip most of 64 whatever they are.
 * The remaining pairs are verified on the hashes of all words of their lines.
 
 ``line_classes`` counts all links between classes. A group of ``m`` variants that are
@@ -52,7 +53,9 @@ come after all others.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -64,7 +67,10 @@ BUCKET_BITS = 22
 GROUP_BITS = 11
 REDUCER_BITS = 23
 FREQUENT = 40  # code of words in about 1,000 lines or more
+ONCE = 4  # code of words in one line
+WIDE_LINE = 48  # different words from which on lines have 128 bits
 LONG_LINE = 200  # different words from which frequent ones are joined by bands of sizes
+TURNS = 2  # of the join of prefixes, a power of two; keys of one lie on disk at a time
 HASH_BITS = 56  # the 7 bits above them hold the frequency
 MARK_CODES = (20, 32, 44)  # of words in 32, 256, 2048 lines
 DICTIONARY_BYTES = 8 << 20  # hashes of words repeat, a million of them fit a dictionary
@@ -89,10 +95,12 @@ def _lines(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def _token_lines(docs: DataFrame, rule: LineDedup, key: str, text: str) -> DataFrame:
-    """(doc, line, h1, h2, n, tokens) of every judged line, stored.
+    """(doc, line, h1, h2, n, upper, tokens) of every judged line, stored.
 
-    ``tokens`` are the different words as hashes, in order; ``h1`` and ``h2`` name the set.
+    ``tokens`` are the different words as hashes, in order, the first ``upper`` of them
+    negative; ``h1`` and ``h2`` name the set.
     """
+    with_zero = F.sort_array(F.concat("tokens", F.array(F.lit(0).cast("long"))))
     hashes = F.array_distinct(F.transform(F.split("content", " "), lambda w: F.xxhash64(w)))
     tokens = F.sort_array(F.array_remove(hashes, F.xxhash64(F.lit(""))))
     lines = _lines(docs, key, text).select("doc", "line", tokens.alias("tokens"))
@@ -104,6 +112,7 @@ def _token_lines(docs: DataFrame, rule: LineDedup, key: str, text: str) -> DataF
         F.xxhash64("tokens").alias("h1"),
         F.xxhash64(F.lit(1), "tokens").alias("h2"),
         F.size("tokens").alias("n"),
+        (F.array_position(with_zero, 0) - 1).cast("int").alias("upper"),
         "tokens",
     )
     return settle(rows, "tokens", {"parquet.dictionary.page.size": DICTIONARY_BYTES})
@@ -143,29 +152,49 @@ CLASS = ("h1", "h2", "n")
 
 
 def _classes(lines: DataFrame, codes: Column, rule: LineDedup) -> DataFrame:
-    """Classes of equal word sets: h1, h2, n, at (first line), copies, bits, prefix."""
+    """Classes of equal word sets: h1, h2, n, at (first line), copies, bits, high, prefix.
+
+    ``high`` has the second half of 128 bits, ``bits`` both halves on top of each other.
+    """
+    none = F.lit(0).cast("long")
 
     def ranked(token: Column) -> Column:
         code = F.element_at(F.col("codes"), (_bucket(token) + 1).cast("int")).cast("long")
         low = token.bitwiseAND(F.lit((1 << HASH_BITS) - 1))
-        return F.shiftleft(code, HASH_BITS).bitwiseOR(low)
+        # Never null, as Spark sorts arrays without nulls much faster.
+        return F.coalesce(F.shiftleft(code, HASH_BITS).bitwiseOR(low), none)
 
     n = F.col("n")
-    bits = F.aggregate(
-        "tokens", F.lit(0).cast("long"), lambda bits, t: bits.bitwiseXOR(_one_bit(t))
-    )
+
+    def flipped(tokens: Column) -> Column:
+        return F.aggregate(tokens, none, lambda bits, t: bits.bitwiseXOR(_one_bit(t)))
+
     # One use of the codes: they are looked up where they are, not copied to each row.
     ordered = F.sort_array(F.transform("tokens", ranked))
-    rows = lines.withColumn("codes", codes).select(
+    ranked_lines = lines.withColumn("codes", codes).select(
         *CLASS,
         F.struct("doc", "line").alias("at"),
-        bits.alias("bits"),
+        "tokens",
+        "upper",
         F.slice(ordered, F.lit(1), n - _needed(rule.percent, n) + 2).alias("prefix"),
     )
+    halves = ranked_lines.withColumns(
+        {
+            "half": flipped(F.slice("tokens", F.lit(1), F.col("upper"))),
+            "rest": flipped(F.slice("tokens", F.col("upper") + 1, F.size("tokens"))),
+        }
+    )
+    rows = halves.select(
+        *CLASS,
+        "at",
+        F.col("half").bitwiseXOR(F.col("rest")).alias("bits"),
+        F.when(n > WIDE_LINE, F.col("half")).otherwise(none).alias("high"),
+        "prefix",
+    )
     return rows.groupBy(*CLASS).agg(
         F.min("at").alias("at"),
         F.count("*").alias("copies"),
-        *[F.first(c).alias(c) for c in ("bits", "prefix")],
+        *[F.first(c).alias(c) for c in ("bits", "high", "prefix")],
     )
 
 
@@ -174,11 +203,6 @@ def _needed(percent: int, n: Column) -> Column:
     return F.floor((percent * n + 99) / 100).cast("int")
 
 
-def _needed_of_larger(percent: int, n: Column) -> Column:
-    """Words that a set of ``n`` shares with a similar one of its size or more."""
-    return F.ceil(2 * percent * n / (100 + percent)).cast("int")
-
-
 def _one_bit(place: Column) -> Column:
     """A long with the bit set that the last six bits of ``place`` name."""
     return F.call_function(
@@ -186,11 +210,11 @@ def _one_bit(place: Column) -> Column:
     )
 
 
-def _keys(longer: Column, n: Column, percent: int, index: bool) -> Column:
-    """What a set of ``n`` is found by: (key, place) for its prefix, as the smaller set
-    of a pair (``index``) or as the larger one.
+def _keys(longer: Column, n: Column, percent: int, turn: int) -> Column:
+    """What a set of ``n`` is found by: (key, place) for the words of its prefix in one of ``TURNS``.
 
-    ``longer`` has the first words, as many as the prefix of the larger set and one more.
+    ``longer`` has the first words, as many as the prefix and one more. A word of one
+    line only is no key.
     A rare word is a key by itself. A frequent one is a key together with each
     word after it: similar sets share a second word within the prefix that is longer by
     one, if they share two. In a long line it is a key with the band of ``n``, and the
@@ -201,8 +225,7 @@ def _keys(longer: Column, n: Column, percent: int, index: bool) -> Column:
     band = F.floor(F.log(n.cast("double")) / width)
     bands = F.array(band, band + 1)
     only_long = percent * n > 100 * LONG_LINE
-    shared = _needed_of_larger(percent, n) if index else _needed(percent, n)
-    first = n - shared + 1
+    first = n - _needed(percent, n) + 1
     one_shared = _needed(percent, n) < 2
 
     def keys(words: Column) -> Column:
@@ -221,8 +244,10 @@ def _keys(longer: Column, n: Column, percent: int, index: bool) -> Column:
                 .when(n < LONG_LINE, paired)
                 .otherwise(F.concat(paired, banded))
             )
-            frequent = F.shiftright(token, HASH_BITS) >= FREQUENT
-            return F.when(frequent, by_size).otherwise(alone)
+            code = F.shiftright(token, HASH_BITS)
+            known = F.when(code >= FREQUENT, by_size).otherwise(alone)
+            other_turn = token.bitwiseAND(F.lit(TURNS - 1)) != turn
+            return F.when(other_turn | (code <= ONCE), F.slice(alone, 1, 0)).otherwise(known)
 
         return F.flatten(F.transform(F.slice(words, 1, first), of))
 
@@ -230,11 +255,17 @@ def _keys(longer: Column, n: Column, percent: int, index: bool) -> Column:
     return F.when(has_others, let(F.slice(longer, 1, first + 1), keys))
 
 
-def _possible(a_n: Column, b_n: Column, a_bits: Column, b_bits: Column, percent: int) -> Column:
+def _possible(a: Callable[[str], Column], b: Callable[[str], Column], percent: int) -> Column:
     """Length filter, and a bound by bits: each word in one set only flips one bit."""
-    apart = F.bit_count(a_bits.bitwiseXOR(b_bits))
-    return (100 * F.least(a_n, b_n) >= percent * F.greatest(a_n, b_n)) & (
-        (100 + percent) * apart <= (100 - percent) * (a_n + b_n)
+    na, nb = a("n"), b("n")
+    both = a("bits").bitwiseXOR(b("bits"))
+    high = a("high").bitwiseXOR(b("high"))
+    apart = F.bit_count(high) + F.bit_count(both.bitwiseXOR(high))
+    smaller, most = F.least(na, nb), (100 - percent) * (na + nb)
+    return (
+        (100 * smaller >= percent * F.greatest(na, nb))
+        & ((100 + percent) * F.bit_count(both) <= most)
+        & ((smaller <= WIDE_LINE) | ((100 + percent) * apart <= most))
     )
 
 
@@ -242,27 +273,33 @@ def _prefix_pairs(classes: DataFrame, rule: LineDedup) -> DataFrame:
     """(x, y): an earlier class and a later one, when they pass all filters.
 
     ``classes`` may have a ``bound``: then only those before it are earlier ones, where
-    it is not null.
+    it is not null. The words take turns, so only a part of the keys is there at once.
     """
-    bound = ["bound"] if "bound" in classes.columns else []
+    turns = [settle(_pairs_of_turn(classes, rule, turn), "turn") for turn in range(TURNS)]
+    return reduce(DataFrame.unionByName, turns).distinct()
 
-    def words(index: bool) -> DataFrame:
-        keys = _keys(F.col("prefix"), F.col("n"), rule.percent, index)
-        return classes.select("at.doc", "at.line", "n", "bits", *bound, F.inline(keys))
 
-    a, b = words(True).alias("a"), words(False).alias("b")
+def _pairs_of_turn(classes: DataFrame, rule: LineDedup, turn: int) -> DataFrame:
+    """The pairs that share a word of one turn."""
+    bound = ["bound"] if "bound" in classes.columns else []
+    keys = _keys(F.col("prefix"), F.col("n"), rule.percent, turn)
+    # The same columns of both sides, so they read one exchange.
+    found_by = classes.select("at.doc", "at.line", "n", "bits", "high", *bound, F.inline(keys))
+    a, b = found_by.alias("a"), found_by.alias("b")
     na, nb = F.col("a.n"), F.col("b.n")
     # Shared words are at most those left behind both places, this one included.
     room = F.least(na - F.col("a.place"), nb - F.col("b.place"))
     enough = (100 + rule.percent) * room >= rule.percent * (na + nb)
-    near = _possible(na, nb, F.col("a.bits"), F.col("b.bits"), rule.percent)
+    near = _possible(lambda c: F.col(f"a.{c}"), lambda c: F.col(f"b.{c}"), rule.percent)
     at_a, at_b = F.struct("a.doc", "a.line"), F.struct("b.doc", "b.line")
-    smaller = (na < nb) | ((na == nb) & (at_a < at_b))
+    same_doc = F.col("a.doc") == F.col("b.doc")
+    first_a = (F.col("a.doc") < F.col("b.doc")) | (same_doc & (F.col("a.line") < F.col("b.line")))
+    smaller = (na < nb) | ((na == nb) & first_a)
     open_pair = F.lit(True)
     if bound:
         before_a = F.col("a.bound").isNull() | (at_b < F.col("a.bound"))
         before_b = F.col("b.bound").isNull() | (at_a < F.col("b.bound"))
-        open_pair = F.when(at_a < at_b, before_b).otherwise(before_a)
+        open_pair = F.when(first_a, before_b).otherwise(before_a)
     return (
         a.join(b, (F.col("a.key") == F.col("b.key")) & smaller & enough & near & open_pair)
         .select(F.least(at_a, at_b).alias("x"), F.greatest(at_a, at_b).alias("y"))
@@ -276,10 +313,10 @@ def _marked_pairs(classes: DataFrame, rule: LineDedup) -> DataFrame:
     def marks(code: int) -> Column:
         words = F.filter("prefix", lambda t: F.shiftright(t, HASH_BITS) >= code)
         return let(
-            F.slice(words, 1, 4),
+            F.slice(words, 1, 3),
             lambda w: F.filter(
                 F.transform(
-                    F.sequence(F.lit(0), F.lit(2)),
+                    F.sequence(F.lit(0), F.lit(1)),
                     lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1), F.lit(0)),
                 ),
                 lambda _, i: i + 1 < F.size(w),
@@ -287,12 +324,12 @@ def _marked_pairs(classes: DataFrame, rule: LineDedup) -> DataFrame:
         )
 
     every = F.array_distinct(F.flatten(F.array(*[marks(code) for code in MARK_CODES])))
-    rows = classes.select(F.explode(every).alias("mark"), "at", "n", "bits")
+    rows = classes.select(F.explode(every).alias("mark"), "at", "n", "bits", "high")
     firsts = rows.groupBy("mark").agg(
-        F.min(F.struct("at", "n", "bits")).alias("first"), F.count("*").alias("count")
+        F.min(F.struct("at", "n", "bits", "high")).alias("first"), F.count("*").alias("count")
     )
     first = F.col("first")
-    near = _possible(first["n"], F.col("n"), first["bits"], F.col("bits"), rule.percent)
+    near = _possible(lambda c: first[c], F.col, rule.percent)
     return (
         rows.join(firsts.where("count > 1").drop("count"), "mark")
         .where((first["at"] < F.col("at")) & near)
@@ -311,7 +348,11 @@ def _earliest(classes: DataFrame, lines: DataFrame, rule: LineDedup) -> DataFram
 
     near = nearest(_marked_pairs(classes, rule))
     bounds = near.select(F.col("y").alias("at"), F.col("x").alias("bound"))
-    open_classes = classes.select("at", "n", "bits", "prefix").join(bounds, "at", "left")
+    # Most classes have none and stay where they are.
+    named = _maybe_in(bounds)
+    rows = classes.select("at", "n", "bits", "high", "prefix")
+    unbound = rows.where(~named).withColumn("bound", F.lit(None).cast(bounds.schema["bound"].dataType))
+    open_classes = rows.where(named).join(bounds, "at", "left").unionByName(unbound)
     nearer = nearest(_prefix_pairs(open_classes, rule))
     return near.unionByName(nearer).groupBy("y").agg(F.min("x").alias("x"))
 
@@ -329,16 +370,22 @@ def _reducer(places: DataFrame) -> Column:
     return settle(_as_array(listed, "word", "bits"), "reducer").scalar()
 
 
+def _maybe_in(places: DataFrame) -> Column:
+    """Whether ``at`` may be one of ``places``: true for all of these, false for most others."""
+    slot = F.xxhash64("at").bitwiseAND(F.lit((1 << REDUCER_BITS) - 1))
+    word = F.element_at(_reducer(places), (F.shiftright(slot, 6) + 1).cast("int"))
+    return word.bitwiseAND(_one_bit(slot)) != 0
+
+
 def _verified(pairs: DataFrame, lines: DataFrame, rule: LineDedup) -> DataFrame:
     """The pairs whose lines are similar enough, compared word by word.
 
     A set of bits of fixed size drops most other lines before they are shuffled.
     """
-    places = pairs.select(F.explode(F.array("x", "y")).alias("at")).distinct()
+    ends = pairs.select(F.explode(F.array("x", "y")).alias("at"))
+    places = settle(ends.distinct(), "places")
     lines = lines.select(F.struct("doc", "line").alias("at"), "tokens")
-    slot = F.xxhash64("at").bitwiseAND(F.lit((1 << REDUCER_BITS) - 1))
-    word = F.element_at(_reducer(places), (F.shiftright(slot, 6) + 1).cast("int"))
-    found = lines.where(word.bitwiseAND(_one_bit(slot)) != 0).join(places, "at", "left_semi")
+    found = lines.where(_maybe_in(places)).join(places, "at", "left_semi")
     found = settle(found.withColumnRenamed("tokens", "words"), "lines")
     x = found.select(F.col("at").alias("x"), F.col("words").alias("wx"))
     y = found.select(F.col("at").alias("y"), F.col("words").alias("wy"))

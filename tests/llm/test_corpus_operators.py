@@ -313,6 +313,40 @@ def test_group_of_variants_meets_few_pairs(spark, monkeypatch):
     assert sum(pairs) < 4 * len(rows)
 
 
+def test_long_lines_that_share_some_words_are_no_pairs(spark, monkeypatch):
+    random.seed(15)
+    rows = [(i, " ".join(f"v{w}" for w in random.sample(range(3000), 150))) for i in range(120)]
+    rows += [(200 + i, rows[i][1].replace("v1", "z1")) for i in range(3)]
+    pairs = []
+
+    def noted(df, label="table", *options):
+        stored = settle(df, label, *options)
+        if label == "pairs":
+            pairs.append(stored.count())
+        return stored
+
+    monkeypatch.setattr(line_dedup, "settle", noted)
+    found = line_dedup.repeated_lines(docs_of(spark, rows)).collect()
+    assert {(r.doc, r.line) for r in found} == gone_lines(rows)
+    assert sum(pairs) <= 20
+
+
+def test_keys_of_both_sides_are_shuffled_once(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rule = line_dedup.LineDedup()
+        docs = docs_of(spark, line_documents(80, 16))
+        _, classes = line_dedup._classed(docs, rule, "doc_id", "text")
+        turns = [line_dedup._pairs_of_turn(classes, rule, k) for k in range(line_dedup.TURNS)]
+        for turn in turns:
+            assert turn.collect()
+            plan = turn._jdf.queryExecution().executedPlan().toString()
+            assert "ReusedExchange" in plan.split("Initial Plan")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_first_line_is_the_earliest_match(spark):
     rows = line_documents(120, 13)
     firsts, before = {}, []
