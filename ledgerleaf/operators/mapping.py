@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerleaf.functions.keys import combo_key, key_part
 from ledgerleaf.functions.names import (
@@ -19,6 +22,11 @@ TAG_PREFIX = "tag_"
 TAG_SEPARATOR = "~"
 PATTERNS_PER_CHUNK = 500
 GRAM = 3
+# Rows of either side of a join by pattern that one pattern brings to one task.
+PIECE_ROWS = 1 << 14
+# Rows that a task of the last join makes, about, unless that takes too many tasks.
+ROWS_PER_TASK = 1 << 22
+MOST_TASKS = 10_000
 
 _OWN = ("_key", "_pattern", "_tags")
 
@@ -137,19 +145,80 @@ def pattern_pairs(keys: DataFrame, patterns: DataFrame) -> DataFrame:
     return _pairs(keys, others).unionByName(tested.distinct())
 
 
+def _piece(df: DataFrame, pieces: Column) -> Column:
+    """The piece of a row, by its plain values; not all others have a hash."""
+    plain = [
+        quoted(field.name)
+        for field in df.schema
+        if isinstance(field.dataType, T.AtomicType) and not isinstance(field.dataType, T.VariantType)
+    ]
+    return F.pmod(F.xxhash64(*plain), pieces)
+
+
+def _expanded(
+    main: DataFrame, rows: DataFrame, pairs: DataFrame, sums: DataFrame, key: str, tasks: int
+) -> DataFrame:
+    """Every row of ``main`` with the pattern rows of its pairs, multiplied in the last step.
+
+    Rows meet by pattern, ``_key`` and ``_tags``, the pieces of the left and the right rows
+    of a pattern that has many: each piece of one side meets each piece of the other once.
+    """
+    pieces = [F.ceil(F.col(side) / PIECE_ROWS).alias(side) for side in ("_left", "_right")]
+    cut = settle(
+        sums.select("_pattern", F.struct(*pieces).alias("_tags")).where("_tags._left > 1 or _tags._right > 1"),
+        "pieces",
+    )
+
+    def dealt(df: DataFrame, own: str, other: str, names: tuple[str, str]) -> DataFrame:
+        of = {side: F.coalesce(F.col("_tags")[side], F.lit(1).cast("long")) for side in (own, other)}
+        every = F.explode(F.sequence(F.lit(0).cast("long"), of[other] - 1))
+        places = [_piece(df, of[own]).alias(names[0]), every.alias(names[1])]
+        return (
+            df.join(cut, "_pattern", "left")
+            .select(*[quoted(c) for c in df.columns], *places)
+            .repartition(tasks, *_OWN)
+        )
+
+    left = main.join(pairs.select("_key", "_pattern"), quoted(key) == F.col("_key")).drop("_key")
+    met = dealt(left, "_left", "_right", ("_key", "_tags")).join(
+        dealt(rows, "_right", "_left", ("_tags", "_key")), list(_OWN)
+    )
+    return met.drop(*_OWN)
+
+
 def regex_join(main: DataFrame, patterns: DataFrame, key: str, pattern: str) -> DataFrame:
     """Every (row, pattern row) pair whose pattern matches the start of the key.
 
-    Only distinct keys are tested; rows are brought back by equality joins. A row
-    without a match is left out, a row with several matches appears several
-    times. A null key or pattern matches nothing.
+    Only distinct keys are tested, against distinct patterns; rows are brought back by
+    equality joins, first those of the side that multiplies the pairs less, so what is
+    stored or shuffled does not grow with the product of both. A row without a match is
+    left out, a row with several matches appears several times. A null key or pattern
+    matches nothing.
     """
     check_unique([*main.columns, *patterns.columns, *_OWN])
-    keys = settle(main.select(quoted(key).alias("_key")).where("_key is not null").distinct(), "keys")
+    keyed = main.select(quoted(key).alias("_key")).where("_key is not null")
+    keys = settle(keyed.groupBy("_key").agg(F.count("*").alias("_left")), "keys")
     rows = settle(
         patterns.withColumn("_pattern", quoted(pattern)).where("_pattern is not null"), "patterns"
     )
-    found = pattern_pairs(keys, rows.select("_pattern").distinct())
+    texts = settle(rows.groupBy("_pattern").agg(F.count("*").alias("_right")), "texts")
+    found = pattern_pairs(keys.select("_key"), texts.select("_pattern"))
+    if not texts.where("_right > 1").isEmpty():
+        found = settle(found.join(keys, "_key"), "pairs")
+        sums = settle(
+            found.groupBy("_pattern")
+            .agg(F.count("*").alias("_pairs"), F.sum("_left").alias("_left"))
+            .join(texts, "_pattern"),
+            "sums",
+        )
+        pairs, left, right = (F.col(c).cast("double") for c in ("_pairs", "_left", "_right"))
+        sizes = (pairs * right, left, left * right)
+        by_rows, by_keys, result = sums.select(*[F.coalesce(F.sum(n), F.lit(0.0)) for n in sizes]).first()
+        if by_keys < by_rows:
+            least = int(main.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+            tasks = max(least, min(MOST_TASKS, math.ceil(result / ROWS_PER_TASK)))
+            return _expanded(main, rows, found, sums, key, tasks)
+        found = found.drop("_left")
     lookup = settle(found.join(rows, "_pattern").drop("_pattern"), "matches")
     return main.join(lookup, quoted(key) == F.col("_key")).drop("_key")
 

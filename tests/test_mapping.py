@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgerleaf.operators import coverage, mapping
 from ledgerleaf.plans.policies import add_policy_info
+from ledgerleaf.scratch import noted_tables
 
 TAGS = "tag_plan_code string, tag_gender string, tag_risk_class string"
 
@@ -100,6 +101,35 @@ def test_regex_join_without_match_is_empty(spark):
     assert mapping.regex_join(main, table, "key", "pattern").count() == 0
 
 
+def test_regex_join_stores_pairs_of_patterns_that_repeat_only_once(spark):
+    main = spark.range(100).select("id", F.format_string("key%03d", "id").alias("k"))
+    texts = F.element_at(F.array(*[F.lit(p) for p in (".*[0-4].*", "key0.*", "k.*9")]), (F.col("id") % 3 + 1).cast("int"))
+    patterns = spark.range(150).select(texts.alias("p"), F.col("id").alias("n"))
+    with noted_tables() as paths:
+        result = mapping.regex_join(main, patterns, "k", "p").count()
+    assert result == 50 * sum(bool(re.match(p, f"key{i:03d}")) for i in range(100) for p in (".*[0-4].*", "key0.*", "k.*9"))
+    stored = max(spark.read.parquet(path).count() for path in paths)
+    assert stored * 10 < result
+
+
+def test_regex_join_in_pieces(spark, monkeypatch):
+    monkeypatch.setattr(mapping, "PIECE_ROWS", 3)
+    monkeypatch.setattr(mapping, "ROWS_PER_TASK", 10)
+    keys = ["abc", "abd", "xab", "abc", None, "", "zz", "abe", "abf", "ab\n"]
+    patterns = ["ab.*"] * 11 + [".b"] * 4 + ["", None, "never", "[a-x]+c", "zz|abc", "zz|abc"]
+    main = spark.createDataFrame([(i, {k or "": i}, k) for i, k in enumerate(keys)], "id int, `m.x` map<string,int>, `the.key` string")
+    table = spark.createDataFrame([(i // 2, p) for i, p in enumerate(patterns)], "_left int, pattern string")
+    result = mapping.regex_join(main, table, "the.key", "pattern")
+    assert result.columns == ["id", "m.x", "the.key", "_left", "pattern"]
+    wanted = [
+        (i, {k: i}, k, j // 2, p)
+        for i, k in enumerate(keys)
+        for j, p in enumerate(patterns)
+        if k is not None and p is not None and re.match(p, k)
+    ]
+    assert sorted((tuple(r) for r in result.collect()), key=repr) == sorted(wanted, key=repr)
+
+
 def test_coverage(spark):
     rows = spark.createDataFrame(
         [(34, "m", "R0"), (33, "f", "R0"), (40, "m", "R1")], "age int, gender string, rating string"
